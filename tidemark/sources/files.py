@@ -114,18 +114,15 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def discover_batch_files(
-    spark: SparkSession, root: str, latest_only: bool = False
-) -> DataFrame:
-    """Files named ``<dataset>_<timestamp>.<csv|json>`` of the seven datasets, by name.
+def match_batch_files(files: DataFrame, latest_only: bool = False) -> DataFrame:
+    """Of a file listing (path, length), those named ``<dataset>_<timestamp>.<csv|json>`` for one of
+    the seven datasets.
 
     ``latest_only`` keeps the file with the greatest embedded timestamp per dataset (a max per
     dataset, not a sort of all files).
     """
-    name = F.element_at(F.split("path", "/"), -1)
-    files = (
-        list_files(spark, root)
-        .withColumn("filename", name)
+    named = (
+        files.withColumn("filename", F.element_at(F.split("path", "/"), -1))
         .filter(F.col("filename").rlike("^" + FILE_NAME))
         .select(
             F.regexp_extract("filename", FILE_NAME, 1).alias("dataset_name"),
@@ -138,9 +135,13 @@ def discover_batch_files(
         .filter(F.col("dataset_name").isin(list(CANONICAL)))
     )
     if not latest_only:
-        return files
+        return named
     row = F.struct("file_timestamp", "filename", "source_format", "path", "length")
-    return files.groupBy("dataset_name").agg(F.max(row).alias("_f")).select("dataset_name", "_f.*")
+    return named.groupBy("dataset_name").agg(F.max(row).alias("_f")).select("dataset_name", "_f.*")
+
+
+def discover_batch_files(spark: SparkSession, root: str, latest_only: bool = False) -> DataFrame:
+    return match_batch_files(list_files(spark, root), latest_only)
 
 
 def latest_dataset_file(spark: SparkSession, root: str, dataset: str) -> DataFrame:
@@ -150,7 +151,11 @@ def latest_dataset_file(spark: SparkSession, root: str, dataset: str) -> DataFra
 
 
 def ingestion_manifest(
-    spark: SparkSession, root: str, dataset: str, ingested_at: Column | None = None
+    spark: SparkSession,
+    root: str,
+    dataset: str,
+    ingested_at: Column | None = None,
+    recursive: bool = False,
 ) -> DataFrame:
     """Per file: format, row count, SHA-256 and ingestion id; status tells why a file is refused.
 
@@ -165,8 +170,13 @@ def ingestion_manifest(
         .load(f"{root}/{dataset}")
         .select(names.alias("_path"), F.sha2("content", 256).alias("source_checksum"))
     )
+    pattern = f"{root}/{dataset}" if recursive else f"{root}/{dataset}/*.{fmt}"
+    preset = FILE_FORMATS[fmt]
     counts = (
-        read_format(spark, fmt, f"{root}/{dataset}/*.{fmt}", CANONICAL[dataset])
+        spark.read.format(preset["format"])
+        .options(**preset["options"], recursiveFileLookup=str(recursive).lower())
+        .schema(CANONICAL[dataset])
+        .load(pattern)
         .groupBy(names.alias("_path"))
         .agg(F.count("*").alias("source_row_count"))
     )
