@@ -149,9 +149,9 @@ def equality(
     def shaped(frame: DataFrame) -> DataFrame:
         out = []
         for c in compare_columns:
-            numeric = isinstance(frame.schema[c].dataType, T.NumericType)
+            fractional = isinstance(frame.schema[c].dataType, T.FractionalType)
             value = F.col(c)
-            if precision is not None and numeric:
+            if precision is not None and fractional:
                 value = F.round(value.cast("decimal(28,6)"), precision)
             out.append(value.alias(c))
         return frame.select(out)
@@ -307,16 +307,16 @@ def mutually_exclusive_ranges(
         )
     )
     starts = with_neighbour(starts, groups, "lower_bound", "lead", "_next")
-    on = [ranges[g].eqNullSafe(starts[g]) for g in groups]
-    on.append(ranges["lower_bound"] == starts["lower_bound"])
-    low, high = ranges["lower_bound"], ranges["upper_bound"]
-    joined = ranges.join(starts, on, "left").select(
-        *[ranges[g] for g in groups], low, high, "_n", "_next",
-        F.coalesce(
-            ((high == F.col("_last_upper")) & ~F.col("_open_end"))
-            | (high.isNull() & F.col("_open_end")),
-            F.lit(False),
-        ).cast("bigint").alias("_last"),
+    on = [F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}")) for g in groups]
+    on.append(F.col("r.lower_bound") == F.col("s.lower_bound"))
+    high, last = F.col("r.upper_bound"), F.col("_last_upper")
+    ends_last = ((high == last) & ~F.col("_open_end")) | (high.isNull() & F.col("_open_end"))
+    joined = (
+        ranges.alias("r")
+        .join(starts.alias("s"), reduce(lambda a, b: a & b, on), "left")
+        .select(
+            "r.*", "_next", F.coalesce(ends_last, F.lit(False)).cast("bigint").alias("_last")
+        )
     )
     low, high = F.col("lower_bound"), F.col("upper_bound")
     bounded = F.coalesce(low <= high if zero_length_allowed else low < high, F.lit(False))

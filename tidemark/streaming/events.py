@@ -70,9 +70,12 @@ def with_optional_columns(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast("string") for c in absent}) if absent else df
 
 
-def with_stream_metadata(df: DataFrame, run_at: Column | None = None) -> DataFrame:
+def with_stream_metadata(
+    df: DataFrame, run_at: Column | None = None, skip: list[str] = ()
+) -> DataFrame:
+    """Add load time, load day and ``raw_payload``, the row as JSON (without the ``skip`` columns)."""
     at = run_at if run_at is not None else F.current_timestamp()
-    payload = F.to_json(F.struct(*df.columns))
+    payload = F.to_json(F.struct(*[c for c in df.columns if c not in skip]))
     return df.withColumns(
         {"ingestion_timestamp": at, "processing_date": F.to_date(at), "raw_payload": payload}
     )
@@ -125,13 +128,17 @@ def prepare(envelopes: DataFrame, run_at: Column | None = None, delay: str = WAT
     """Parsed, watermarked events without repeats of an event_id.
 
     The state of an id is dropped once the watermark passes it, so state is bounded by the delay; a
-    repeat that comes later than the delay is let through again.
+    repeat that comes later than the delay is let through again. An event without an id is a copy of
+    nothing: its record's sequence number takes the id's place.
     """
-    good = parse_envelope(envelopes).filter("not parse_failed")
+    parsed = parse_envelope(envelopes).filter("not parse_failed")
+    sequence = F.concat(F.lit("sequence:"), F.col("sequence_number"))
+    good = parsed.withColumn("_identity", F.coalesce("event_id", sequence))
+    events = with_stream_metadata(good.drop(*ENVELOPE_COLUMNS[3:]), run_at, skip=["_identity"])
     return (
-        with_stream_metadata(good, run_at)
-        .withWatermark("event_timestamp", delay)
-        .dropDuplicatesWithinWatermark(["event_id"])
+        events.withWatermark("event_timestamp", delay)
+        .dropDuplicatesWithinWatermark(["_identity"])
+        .drop("_identity")
     )
 
 

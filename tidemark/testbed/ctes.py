@@ -265,4 +265,7 @@ def with_ctes(sql: str, extra: dict[str, str] | None = None) -> str:
     if not needed:
         return sql
     parts = [f"{n} AS ({known[n]})" for n in order if n in needed]
-    return "WITH " + ",\n".join(parts) + "\n" + sql
+    head = "WITH " + ",\n".join(parts)
+    if sql.startswith("WITH "):
+        return head + ",\n" + sql.removeprefix("WITH ")
+    return head + "\n" + sql

@@ -19,6 +19,11 @@ BY_CURRENCY = f"""SELECT currency_code, count(*) AS n, count(transaction_id) AS
   {total('transaction_amount')} AS amount, max(event_timestamp) AS newest FROM txn_raw GROUP BY 1"""
 
 
+def _monthly(df: DataFrame) -> DataFrame:
+    """Load month as the partition, so a test table has few folders."""
+    return df.withColumn("load_month", F.date_format("processing_date", "yyyy-MM"))
+
+
 def by_currency(df: DataFrame) -> DataFrame:
     return df.groupBy("currency_code").agg(
         F.count("*").alias("n"),
@@ -80,8 +85,8 @@ def _(v):
 )
 def _(v):
     paths = batch.Layout(scratch(v.spark, "tables"))
-    tables.write_table(v.transactions, paths.at("silver", "transactions"))
-    tables.write_table(v.transactions_rejected, paths.at("rejected", "transactions"))
+    for layer, rows in [("silver", v.transactions), ("rejected", v.transactions_rejected)]:
+        tables.write_table(_monthly(rows), paths.at(layer, "transactions"), "load_month")
     return batch.table_counts(
         v.spark, paths, {"silver": ["transactions"], "rejected": ["transactions"]}
     )
@@ -220,11 +225,6 @@ def by_day(df: DataFrame) -> DataFrame:
     )
 
 
-def _monthly(df: DataFrame) -> DataFrame:
-    """Load month as the partition, so a test table has few folders."""
-    return df.withColumn("load_month", F.date_format("processing_date", "yyyy-MM"))
-
-
 @query("k01_overwrite_partitioned", BY_DAY)
 def _(v):
     path = scratch(v.spark, "overwrite")
