@@ -174,7 +174,8 @@ def _group_counts(df: DataFrame, compare: DataFrame, groups: list[str], a: str,
     left = df.groupBy(*[F.col(c).alias(f"{c}_a") for c in groups]).agg(F.count("*").alias(a))
     right = compare.groupBy(*[F.col(c).alias(f"{c}_b") for c in groups]).agg(F.count("*").alias(b))
     on = reduce(lambda x, y: x & y, [F.col(f"{c}_a") == F.col(f"{c}_b") for c in groups])
-    return left.join(right, on, "full")
+    keys = [f"{c}_{side}" for c in groups for side in "ab"]
+    return left.join(right, on, "full").select(*keys, a, b)
 
 
 def equal_rowcount(df: DataFrame, compare: DataFrame, group_by: list[str] = ()) -> DataFrame:

@@ -42,29 +42,36 @@ def latest_per_key(
     keep_null_keys: bool = True,
     tiebreak: bool = True,
 ) -> DataFrame:
-    """Keep the newest row of every key.
+    """Keep the newest row of every key; rows with a null key are no copies of each other and stay.
 
     ``newest`` lists the ordering columns, latest first wins; the remaining columns follow as a
-    tie-break, so the survivor does not depend on row order. Rows with a null key are no copies of
-    each other and all stay.
+    tie-break, so the survivor does not depend on row order.
 
-    The ``rn = 1`` filter is pushed below the shuffle as a per-partition group limit, so a key that
-    holds a third of the rows sends at most one row per input partition. Keeping the null test out
-    of that filter is what lets Spark do so; the null-key branch is its own scan with a pushed
-    ``IS NULL`` filter, which Parquet row-group statistics answer almost for free.
+    One pass and one shuffle. The ``rank = 1`` filter becomes a group limit below the shuffle, so a
+    key that holds a third of the rows sends one row per input partition. Null-key rows would all be
+    one group; a 128-bit hash of the row spreads them, and ``rank`` (not ``row_number``) keeps every
+    copy of an identical row. Copies with a key are told apart by a row number that only ever decides
+    between equal rows, so a recomputed task gives the same result.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     newest = [newest] if isinstance(newest, str) else list(newest)
     rest = [c for c in df.columns if c not in {*keys, *newest}] if tiebreak else []
     order = [F.desc_nulls_last(c) for c in [*newest, *rest]]
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    ranked = (
-        df.filter(~has_null)
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-        .filter("_rank = 1")
-        .drop("_rank")
-    )
-    return ranked.unionByName(df.filter(has_null)) if keep_null_keys else ranked
+    if not keep_null_keys:
+        ranked = df.filter(~has_null).withColumn(
+            "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        )
+        return ranked.filter("_rank = 1").drop("_rank")
+    everything = [*keys, *newest, *rest] if tiebreak else df.columns
+    helpers = {
+        "_spread1": F.when(has_null, F.xxhash64(*everything)),
+        "_spread2": F.when(has_null, F.xxhash64(F.lit("second"), *everything)),
+        "_copy": F.when(~has_null, F.monotonically_increasing_id()),
+    }
+    group = Window.partitionBy(*keys, "_spread1", "_spread2").orderBy(*order, "_copy")
+    ranked = df.withColumns(helpers).withColumn("_rank", F.rank().over(group))
+    return ranked.filter("_rank = 1").drop("_rank", *helpers)
 
 
 def sure(condition: Column) -> Column:

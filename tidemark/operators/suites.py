@@ -4,6 +4,7 @@ unique column, whatever the number of expectations."""
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -211,7 +212,7 @@ def evaluate_suite(df: DataFrame, suite: str | list[dict], parameters: dict | No
                 tested = F.col(f"_set{i}")
             cells.append(cell(i, rule, tested, F.col(f"_bad{i}")))
 
-    results = df.agg(*aggregates).select(F.inline(F.array(*cells)))
+    parts = [df.agg(*aggregates).select(F.inline(F.array(*cells)))] if cells else []
     for i, rule in uniques:
         per_value = (
             df.filter(F.col(rule["column"]).isNotNull())
@@ -222,9 +223,8 @@ def evaluate_suite(df: DataFrame, suite: str | list[dict], parameters: dict | No
             F.coalesce(F.sum("_n"), F.lit(0)).alias("_all"),
             F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("_copies"),
         )
-        results = results.unionByName(
-            totals.select(F.inline(F.array(cell(i, rule, F.col("_all"), F.col("_copies")))))
-        )
+        parts.append(totals.select(F.inline(F.array(cell(i, rule, F.col("_all"), F.col("_copies"))))))
+    results = reduce(lambda a, b: a.unionByName(b), parts)
     share = 1 - F.try_divide(F.col("unexpected").cast("double"), F.col("tested"))
     whole = F.col("kind") == COLUMNS
     success = F.when(whole, F.col("unexpected") == 0).otherwise(

@@ -64,8 +64,10 @@ def load_reference(spark: SparkSession, paths: Layout, dataset: str, options: Op
     """Silver and gold of a table without rejects. Gold is projected from the silver table just
     written, so files are parsed and deduplicated once."""
     silver_path = paths.at("silver", dataset)
-    _write(clean_dataset(read_dataset(spark, paths, dataset, options), dataset), silver_path, options)
-    silver = spark.read.format(options.fmt).load(silver_path)
+    cleaned = clean_dataset(read_dataset(spark, paths, dataset, options), dataset)
+    _write(cleaned, silver_path, options)
+    # An empty load writes no file, so the schema is given instead of read.
+    silver = spark.read.format(options.fmt).schema(cleaned.schema).load(silver_path)
     _write(model.gold(silver, dataset), paths.at("gold", model.gold_name(dataset)), options)
 
 

@@ -23,29 +23,24 @@ def parse_envelope(df: DataFrame) -> DataFrame:
 
     ``from_json`` gives a row of nulls for broken text, so the flag comes from the corrupt-record
     field. Envelope columns get a prefix, because the payload has a partition_key of its own.
+    The parsed struct goes through ``inline``: later filters on its fields stay above it, where
+    pushing them down would parse every payload once more per filter.
     """
     text = F.col("data").cast("string")
     parsed = F.from_json(
         text, _PAYLOAD, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    return (
-        df.select(
-            F.col("partitionKey").alias("envelope_partition_key"),
-            F.col("sequenceNumber").alias("sequence_number"),
-            F.col("approximateArrivalTimestamp").alias("arrival_timestamp"),
-            text.alias("raw_data"),
-            parsed.alias("_event"),
-        )
-        .withColumn(
-            "parse_failed",
-            F.col("raw_data").isNull() | F.col("_event").isNull()
-            | F.col(f"_event.{CORRUPT}").isNotNull(),
-        )
-        .select(
-            "envelope_partition_key", "sequence_number", "arrival_timestamp", "raw_data",
-            "parse_failed", "_event.*",
-        )
-        .drop(CORRUPT)
+    rows = df.select(
+        F.col("partitionKey").alias("envelope_partition_key"),
+        F.col("sequenceNumber").alias("sequence_number"),
+        F.col("approximateArrivalTimestamp").alias("arrival_timestamp"),
+        text.alias("raw_data"),
+        F.inline_outer(F.array(parsed)),
+    )
+    failed = F.col("raw_data").isNull() | F.col(CORRUPT).isNotNull()
+    return rows.select(
+        "envelope_partition_key", "sequence_number", "arrival_timestamp", "raw_data",
+        failed.alias("parse_failed"), *STREAM_EVENT.fieldNames(),
     )
 
 

@@ -175,14 +175,13 @@ def latest_events(events: DataFrame) -> DataFrame:
     return latest_per_key(events, "event_id", "processing_timestamp")
 
 
-def recompute(events: DataFrame) -> dict[str, DataFrame]:
-    """All tables of the trade path from the full set of event files.
+def recompute(events: DataFrame, run_at: Column | None = None) -> dict[str, DataFrame]:
+    """All tables of the trade path from the full set of event files, lazily by ``<layer>/<table>``.
 
-    ``events`` carries the stream metadata columns. Returned lazily by ``<layer>/<table>``.
+    Load metadata is added to the surviving rows only.
     """
-    tagged = ev.tag_events(latest_events(events))
-    valid = valid_rows(tagged)
-    trades = ev.route(valid, "trade")
+    tagged = ev.tag_events(ev.with_stream_metadata(latest_events(events), run_at))
+    trades = ev.route(valid_rows(tagged), "trade")
     return {
         "rejected/events": rejected_rows(tagged),
         "silver/trades": trades,
@@ -192,14 +191,14 @@ def recompute(events: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def run_recompute(events: DataFrame, paths: StreamPaths) -> None:
+def run_recompute(events: DataFrame, paths: StreamPaths, run_at: Column | None = None) -> None:
     """Overwrite the trade tables. Gold is computed from the silver table just written, so the
     event files are read once for trades and once for rejects."""
     spark = events.sparkSession
-    tables = recompute(events)
+    tables = recompute(events, run_at)
     write_parquet(tables["rejected/events"], paths.at("rejected", "events"))
     write_parquet(tables["silver/trades"], paths.at("silver", "trades"))
-    trades = spark.read.parquet(paths.at("silver", "trades"))
+    trades = spark.read.schema(tables["silver/trades"].schema).parquet(paths.at("silver", "trades"))
     write_parquet(trades, paths.at("gold", "fact_trade"))
     write_parquet(marts.trade_minute_metrics(trades), paths.at("gold", "trade_minute_metrics"))
     write_parquet(marts.customer_trade_exposure(trades), paths.at("gold", "customer_trade_exposure"))

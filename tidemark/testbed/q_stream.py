@@ -222,7 +222,7 @@ def _(v):
 def _(v):
     _, paths = staged(v)
     good = v.parsed.filter("not parse_failed").drop(*ev.ENVELOPE_COLUMNS)
-    jobs.run_recompute(ev.with_stream_metadata(good, run_at()), paths)
+    jobs.run_recompute(good, paths, run_at())
     names = ["fact_trade", "trade_minute_metrics", "customer_trade_exposure"]
     counts = jobs.union_counts({n: v.spark.read.parquet(paths.at("gold", n)) for n in names})
     return counts.withColumnRenamed("row_count", "n")

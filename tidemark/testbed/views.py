@@ -336,13 +336,14 @@ class Views:
     def events_tagged(self) -> DataFrame:
         """Unique events, tagged, with load metadata fixed by the data."""
         good = self.parsed.filter("not parse_failed").drop(*ev.ENVELOPE_COLUMNS)
-        stamped = ev.with_stream_metadata(good).withColumns(
+        kept = latest_per_key(good, "event_id", "processing_timestamp")
+        stamped = ev.with_stream_metadata(kept).withColumns(
             {
                 "ingestion_timestamp": F.col("processing_timestamp"),
                 "processing_date": F.to_date("processing_timestamp"),
             }
         )
-        return ev.tag_events(latest_per_key(stamped, "event_id", "processing_timestamp"))
+        return ev.tag_events(stamped)
 
     @cached_property
     def events_valid(self) -> DataFrame:
