@@ -9,10 +9,9 @@ from tidemark.operators import reshape
 from tidemark.operators.mapping import Context, apply_mapping, contract_issues
 from tidemark.sources import bank_feed, listing_feed, market_feed
 from tidemark.testbed.ctes import pick
-from tidemark.testbed.registry import query
+from tidemark.testbed.registry import count_rows, query
 from tidemark.testbed.views import Views
 
-N = F.count("*").alias("n")
 
 
 def at():
@@ -118,7 +117,7 @@ def _(v):
     found = reshape.relations_by_prefix(v.spark, "party_")
     rows = reshape.union_relations(found, source_column="src")
     kind = F.replace("src", F.lit("party_"), F.lit("")).alias("kind")
-    return rows.groupBy(kind).agg(N, F.count("balance").alias("balances"))
+    return rows.groupBy(kind).agg(count_rows(), F.count("balance").alias("balances"))
 
 
 @query(
@@ -484,7 +483,7 @@ def _(v):
 def _(v):
     mapped = bank_feed.map_transactions(bank_feed.bundle_transactions(bank_bundles(v)))
     amount = F.col("transaction_amount").cast("double")
-    return mapped.groupBy("transaction_type").agg(N, F.count_if(amount < 0).alias("negative"))
+    return mapped.groupBy("transaction_type").agg(count_rows(), F.count_if(amount < 0).alias("negative"))
 
 
 @query(
@@ -737,6 +736,6 @@ def _(v):
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("issues"))
     from tidemark.operators.recon import one_row
 
-    return one_row(v.customers.agg(N), issues).select(F.lit("customers").alias("entity"), "n", "issues")
+    return one_row(v.customers.agg(count_rows()), issues).select(F.lit("customers").alias("entity"), "n", "issues")
 
 

@@ -15,10 +15,9 @@ from tidemark.schemas import CANONICAL
 from tidemark.streaming import events as ev
 from tidemark.streaming.jobs import latest_events, recompute
 from tidemark.testbed.ctes import avg_money, day, names, total
-from tidemark.testbed.registry import query
+from tidemark.testbed.registry import count_rows, query
 from tidemark.testbed.views import Views
 
-N = F.count("*").alias("n")
 LOADED = "CAST(processing_date AS VARCHAR) AS processing_date"
 
 
@@ -52,7 +51,7 @@ def _split(name: str, tagged: str, cte: str, key: str) -> None:
     def _(v):
         rows = getattr(v, tagged)
         return rows.groupBy(F.col("rejection_reason").isNull().alias("valid")).agg(
-            N, F.count(key).alias("ids"), F.sum("transaction_amount").alias("amount")
+            count_rows(), F.count(key).alias("ids"), F.sum("transaction_amount").alias("amount")
         )
 
 
@@ -75,7 +74,7 @@ def _(v):
              "trades": v.trades_tagged}
     out = None
     for name, df in parts.items():
-        one = df.filter("rejection_reason is not null").groupBy("rejection_reason").agg(N).select(
+        one = df.filter("rejection_reason is not null").groupBy("rejection_reason").agg(count_rows()).select(
             F.lit(name).alias("dataset"), "rejection_reason", "n"
         )
         out = one if out is None else out.unionByName(one)
@@ -94,7 +93,7 @@ def _(v):
     parts = [("transactions", v.transactions_raw, transaction_rule()),
              ("payments", v.payments_raw, payment_rule()), ("trades", v.trades_raw, trade_rule())]
     frames = [
-        df.agg(F.count_if(rule).alias("passing"), N).select(F.lit(n).alias("dataset"), "passing", "n")
+        df.agg(F.count_if(rule).alias("passing"), count_rows()).select(F.lit(n).alias("dataset"), "passing", "n")
         for n, df, rule in parts
     ]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
@@ -171,7 +170,7 @@ def _(v):
 def _(v):
     narrow = v.parsed.filter("not parse_failed").select("event_id", "event_type", "trade_id")
     return ev.with_optional_columns(narrow).groupBy("event_type").agg(
-        N, F.count("transaction_id").alias("transaction_ids"),
+        count_rows(), F.count("transaction_id").alias("transaction_ids"),
         F.count("merchant_category").alias("merchants"), F.count("trade_id").alias("trades"),
     )
 
@@ -203,7 +202,7 @@ def _(v):
 )
 def _(v):
     valid = F.col("rejection_reason").isNull().alias("valid")
-    return v.events_tagged.groupBy("event_type", valid).agg(N)
+    return v.events_tagged.groupBy("event_type", valid).agg(count_rows())
 
 
 @query("p17_stream_rejection_reasons",
@@ -252,7 +251,7 @@ for _dataset, _frame, _source, _amounts in [
 )
 def _(v):
     return v.transactions_raw.groupBy(risk_band("risk_score").alias("risk_band")).agg(
-        N, F.count("risk_score").alias("scored")
+        count_rows(), F.count("risk_score").alias("scored")
     )
 
 
@@ -391,7 +390,7 @@ def _(v):
 )
 def _(v):
     broken = broken_rules(v.payments_raw, "payments")
-    return broken.select(F.explode("broken_rules").alias("rule")).groupBy("rule").agg(N)
+    return broken.select(F.explode("broken_rules").alias("rule")).groupBy("rule").agg(count_rows())
 
 
 @query(
@@ -410,7 +409,7 @@ def _(v):
 )
 def _(v):
     return v.fct_transactions.groupBy("account_type").agg(
-        N, F.countDistinct("customer_id").alias("customers")
+        count_rows(), F.countDistinct("customer_id").alias("customers")
     )
 
 
@@ -423,7 +422,7 @@ def _(v):
     from tidemark.operators.checks import relationships
 
     orphans = relationships(v.payments, "counterparty_account_id", v.accounts, "account_id")
-    return orphans.groupBy("id").agg(N)
+    return orphans.groupBy("id").agg(count_rows())
 
 
 @query(

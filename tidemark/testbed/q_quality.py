@@ -12,10 +12,9 @@ from tidemark.schemas import CURRENCIES
 from tidemark.session import scratch
 from tidemark.sinks.tables import write_table
 from tidemark.testbed.ctes import lit
-from tidemark.testbed.registry import query
+from tidemark.testbed.registry import count_rows, query
 from tidemark.testbed.views import Views
 
-N = F.count("*").alias("n")
 RUN_AT = datetime(2024, 6, 1, 12, 0, 0)
 CHECKED = "2024-06-01 12:00:00"
 

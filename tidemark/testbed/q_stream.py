@@ -9,10 +9,9 @@ from tidemark.schemas import STREAM_EVENT
 from tidemark.session import scratch
 from tidemark.sources.files import read_event_lines
 from tidemark.streaming import events as ev, jobs
-from tidemark.testbed.registry import query
+from tidemark.testbed.registry import count_rows, query
 from tidemark.testbed.views import Views
 
-N = F.count("*").alias("n")
 RUN_DAY = "2024-06-01"
 
 
@@ -56,7 +55,7 @@ def _(v):
     ))
     key = F.substring("partitionKey", 2, 100).alias("partition_key")
     return v.spark.read.parquet(paths.at("bronze", "envelopes")).groupBy(key).agg(
-        N, F.max("approximateArrivalTimestamp").alias("newest")
+        count_rows(), F.max("approximateArrivalTimestamp").alias("newest")
     )
 
 
@@ -69,7 +68,7 @@ def _(v):
     rows = ev.prepare(source(v, path), run_at())
     finish(jobs.write_stream(rows, paths.at("silver", "events"), paths.checkpoint("events"), True))
     return v.spark.read.parquet(paths.at("silver", "events")).groupBy("event_type").agg(
-        N, F.countDistinct("event_id").alias("ids")
+        count_rows(), F.countDistinct("event_id").alias("ids")
     )
 
 
@@ -192,7 +191,7 @@ def _(v):
         .when(F.col("event_type") == "click", "transaction")
         .when(F.col("event_type") == "view", "payment").otherwise("error").alias("event_type"),
     )
-    return first.join(kinds, "sequence_number").groupBy("event_type").agg(N)
+    return first.join(kinds, "sequence_number").groupBy("event_type").agg(count_rows())
 
 
 @query(
@@ -208,7 +207,7 @@ def _(v):
     finish(jobs.write_stream(
         rows, paths.at("silver", "lines"), paths.checkpoint("lines"), True, partition_by=None))
     return v.spark.read.parquet(paths.at("silver", "lines")).groupBy("event_type").agg(
-        N, F.bool_and(F.col("source_file").contains("lines")).alias("has_file"))
+        count_rows(), F.bool_and(F.col("source_file").contains("lines")).alias("has_file"))
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.testbed.ctes import with_ctes
 from tidemark.testbed.views import Views
@@ -13,6 +13,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def count_rows() -> Column:
+    return F.count("*").alias("n")
+
+
 def portable(df: DataFrame) -> DataFrame:
     """Result types both engines share: decimals as doubles, dates as text, timestamps without a
     zone. The library itself keeps decimals and dates."""
