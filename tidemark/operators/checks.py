@@ -265,7 +265,7 @@ def sequential_values(
         F.struct(value.alias("previous_value"), (F.col("_n") - 1).alias("failing_rows")),
     )
     return (
-        with_neighbour(distinct, groups, column, "lag", "_before")
+        with_neighbour(distinct, groups, column, "lag", "_before", measured_on=df)
         .select(*groups, column, F.inline(cases))
         .filter("failing_rows > 0")
         .filter(value != F.col("previous_value") + step)
@@ -307,7 +307,10 @@ def mutually_exclusive_ranges(
             F.max(F.col("upper_bound").isNull()).alias("_open_end"),
         )
     )
-    starts = with_neighbour(starts, groups, "lower_bound", "lead", "_next")
+    column = df.select(F.col(lower).alias("lower_bound"))
+    starts = with_neighbour(
+        starts, groups, "lower_bound", "lead", "_next", measured_on=column
+    )
     on = [F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}")) for g in groups]
     on.append(F.col("r.lower_bound") == F.col("s.lower_bound"))
     high, last = F.col("r.upper_bound"), F.col("_last_upper")

@@ -7,6 +7,8 @@ of its own, and one extra row per (key, range) carries the value across the bord
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
@@ -22,50 +24,63 @@ def _as_number(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
+def range_count(df: DataFrame) -> int:
+    """Enough ranges to give every shuffle partition a few, within 64..4096."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(64, min(4096, 4 * partitions))
+
+
+def _range_of(number: Column, cuts: list[float]) -> Column:
+    """How many cuts lie below a number. Two levels, so 4096 cuts cost about 128 comparisons."""
+    width = max(1, int(len(cuts) ** 0.5))
+    blocks = [cuts[i : i + width] for i in range(0, len(cuts), width)]
+    below = F.from_json(F.lit(json.dumps([b[-1] for b in blocks])), "array<double>")
+    inner = F.from_json(F.lit(json.dumps(blocks)), "array<array<double>>")
+    block = F.size(F.filter(below, lambda b: b < number))
+    part = F.coalesce(F.get(inner, block), F.array().cast("array<double>"))
+    return block * width + F.size(F.filter(part, lambda b: b < number))
+
+
 def with_neighbour(
     df: DataFrame,
     partition_by: list[str],
     order: str,
     direction: str,
     name: str,
-    ranges: int = 64,
+    ranges: int | None = None,
+    measured_on: DataFrame | None = None,
 ) -> DataFrame:
     """Add the value of ``order`` before (``lag``) or after (``lead``) each row as ``name``.
 
     ``order`` must be unique and not null within ``partition_by`` (group by it first). The border
     values are at most ``ranges`` per key, so the small window over them is bounded. The cut points
-    are one approximate-percentile pass returning ``ranges`` numbers; how well they balance affects
-    speed only, not the result.
+    come from one approximate-percentile pass over the order column of ``measured_on`` (a frame that
+    is cheap to scan, such as the input before grouping); how well they balance affects speed only,
+    not the result.
     """
     if direction not in ("lag", "lead"):
         raise ValueError("direction must be 'lag' or 'lead'")
+    ranges = ranges or range_count(df)
+    measured = measured_on if measured_on is not None else df
     shares = [i / ranges for i in range(1, ranges)]
-    number = _as_number(df, order)
-    cuts = df.agg(F.percentile_approx(number, shares, 10_000)).head()[0] or []
-    cuts = sorted(set(cuts))
-    bucket = F.lit(0)
-    if cuts:
-        bounds = F.array(*[F.lit(float(c)) for c in cuts])
-        bucket = F.size(F.filter(bounds, lambda b: b < number))
+    sketch = F.percentile_approx(_as_number(measured, order), shares, 25 * ranges)
+    cuts = sorted(set(measured.agg(sketch).head()[0] or []))
+    bucket = _range_of(_as_number(df, order), cuts) if cuts else F.lit(0)
     body = df.withColumn("_range", bucket).withColumn("_border", F.lit(False))
 
     across = Window.partitionBy(*partition_by).orderBy("_range")
-    if direction == "lead":
-        edges = body.groupBy(*partition_by, "_range").agg(F.min(order).alias(order))
-        carried = F.lead(order).over(across)
-    else:
-        edges = body.groupBy(*partition_by, "_range").agg(F.max(order).alias(order))
-        carried = F.lag(order).over(across)
+    ahead = direction == "lead"
+    edges = body.groupBy(*partition_by, "_range").agg((F.min if ahead else F.max)(order).alias(order))
+    carried = (F.lead if ahead else F.lag)(order).over(across)
     border = (
         edges.withColumn(order, carried)
         .filter(F.col(order).isNotNull())
         .withColumn("_border", F.lit(True))
     )
     inside = Window.partitionBy(*partition_by, "_range").orderBy(order)
-    moved = F.lead(order).over(inside) if direction == "lead" else F.lag(order).over(inside)
     return (
         body.unionByName(border, allowMissingColumns=True)
-        .withColumn(name, moved)
+        .withColumn(name, (F.lead if ahead else F.lag)(order).over(inside))
         .filter(~F.col("_border"))
         .drop("_range", "_border")
     )

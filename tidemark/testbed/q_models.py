@@ -9,11 +9,12 @@ from tidemark.operators import recon, reshape
 from tidemark.operators.clean import (
     broken_rules, latest_per_key, payment_rule, to_money, trade_rule, transaction_rule,
 )
+from tidemark.operators.checks import relationships
 from tidemark.operators.history import upsert
 from tidemark.plans import marts, model, reports
 from tidemark.schemas import CANONICAL
 from tidemark.streaming import events as ev
-from tidemark.streaming.jobs import latest_events, recompute
+from tidemark.streaming.jobs import latest_events, recompute, union_counts
 from tidemark.testbed.ctes import avg_money, day, names, total
 from tidemark.testbed.registry import count_rows, query
 from tidemark.testbed.views import Views
@@ -244,6 +245,22 @@ for _dataset, _frame, _source, _amounts in [
         return model.staging(getattr(v, frame), dataset)
 
 
+for _dataset, _amounts in [("customers", []), ("accounts", ["current_balance"])]:
+
+    @query(
+        f"p21_staging_{_dataset}",
+        f"""SELECT {columns(_dataset, *_amounts)}, TIMESTAMP '2024-06-01' AS ingestion_timestamp,
+          'bronze' AS source_file, '2024-06-01' AS processing_date FROM {_dataset}""",
+    )
+    def _(v, dataset=_dataset, amounts=_amounts):
+        at = F.lit("2024-06-01").cast("timestamp")
+        silver = getattr(v, dataset).withColumns(
+            {"ingestion_timestamp": at, "source_file": F.lit("bronze"),
+             "processing_date": F.to_date(at)}
+        )
+        return model.staging(to_money(silver, *amounts) if amounts else silver, dataset)
+
+
 @query(
     "p22_risk_band",
     """SELECT CASE WHEN risk_score >= 80 THEN 'HIGH' WHEN risk_score >= 50 THEN 'MEDIUM'
@@ -419,12 +436,27 @@ def _(v):
       NOT IN (SELECT account_id FROM accounts) GROUP BY 1""",
 )
 def _(v):
-    from tidemark.operators.checks import relationships
-
     orphans = relationships(v.payments, "counterparty_account_id", v.accounts, "account_id")
     return orphans.groupBy("id").agg(count_rows())
 
 
+@query(
+    "j02_customers_left_transactions",
+    f"""SELECT c.country_code, count(DISTINCT c.customer_id) AS customers,
+      count(t.transaction_id) AS transactions, {total('t.transaction_amount')} AS amount
+      FROM customers c LEFT JOIN transactions t ON c.customer_id = t.customer_id GROUP BY 1""",
+)
+def _(v):
+    per_customer = marts.per_key_then_join(
+        v.customers, v.transactions, "customer_id",
+        F.count("transaction_id").alias("n"), F.sum("transaction_amount").alias("amount"),
+    )
+    return per_customer.groupBy("country_code").agg(
+        F.count("*").alias("customers"), F.coalesce(F.sum("n"), F.lit(0)).alias("transactions"),
+        F.sum("amount").alias("amount"),
+    )
+
+
 @query(
     "j08_merge_join",
     """SELECT customer_id, risk_score, full_name FROM customers WHERE risk_score < 50
@@ -742,6 +774,25 @@ def _(v):
     return kept.select("transaction_id", "processing_timestamp", "transaction_status")
 
 
+@query(
+    "w04_latest_landing_row",
+    """SELECT transaction_id, transaction_status, processing_timestamp FROM
+      (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY processing_timestamp DESC,
+        load_timestamp DESC, transaction_status DESC) AS rn FROM
+        (SELECT t.*, TIMESTAMP '2024-06-01' + to_days(d) AS load_timestamp FROM txn_raw t,
+          (VALUES (0), (1)) x(d)) WHERE transaction_id IS NOT NULL) WHERE rn = 1""",
+)
+def _(v):
+    """Every row landed twice; processing time, then load time decides."""
+    day = F.explode(F.array(F.lit(0), F.lit(1)))
+    landed = v.transactions_raw.withColumn("day", day).withColumn(
+        "load_timestamp", F.lit("2024-06-01").cast("timestamp") + F.make_dt_interval("day")
+    )
+    newest = ["processing_timestamp", "load_timestamp"]
+    kept = latest_per_key(landed, "transaction_id", newest, keep_null_keys=False)
+    return kept.select("transaction_id", "transaction_status", "processing_timestamp")
+
+
 @query(
     "t09_recompute_trade_tables",
     """SELECT 'gold/customer_trade_exposure' AS table_name, count(*) AS row_count FROM
@@ -753,8 +804,6 @@ def _(v):
     UNION ALL SELECT 'silver/trades', count(*) FROM stream_trades""",
 )
 def _(v):
-    from tidemark.streaming.jobs import union_counts
-
     good = v.parsed.filter("not parse_failed").drop(*ev.ENVELOPE_COLUMNS)
     return union_counts(recompute(good, F.lit("2024-06-01").cast("timestamp")))
 

@@ -213,6 +213,16 @@ def _(v):
     return checks.at_least_one(rows, "r", ["account_id"])
 
 
+@query("q13_at_least_one_in_table", """SELECT 'r' AS column_name, count(*) FILTER (n = 0) AS failures FROM
+  (SELECT count(CASE WHEN risk_score > 1000 THEN 1 END) AS n FROM txn_raw
+   UNION ALL SELECT count(risk_score) FROM txn_raw)""")
+def _(v):
+    """An all-null column fails with one row, a filled one passes with none."""
+    rows = v.transactions_raw.withColumn("none", F.when(F.col("risk_score") > 1000, 1))
+    failing = checks.at_least_one(rows, "none").unionByName(checks.at_least_one(rows, "risk_score"))
+    return failing.agg(F.lit("r").alias("column_name"), count_rows().alias("failures"))
+
+
 @query("q14_cardinality_equality", """WITH a AS (SELECT o_custkey AS value, count(*) AS num_rows FROM orders GROUP BY 1),
   b AS (SELECT c_custkey AS value, count(*) AS num_rows FROM customer GROUP BY 1)
   SELECT * FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT SELECT * FROM a)""")

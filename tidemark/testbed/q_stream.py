@@ -72,6 +72,24 @@ def _(v):
     )
 
 
+@query(
+    "t01_watermark_drops_late_rows",
+    """SELECT event_type, count(*) AS n FROM ev_tagged, (SELECT max(event_timestamp) FILTER (k % 2 = 0)
+        - INTERVAL 10 MINUTE AS mark FROM ev_sent WHERE k % 101 <> 0)
+      WHERE k % 2 = 0 OR event_timestamp > date_trunc('millisecond', mark) GROUP BY 1""",
+)
+def _(v):
+    """Even events first, odd ones after: of these only the ones within ten minutes are taken."""
+    path, paths = staged(v)
+    number = F.split("sequenceNumber", "-")[0].cast("bigint")
+    for half in (0, 1):
+        part = f"{paths.root}/halves"
+        v.spark.read.parquet(path).filter(number % 2 == half).write.mode("append").parquet(part)
+        rows = ev.prepare(source(v, part), run_at())
+        finish(jobs.write_stream(rows, paths.at("silver", "events"), paths.checkpoint("events"), True))
+    return v.spark.read.parquet(paths.at("silver", "events")).groupBy("event_type").agg(count_rows())
+
+
 @query(
     "t03_late_side_output",
     "SELECT event_id, event_type, event_timestamp FROM ev_sent WHERE k % 41 = 0 AND k % 101 <> 0",
