@@ -88,6 +88,7 @@ RANGES = {
     "overlap": [(1, 0, 3), (1, 2, 4)],
     "zero": [(1, 0, 2), (1, 2, 2), (1, 2, 4)],
     "copies": [(1, 0, 2), (1, 0, 2), (1, 5, 6)],
+    "null_lower": [(1, None, 2), (1, 0, 2), (1, None, None), (1, 3, 5)],
 }
 
 

@@ -299,13 +299,9 @@ def mutually_exclusive_ranges(
     ranges = df.groupBy(
         *groups, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound")
     ).agg(F.count("*").alias("_n"))
-    starts = (
-        ranges.filter("lower_bound is not null")
-        .groupBy(*groups, "lower_bound")
-        .agg(
-            F.max("upper_bound").alias("_last_upper"),
-            F.max(F.col("upper_bound").isNull()).alias("_open_end"),
-        )
+    starts = ranges.groupBy(*groups, "lower_bound").agg(
+        F.max("upper_bound").alias("_last_upper"),
+        F.max(F.col("upper_bound").isNull()).alias("_open_end"),
     )
     column = df.select(F.col(lower).alias("lower_bound"))
     starts = with_neighbour(

@@ -52,7 +52,8 @@ def with_neighbour(
 ) -> DataFrame:
     """Add the value of ``order`` before (``lag``) or after (``lead``) each row as ``name``.
 
-    ``order`` must be unique and not null within ``partition_by`` (group by it first). The border
+    ``order`` must be unique within ``partition_by`` (group by it first); a null is nobody's
+    neighbour. The border
     values are at most ``ranges`` per key, so the small window over them is bounded. The cut points
     come from one approximate-percentile pass over the order column of ``measured_on`` (a frame that
     is cheap to scan, such as the input before grouping); how well they balance affects speed only,
@@ -70,7 +71,11 @@ def with_neighbour(
 
     across = Window.partitionBy(*partition_by).orderBy("_range")
     ahead = direction == "lead"
-    edges = body.groupBy(*partition_by, "_range").agg((F.min if ahead else F.max)(order).alias(order))
+    # The other columns ride along so that both branches need the same input and share its shuffle.
+    others = [c for c in df.columns if c not in {*partition_by, order}]
+    edges = body.groupBy(*partition_by, "_range").agg(
+        (F.min if ahead else F.max)(order).alias(order), *[F.max(c).alias(c) for c in others]
+    )
     carried = (F.lead if ahead else F.lag)(order).over(across)
     border = (
         edges.withColumn(order, carried)
@@ -79,7 +84,7 @@ def with_neighbour(
     )
     inside = Window.partitionBy(*partition_by, "_range").orderBy(order)
     return (
-        body.unionByName(border, allowMissingColumns=True)
+        body.unionByName(border)
         .withColumn(name, (F.lead if ahead else F.lag)(order).over(inside))
         .filter(~F.col("_border"))
         .drop("_range", "_border")
