@@ -96,3 +96,10 @@ def test_record_rules(spark):
         "customer_id string, full_name string, email string, country_code string, risk_score int, created_at timestamp")
     got = [r.broken_rules for r in clean.broken_rules(df, "customers").collect()]
     assert got == [[], ["country_code", "risk_score"], ["country_code", "risk_score"]]
+
+
+def test_latest_per_key_with_map_columns(spark):
+    schema = "k string, at int, m map<string,int>"
+    df = spark.createDataFrame([("a", 1, {"x": 1}), ("a", 2, {"x": 2}), (None, 1, {"x": 1}), (None, 1, {"x": 2})], schema)
+    kept = clean.latest_per_key(df, "k", "at").collect()
+    assert len(kept) == 3 and [r.m for r in kept if r.k == "a"] == [{"x": 2}]

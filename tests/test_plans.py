@@ -71,6 +71,7 @@ def test_batch_end_to_end(spark, tmp_path, rows):
     for dataset in CANONICAL:
         write_bronze(tmp_path, dataset, [])
     write_bronze(tmp_path, "customers", [{"customer_id": "c1", "full_name": "N", "risk_score": 3, "created_at": "2026-01-01T00:00:00Z"}])
+    write_bronze(tmp_path, "customers", [{"customer_id": "c1", "full_name": "Newer"}], "customers_20260816T000000Z.json")
     write_bronze(tmp_path, "daily_account_balances", [{"balance_id": "b", "account_id": "a1", "opening_balance": "1.005", "closing_balance": "oops"}])
     write_bronze(tmp_path, "transactions", [
         txn("t1"), txn("t1", processing_timestamp="2026-08-10T11:00:00Z", transaction_amount="12.00"), txn("t1"),
@@ -84,7 +85,8 @@ def test_batch_end_to_end(spark, tmp_path, rows):
     reasons = rows(spark.read.parquet(str(tmp_path / "rejected/transactions")), "transaction_id", "rejection_reason")
     assert reasons == [("t3", "invalid_currency"), ("t4", "negative_amount"), ("t5", "validation_failed"), ("t6", "validation_failed"),
                        ("t7", "validation_failed"), (None, "transaction_id_null"), (None, "transaction_id_null")]
-    assert rows(spark.read.parquet(str(tmp_path / "gold/dim_customer")), "customer_id") == [("c1",)]
+    # The newer file wins for reference data.
+    assert rows(spark.read.parquet(str(tmp_path / "gold/dim_customer")), "customer_id", "full_name") == [("c1", "Newer")]
     assert rows(spark.read.parquet(str(tmp_path / "gold/fact_daily_account_balance")), "opening_balance", "closing_balance") == [(Decimal("1.01"), None)]
     gold = out["transactions"]["gold_summary"][0]
     assert gold.suite_name == "gold_load_validation" and not gold.success

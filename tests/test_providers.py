@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.mapping import SPECS, Context, apply_mapping, contract_issues, mapping_issues
+from tidemark.schemas import LINEAGE_FIELDS
 from tidemark.sources import bank_feed, listing_feed, market_feed
 
 AT = dt.datetime(2024, 6, 1, 12)
@@ -149,3 +150,10 @@ def test_contract_issues(spark, rows):
     df = spark.createDataFrame([("c1", "n", None, "x"), (None, "n", "e", "7")], "customer_id string, full_name string, email string, risk_score string")
     assert rows(contract_issues(df, "customers")) == [
         ("customer_id", "null in required field", 1), ("email", "null in required field", 1), ("risk_score", "not a integer", 1)]
+
+
+def test_lineage_has_the_required_fields(spark):
+    df = spark.createDataFrame([("c", 1), ("d", 2)], "customer_id string, n int")
+    out = bank_feed.lineage(df, "bank", "accounts", F.col("customer_id"), NOW())
+    assert sorted(out.columns) == sorted(LINEAGE_FIELDS)
+    assert out.select("raw_payload_checksum").distinct().count() == 2

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.schemas import MONEY, SENSITIVE_FIELDS
 
 # Fixed values
-HASH_SALT = "financial-data-platform"
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 EARTH_RADIUS_MI = 3961
 KM_PER_MI = 1.60934
@@ -37,7 +36,8 @@ def cents_to_amount(c: Column | str) -> Column:
     return col(c) / F.lit(100.0)
 
 
-def salted_hash(c: Column | str, salt: str = HASH_SALT) -> Column:
+def salted_hash(c: Column | str, salt: str) -> Column:
+    """SHA-256 of ``salt:value``. The salt belongs to the deployment, so it has no default."""
     return F.sha2(F.concat(F.lit(salt + ":"), col(c)), 256)
 
 
@@ -56,7 +56,7 @@ def mask_email(c: Column | str) -> Column:
     )
 
 
-def protect(df: DataFrame, purpose: str = "logs", salt: str = HASH_SALT) -> DataFrame:
+def protect(df: DataFrame, salt: str, purpose: str = "logs") -> DataFrame:
     """Apply the sensitive-field policy: mask for ``logs``, hash for ``exports``."""
     if purpose not in ("logs", "exports"):
         raise ValueError("purpose must be 'logs' or 'exports'")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.scalars import money
 from tidemark.schemas import (
@@ -35,6 +35,14 @@ def to_money(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: money(c) for c in columns})
 
 
+def _sortable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_sortable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _sortable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def latest_per_key(
     df: DataFrame,
     keys: str | list[str],
@@ -44,8 +52,8 @@ def latest_per_key(
 ) -> DataFrame:
     """Keep the newest row of every key; rows with a null key are no copies of each other and stay.
 
-    ``newest`` lists the ordering columns, latest first wins; the remaining columns follow as a
-    tie-break, so the survivor does not depend on row order.
+    ``newest`` lists the ordering columns, latest first wins; the remaining columns (maps have no
+    order and are left out) follow as a tie-break, so the survivor does not depend on row order.
 
     One pass and one shuffle. The ``rank = 1`` filter becomes a group limit below the shuffle, so a
     key that holds a third of the rows sends one row per input partition. Null-key rows would all be
@@ -55,7 +63,8 @@ def latest_per_key(
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     newest = [newest] if isinstance(newest, str) else list(newest)
-    rest = [c for c in df.columns if c not in {*keys, *newest}] if tiebreak else []
+    others = [f.name for f in df.schema.fields if _sortable(f.dataType)]
+    rest = [c for c in others if c not in {*keys, *newest}] if tiebreak else []
     order = [F.desc_nulls_last(c) for c in [*newest, *rest]]
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     if not keep_null_keys:
@@ -63,10 +72,9 @@ def latest_per_key(
             "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         )
         return ranked.filter("_rank = 1").drop("_rank")
-    everything = [*keys, *newest, *rest] if tiebreak else df.columns
     helpers = {
-        "_spread1": F.when(has_null, F.xxhash64(*everything)),
-        "_spread2": F.when(has_null, F.xxhash64(F.lit("second"), *everything)),
+        "_spread1": F.when(has_null, F.xxhash64(*others)),
+        "_spread2": F.when(has_null, F.xxhash64(F.lit("second"), *others)),
         "_copy": F.when(~has_null, F.monotonically_increasing_id()),
     }
     group = Window.partitionBy(*keys, "_spread1", "_spread2").orderBy(*order, "_copy")

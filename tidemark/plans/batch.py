@@ -41,12 +41,17 @@ class Options:
 
 
 def clean_dataset(raw: DataFrame, dataset: str) -> DataFrame:
-    """Cast money and keep the newest row per key. Reference data is ordered by load time."""
-    df = to_money(raw, *MONEY_COLUMNS[dataset]) if dataset in TRANSACTIONAL else raw
-    newest = "processing_timestamp" if dataset in TRANSACTIONAL else "ingestion_timestamp"
-    if dataset == "daily_account_balances":
-        df = to_money(raw, *MONEY_COLUMNS[dataset])
-    return latest_per_key(df, KEYS[dataset], newest)
+    """Cast money and keep the newest row per key.
+
+    Reference data and balances carry no processing time: the load time and then the file, whose
+    name holds its timestamp, decide. Their account balance stays text, as delivered.
+    """
+    if dataset in TRANSACTIONAL:
+        newest = ["processing_timestamp"]
+    else:
+        newest = ["ingestion_timestamp", "source_file"]
+    amounts = [] if dataset == "accounts" else MONEY_COLUMNS.get(dataset, [])
+    return latest_per_key(to_money(raw, *amounts) if amounts else raw, KEYS[dataset], newest)
 
 
 def read_dataset(spark: SparkSession, paths: Layout, dataset: str, options: Options) -> DataFrame:

@@ -96,5 +96,8 @@ LOAD_HISTORY_COLUMNS = [
 
 
 def append_audit(df: DataFrame, path: str) -> None:
-    """Append audit rows (load history, reconciliation results, validation summaries)."""
-    df.coalesce(1).write.mode("append").parquet(path)
+    """Append audit rows (load history, reconciliation results, validation summaries) as one file.
+
+    The few rows are shuffled to one task; a coalesce would pull the work that makes them into it.
+    """
+    df.repartition(1).write.mode("append").parquet(path)

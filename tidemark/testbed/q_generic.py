@@ -195,12 +195,12 @@ _spine("u08_date_spine_month", "month", "1 MONTH")
 # ---- F: functions ------------------------------------------------------------------------------
 @query(
     "f01_salted_hash",
-    """SELECT c_custkey, sha256('financial-data-platform:' || c_name) AS h,
+    """SELECT c_custkey, sha256('salt-1:' || c_name) AS h,
       sha256('pepper:' || c_name) AS p FROM customer""",
 )
 def _(v):
     return v.table("customer").select(
-        "c_custkey", scalars.salted_hash("c_name").alias("h"),
+        "c_custkey", scalars.salted_hash("c_name", "salt-1").alias("h"),
         scalars.salted_hash("c_name", "pepper").alias("p"),
     )
 
@@ -228,13 +228,13 @@ def _(v):
 
 @query(
     "f03_protected_export",
-    """SELECT sha256('financial-data-platform:' || customer_id) AS customer_id,
-      sha256('financial-data-platform:' || full_name) AS full_name,
-      sha256('financial-data-platform:' || email) AS email, country_code, risk_score, created_at
+    """SELECT sha256('salt-1:' || customer_id) AS customer_id,
+      sha256('salt-1:' || full_name) AS full_name,
+      sha256('salt-1:' || email) AS email, country_code, risk_score, created_at
       FROM customers""",
 )
 def _(v):
-    return scalars.protect(v.customers, "exports")
+    return scalars.protect(v.customers, "salt-1", "exports")
 
 
 @query(

@@ -39,7 +39,12 @@ def query(name: str, sql: str | None = None, extra: dict[str, str] | None = None
         raise ValueError(f"query {name} is registered twice")
 
     def register(fn: Callable[[Views], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: portable(fn(Views(spark, sf_dir)))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # The canonical tables are in UTC; results leave without a zone.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return portable(fn(Views(spark, sf_dir)))
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = with_ctes(sql, extra)
         return fn
