@@ -134,7 +134,8 @@ def test_ranges_random(spark, data, gaps, zero):
 
 @pytest.mark.parametrize("direction", ["lag", "lead"])
 @pytest.mark.parametrize("groups", [[], ["g"]])
-def test_neighbour_equals_window(spark, rows, direction, groups):
+@pytest.mark.parametrize("ranges", [16, 4096])
+def test_neighbour_equals_window(spark, rows, direction, groups, ranges):
     """A hot group, a tiny group and a null group against the plain window."""
     rng = random.Random(5)
     data = {("hot", rng.randrange(10_000)) for _ in range(3000)} | {("b", 1), ("b", 9000), (None, 3), (None, 4)}
@@ -143,7 +144,7 @@ def test_neighbour_equals_window(spark, rows, direction, groups):
     df = spark.createDataFrame(sorted(data, key=str), "g string, n long")
     w = Window.partitionBy(*groups).orderBy("n")
     want = df.withColumn("m", (F.lead if direction == "lead" else F.lag)("n").over(w))
-    assert rows(with_neighbour(df, groups, "n", direction, "m", ranges=16)) == rows(want)
+    assert rows(with_neighbour(df, groups, "n", direction, "m", ranges=ranges)) == rows(want)
 
 
 def test_neighbour_of_dates(spark, rows):
