@@ -7,13 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from tidemark.testbed.catalog import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
     "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +49,8 @@ def test_query(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(SQL) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 def test_entry(spark):
