@@ -6,7 +6,7 @@ single bytes in UTF-8, so words can be cut on the bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -25,6 +25,11 @@ _BASE = 0x9E3779B97F4A7C15
 _BLOCK = 1 << 20
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it in ``body`` as often as needed."""
+    return F.transform(F.array(value), body)[0]
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; empty for null or a text without words."""
     parts = F.split(F.coalesce(text, F.lit("")), f"[{SPACE}]+")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import count_words, staged
 
-ROWS_PER_BUCKET = 100_000
+ROWS_PER_BUCKET = 4_000
 
 
 def source_targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_cnn, fair_mix
+from tidemark.llm import byte_cnn, fair_mix, line_runs, redirects, risk_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +22,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_runs.dedup_lines(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+SQL["op5_line_dedup"] = line_runs.dedup_sql()
+
+
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
@@ -31,6 +41,34 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op7_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return risk_rules.judge(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
+SQL["op7_risk_rules"] = risk_rules.judge_sql()
+
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
+
+@query
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return redirects.judge(_table(spark, sf_dir, "pages"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+SQL["op8_url_filters"] = redirects.judge_sql(URL_RULES)
+
+
 @query
 def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix.mix(_table(spark, sf_dir, "documents")).select(
