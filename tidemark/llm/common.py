@@ -179,3 +179,22 @@ def pieces(batch: pa.RecordBatch, text: str = "text",
         stop = max(int(np.searchsorted(sizes, base + limit, side="right")), start + 1)
         yield batch.slice(start, stop - start)
         start = stop
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Bytes by significance: the like high bytes of sorted numbers lie together and compress."""
+    return values.view(np.uint8).reshape(values.size, values.itemsize).T.tobytes()
+
+
+def from_planes(raw: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    rows = np.frombuffer(raw, dtype=np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(rows.T).view(kind).ravel()
+
+
+def chain(values: np.ndarray, width: int) -> np.ndarray:
+    """Hash of every run of ``width`` values."""
+    out = np.full(max(0, values.size - width + 1), width, dtype=np.uint64)
+    for i in range(width if out.size else 0):
+        out = splitmix(out * np.uint64(3) ^ values[i:i + out.size])
+    return out

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import for_python, splitmix, staged
+from tidemark.llm.common import for_python, from_planes, planes, splitmix, staged
 from tidemark.llm.components import components
 from tidemark.llm.shingles import set_key, sets_in
 
@@ -115,17 +115,6 @@ def frequent_tokens(stats: DataFrame, sets: int) -> np.ndarray:
     return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64))
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Bytes by significance: the like high bytes of sorted hashes lie together and compress."""
-    return values.view(np.uint8).reshape(values.size, values.itemsize).T.tobytes()
-
-
-def _from_planes(raw: bytes, kind: type) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    planes = np.frombuffer(raw, dtype=np.uint8).reshape(width, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
-
-
 def _token_ranges(docs: DataFrame, ranges: int, frequent: np.ndarray) -> DataFrame:
     """Packed (range, tokens, owner index, owners' keys and sizes). Frequent tokens go to groups of
     their own, as many as keep them small."""
@@ -154,8 +143,8 @@ def _token_ranges(docs: DataFrame, ranges: int, frequent: np.ndarray) -> DataFra
             rows = []
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 used, index = np.unique(owner[a:b], return_inverse=True)
-                rows.append((int(part[a]), _planes(tokens[a:b]),
-                             _planes(index.astype(np.uint32)),
+                rows.append((int(part[a]), planes(tokens[a:b]),
+                             planes(index.astype(np.uint32)),
                              key[used].tobytes(), size[used].tobytes()))
             return pa.RecordBatch.from_pylist(
                 [dict(zip(_PACKED, r, strict=True)) for r in rows], schema=_PACKED_SCHEMA)
@@ -190,8 +179,8 @@ def _shared_tokens(packed: DataFrame, ranges: int, groups: int) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         tokens, keys, sizes = [], [], []
         for r in pdf.itertuples(index=False):
-            owner = _from_planes(r.owner, np.uint32)
-            tokens.append(_from_planes(r.tokens, np.uint64))
+            owner = from_planes(r.owner, np.uint32)
+            tokens.append(from_planes(r.tokens, np.uint64))
             keys.append(np.frombuffer(r.keys, dtype=np.int64)[owner])
             sizes.append(np.frombuffer(r.sizes, dtype=np.uint32)[owner])
         token, key, size = map(np.concatenate, (tokens, keys, sizes))
@@ -216,8 +205,8 @@ def _shared_tokens(packed: DataFrame, ranges: int, groups: int) -> DataFrame:
             used, index = np.unique(key[o], return_inverse=True)
             size_of = np.zeros(used.size, dtype=np.uint32)
             size_of[index] = size[o]
-            rows.append((int(group[o[0]]), _planes(token[o]), _planes(index.astype(np.uint32)),
-                         _planes(count[o]), used.tobytes(), size_of.tobytes()))
+            rows.append((int(group[o[0]]), planes(token[o]), planes(index.astype(np.uint32)),
+                         planes(count[o]), used.tobytes(), size_of.tobytes()))
         return pd.DataFrame(rows, columns=["part", "tokens", "owner", "counts", "keys", "sizes"])
 
     return packed.groupBy("part").applyInPandas(
@@ -240,9 +229,9 @@ def _filtered_sets(shared: DataFrame, percent: int, orders: int) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = []
         for r in pdf.itertuples(index=False):
-            owner = _from_planes(r.owner, np.uint32)
+            owner = from_planes(r.owner, np.uint32)
             parts.append((np.frombuffer(r.keys, dtype=np.int64)[owner],
-                          _from_planes(r.tokens, np.uint64), _from_planes(r.counts, np.uint32),
+                          from_planes(r.tokens, np.uint64), from_planes(r.counts, np.uint32),
                           np.frombuffer(r.sizes, dtype=np.uint32)[owner]))
         key, token, count, size = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((token, key))

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_cnn, fair_mix, line_runs, ngram_join, redirects, risk_rules
+from tidemark.llm import (
+    byte_cnn, fair_mix, line_runs, lz_dedup, ngram_join, redirects, risk_rules,
+)
+from tidemark.llm.common import words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +30,38 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_documents(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_lz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lz_dedup.dedup_texts(docs)
+    kept = F.when(F.col("n_removed") > 0, F.col("text")).otherwise(
+        F.array_join(words(F.col("text")), " "))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
+SQL["op4_lz_dedup"] = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+starts AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 18)) AS pos, ws FROM docs WHERE len(ws) >= 20),
+windows AS (
+  SELECT doc_id, pos, md5(array_to_string(ws[pos:pos + 19], ' ')) AS run FROM starts),
+again AS (
+  SELECT doc_id, pos FROM windows
+  QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, pos + o AS pos FROM again, (SELECT unnest(range(0, 20)) AS o)),
+lists AS (SELECT doc_id, list(pos) AS gone FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.pos) AS text
+  FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM docs) w
+  ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.pos = g.pos GROUP BY w.doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM docs d LEFT JOIN lists USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.dedup_lines(_table(spark, sf_dir, "documents")).select(

@@ -7,30 +7,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from tidemark.llm.common import pieces, splitmix, text_bytes, word_hashes, word_spans
+from tidemark.llm.common import chain, pieces, splitmix, text_bytes, word_hashes, word_spans
 
 WIDTH = 5
 
 
-def _chain(values: np.ndarray, width: int) -> np.ndarray:
-    out = np.full(values.size - width + 1, width, dtype=np.uint64)
-    for i in range(width):
-        out = splitmix(out * np.uint64(3) ^ values[i:i + out.size])
-    return out
-
-
 def sets_of(column: pa.Array, width: int = WIDTH) -> Iterator[np.ndarray]:
     """One sorted array of distinct shingle hashes per text: all runs of ``width`` words with A-Z in
     lower case; the whole sequence when there are fewer; nothing without words."""
     data, offsets = text_bytes(column)
     starts, ends, first = word_spans(data, offsets)
     hashes = word_hashes(data, starts, ends, lower=True)
-    shingles = _chain(hashes, width) if hashes.size >= width else np.zeros(0, dtype=np.uint64)
+    shingles = chain(hashes, width)
     for a, b in zip(first[:-1], first[1:], strict=True):
         if b - a >= width:
             yield np.unique(shingles[a:b - width + 1])
         elif b > a:
-            yield _chain(hashes[a:b], int(b - a))
+            yield chain(hashes[a:b], int(b - a))
         else:
             yield np.zeros(0, dtype=np.uint64)
 
