@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    byte_cnn, fair_mix, line_runs, lz_dedup, ngram_join, redirects, risk_rules,
+    byte_cnn, fair_mix, graph_search, line_runs, lz_dedup, ngram_join, piece_scan, redirects,
+    risk_rules, weak_labels,
 )
 from tidemark.llm.common import words
 
@@ -25,6 +26,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = piece_scan.load_pieces(MODEL)
+    return piece_scan.decode(piece_scan.encode(docs, model), model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        piece_scan.same_text(F.col("text"), F.col("decoded")).alias("round_trip"))
+
+
+@query
+def op2_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labelled = weak_labels.soft_labels(docs)
+    scorer = weak_labels.fit(labelled)
+    return weak_labels.classify(labelled.select("doc_id", "text", "posterior"), scorer).select(
+        "doc_id", "posterior", "score", (F.col("score") >= 0.5).alias("kept"))
+
+
 @query
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_documents(_table(spark, sf_dir, "documents"))
@@ -109,6 +132,12 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op8_url_filters"] = redirects.judge_sql(URL_RULES)
 
 
+@query
+def op9_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return graph_search.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 @query
 def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix.mix(_table(spark, sf_dir, "documents")).select(
