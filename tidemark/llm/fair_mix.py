@@ -64,8 +64,9 @@ def shuffle_key(doc_id: Column, seed: str) -> Column:
 
 
 def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3),
-        max_repeat: int = 3) -> DataFrame:
+        max_repeat: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken: how often each document is taken.
+    Columns named in ``carry`` come along.
 
     Running sums are made in two levels (buckets of the shuffle key, cells of the finish time), so
     neither a source with most of the rows nor the global order meets in one task. Only the cell in
@@ -73,7 +74,7 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)
     """
     sized = staged(docs.select(
         "doc_id", "source", count_words(F.col("text")).alias("size"),
-        shuffle_key(F.col("doc_id"), seed).alias("key"),
+        shuffle_key(F.col("doc_id"), seed).alias("key"), *carry,
     ), "mix-sizes")
     total, rows = sized.agg(F.sum("size"), F.count("*")).first()
     digits = 0
@@ -95,7 +96,8 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)
         F.col("d.source").eqNullSafe(F.col("s.source"))
         & (F.col("d.bucket") == F.col("s.bucket")),
     ).join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source"))).select(
-        "d.doc_id", "d.source", "d.size", "d.key", "t.rank", "t.source_size", "t.target",
+        "d.doc_id", "d.source", "d.size", "d.key", *[f"d.{c}" for c in carry], "t.rank",
+        "t.source_size", "t.target",
         (F.col("start") + F.col("within")).alias("running"))
     queued = staged(queued, "mix-queue")
 
@@ -136,7 +138,7 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)
         taken = F.when(F.col("size") > 0, sum(
             (taken_copy(e) for e in range(1, max_repeat)), taken_copy(0))).otherwise(0)
     return queued.select(
-        "doc_id", "source", "size", "source_size", F.col("target").cast("double"),
+        "doc_id", *carry, "source", "size", "source_size", F.col("target").cast("double"),
         taken.cast("int").alias("copies"), (taken.cast("long") * F.col("size")).alias("taken"))
 
 
@@ -188,3 +190,23 @@ FROM queued q LEFT JOIN got g
 
 
 WORD_SQL = r"[^\x20\x09-\x0D]+"
+
+
+def mixed(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3),
+          max_repeat: int = 3) -> DataFrame:
+    """``docs`` as the mix takes them: each row as often as it has copies, so rows without a copy
+    (documents without words among them) go. Rows equal in id, source and text count each."""
+    marked = docs.withColumn("_text", F.xxhash64("text"))
+    copies = mix(marked, seed, weights, max_repeat, ("_text",)).filter("copies > 0").groupBy(
+        "doc_id", "_text", "source").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
+    same = marked.withColumn("_row", F.row_number().over(
+        Window.partitionBy("doc_id", "_text", "source").orderBy(F.lit(1))))
+    joined = same.alias("d").join(copies.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))
+                                  & (F.col("d._text") == F.col("c._text"))
+                                  & F.col("d.source").eqNullSafe(F.col("c.source")))
+    # copies of equal rows are shared out among them, the first rows first
+    share = F.floor((F.col("_copies") - F.col("_row")) / F.col("_rows")) + 1
+    return joined.filter("_row <= _copies").select(
+        *[F.col(f"d.{c}") for c in docs.columns],
+        F.explode(F.sequence(F.lit(1), F.least(share, F.col("_copies")))).alias("_copy")).select(
+        *docs.columns)

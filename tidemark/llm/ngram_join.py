@@ -431,15 +431,48 @@ def linked_components(docs: DataFrame, sets: DataFrame, percent: int = PERCENT,
     return components(links)
 
 
-def join_documents(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
-    """doc_id, n_shingles, component_id: the least doc_id reachable by links, per document."""
+def _named_sets(docs: DataFrame, percent: int, orders: int) -> DataFrame:
+    """(doc_id, key, n_shingles, g): documents with their set and component, null without shingles."""
     sets = staged(document_sets(docs), "document-sets")
     groups = linked_components(docs, sets, percent, orders)
     named = sets.filter("key is not null").join(
         groups.select(F.col("node").alias("key"), "component"), "key", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("key") != 0, F.coalesce("component", "key")).alias("g"))
-    named = staged(named, "named-sets")
+        "doc_id", "key", "n_shingles",
+        F.when(F.col("key") != 0, F.coalesce("component", "key")).alias("g"))
+    return staged(named, "named-sets")
+
+
+def join_documents(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
+    """doc_id, n_shingles, component_id: the least doc_id reachable by links, per document."""
+    named = _named_sets(docs, percent, orders)
     least = named.filter("g is not null").groupBy("g").agg(F.min("doc_id").alias("least"))
     return named.join(least, "g", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("g").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
+    """``docs`` with one document of each component, the one of least id (a null id is the last
+    choice); documents without shingles all stay."""
+    named = _named_sets(docs, percent, orders)
+    first = named.filter("g is not null").groupBy("g").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("x")).select(
+        F.col("x.doc_id").alias("_id"), F.col("x.key").alias("_key"))
+    keyed = _with_keys(docs)
+    chosen = keyed.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (
+        F.col("_set") == F.col("_key")), "left_semi").dropDuplicates(["doc_id", "_set"])
+    return chosen.union(keyed.filter("_set = 0")).drop("_set")
+
+
+def _with_keys(docs: DataFrame) -> DataFrame:
+    names = docs.columns
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema),
+                        "_set long"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, shingles in sets_in(batches, "text"):
+            yield pa.RecordBatch.from_arrays(
+                [*(piece.column(i) for i in range(len(names))),
+                 pa.array([set_key(s) for s in shingles], pa.int64())], names=[*names, "_set"])
+
+    return for_python(docs).mapInArrow(run, schema)
