@@ -9,7 +9,8 @@ of its windows' log probabilities, weighted by their length. Training uses a bou
 Defined cases: a null text or one without a letter is ``und`` with score 0; a text shorter than a
 window is padded with byte 0; labels that are null teach nothing; without any label every text is
 ``und`` with score 0; with one label every other text gets it; an empty table gives an empty result;
-other columns of the input are ignored; rows that repeat are judged each.
+kept columns with the
+names of the results are replaced; rows that repeat are judged each.
 """
 
 from __future__ import annotations
@@ -191,6 +192,7 @@ def fit(docs: DataFrame, usable: Column, per_language: int = 250,
 
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """The kept columns plus lang_pred and score, the mean probability of the predicted language."""
+    keep = [c for c in keep if c not in ("lang_pred", "score")]
     kept = docs.select(*keep)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema),
                         "lang_pred string", "score double"])

@@ -12,7 +12,7 @@ lines is every later copy of every maximal repeated run.
 Defined cases: a null text stays null; lines without a word are never part of a run, and are dropped
 only from documents that lose a run; a null id sorts before all others; rows equal in id and text
 count as one document and share its result; an empty table gives an empty result; extra columns stay
-as they are (working columns have names of their own).
+as they are, but for ones with the names of the results, which are replaced.
 """
 
 from __future__ import annotations
@@ -81,14 +81,14 @@ def suffix_ranks(docs: DataFrame, length: int, doc_id: str = "doc_id",
 
 def later_copies(docs: DataFrame, min_lines: int = MIN_LINES, doc_id: str = "doc_id",
                  text: str = "text") -> DataFrame:
-    """(_doc, _text, gone): per document the sorted numbers of its lines with a word that lie in a
+    """(_doc, _text, _gone): per document the sorted numbers of its lines with a word that lie in a
     later copy of a repeated run of at least ``min_lines`` lines."""
     ranks = suffix_ranks(docs, min_lines, doc_id, text)
     place = F.struct(*_KEY, "at")
     first = ranks.groupBy("rank").agg(F.min(place).alias("first"))
     later = ranks.join(first, "rank").filter(place > F.col("first"))
     lines = later.select(*_KEY, F.explode(F.sequence("at", F.col("at") + min_lines - 1)).alias("at"))
-    return lines.groupBy(*_KEY).agg(F.sort_array(F.collect_set("at")).alias("gone"))
+    return lines.groupBy(*_KEY).agg(F.sort_array(F.collect_set("at")).alias("_gone"))
 
 
 def _without(lines: Column, gone: Column) -> Column:
@@ -103,15 +103,16 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, doc_id: str = "doc_
                 text: str = "text") -> DataFrame:
     """``docs`` with later copies of repeated line runs deleted from the text, plus ``n_lines`` and
     ``n_removed`` (lines with a word, before and deleted)."""
+    docs = docs.drop("n_lines", "n_removed")
     gone = later_copies(docs, min_lines, doc_id, text)
     named = _identified(docs, doc_id, text).join(gone, _KEY, "left")
     lines = word_lines(F.col(text))
-    kept = let(lines, lambda ls: F.array_join(_without(ls, F.col("gone")), "\n"))
-    rest = [F.when(F.col("gone").isNull(), F.col(text)).otherwise(kept).alias(text)
+    kept = let(lines, lambda ls: F.array_join(_without(ls, F.col("_gone")), "\n"))
+    rest = [F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept).alias(text)
             if c == text else F.col(c) for c in docs.columns]
     return named.select(
         *rest, F.size(lines).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
+        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"))
 
 
 def dedup_sql(min_lines: int = MIN_LINES) -> str:

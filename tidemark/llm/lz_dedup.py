@@ -21,7 +21,8 @@ no block holds more than a few entries per batch for any passage, however often
 Defined cases: a null text has no words; a text shorter than a window keeps them all; a null id
 counts as the least id; rows equal in id and text count as one document and share its result, and
 rows that share an id with different texts are told apart by a text hash and ordered by it; an empty
-table gives an empty result; extra columns stay as they are in :func:`dedup_texts`.
+table gives an empty result; extra columns stay as they are in :func:`dedup_texts`, but for ones with
+the names of its results, which are replaced.
 """
 
 from __future__ import annotations
@@ -314,6 +315,7 @@ def parse(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, i
 def dedup_texts(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """``docs`` with the words of duplicate spans removed from the text (kept words are joined by
     one space where any word goes), plus n_words, n_removed and the factors."""
+    docs = docs.drop("n_words", "n_removed", "factors")
     lists = copied_spans(docs, window, anchor).groupBy("_doc", "_text").agg(
         F.collect_list(F.struct("at", "size", "ref_doc", "ref_at")).alias("_spans"))
     named = _identified(docs).join(lists, ["_doc", "_text"], "left").select(*docs.columns, "_spans")

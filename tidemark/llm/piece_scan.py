@@ -19,7 +19,8 @@ become marks; characters without a piece become byte pieces. Decoding undoes thi
 the mark character itself comes back with spaces there, as with the reference library.
 
 Defined cases: a null text has null ids; an empty text has none; a null id is kept; rows that repeat
-are encoded each; an empty table gives an empty result; extra columns are kept.
+are encoded each; an empty table gives an empty result; extra columns are kept, but for ones with the
+names of the results, which are replaced.
 """
 
 from __future__ import annotations
@@ -265,6 +266,7 @@ def _lists(parts: list[bytes | None]) -> pa.Array:
 
 def encode(docs: DataFrame, model: Pieces, text: str = "text", chunk: int = CHUNK) -> DataFrame:
     """``docs`` plus ``ids`` (array of int)."""
+    docs = docs.drop("ids")
     size = F.length(text)
     short = docs.filter(F.col(text).isNull() | (size < chunk))
     long = docs.filter(size >= chunk)
@@ -356,6 +358,7 @@ def decode_ids(model: Pieces, ids: np.ndarray) -> str:
 
 def decode(encoded: DataFrame, model: Pieces, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``encoded`` plus the text of its ids; null ids have null text."""
+    encoded = encoded.drop(text)
     names = encoded.columns
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema),
                         f"`{text}` string"])

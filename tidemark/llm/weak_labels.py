@@ -10,7 +10,7 @@ scorer then judges all documents over their whole texts.
 
 Defined cases: a null text or one without words scores 0; with votes of one kind only, the scorer
 follows their posterior; an empty table gives an empty result; rows that repeat are judged each; extra
-columns are kept by :func:`classify`.
+columns are kept by :func:`classify`, but for ones with the names of the results, which are replaced.
 """
 
 from __future__ import annotations
@@ -153,7 +153,7 @@ def _apply(scorer: Scorer, column: pa.Array) -> np.ndarray:
 
 def soft_labels(docs: DataFrame) -> DataFrame:
     """``docs`` plus votes and posterior. The table of patterns has at most 3^8 rows."""
-    voted = docs.withColumn("votes", votes(F.col("text")))
+    voted = docs.drop("posterior").withColumn("votes", votes(F.col("text")))
     counted = voted.groupBy("votes").agg(F.count("*").alias("n")).collect()
     if not counted:
         return voted.withColumn("posterior", F.lit(0.0))
@@ -201,6 +201,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Scorer:
 
 def classify(docs: DataFrame, scorer: Scorer) -> DataFrame:
     """``docs`` plus score (0 to 1)."""
+    docs = docs.drop("score")
     names, place = docs.columns, docs.columns.index("text")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema),
                         "score double"])
