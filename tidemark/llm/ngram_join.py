@@ -14,11 +14,11 @@ Steps:
    the others go back to their sets. Frequent tokens skip the count, keep the last place in the
    order, and pass in salted groups. A set in which too few tokens are shared is done.
 3. Sets that share a token of their prefix in the first order meet. First each is compared with the
-   least set there (a star, linear in the group), which joins whole groups of near copies at once.
-   Then the sets of a group that are still in different components are compared: with the least set
-   of every other component, round by round while that joins components, and finally pair by pair
-   for whatever is left, as no cheaper proof says that they don't link. Pairs inside one component
-   are never made: they can't change the result.
+   most typical set there (a star, linear in the group), which joins whole groups of near copies at once.
+   Then sets are compared with the members of the larger components that they meet, and sets still
+   alone with the others of their family. These comparisons run in blocks of bounded size over an
+   index of the block's tokens, and hand out only links that join something. Pairs inside one
+   component are never compared: they can't change the result.
 
 Defined cases: a null text or one without words has no shingles, links with nothing and is its own
 component; fewer words than a shingle make one shingle of them all; a null id never is a component's
@@ -366,11 +366,16 @@ def _component_units(placed: DataFrame) -> DataFrame:
 
 
 def _single_units(placed: DataFrame) -> DataFrame:
-    """Sets that are still alone, with the others of each group: in blocks of a row and a column."""
-    alone = placed.filter("size = 1").select(F.col("token").alias("u"), "key", "m")
-    blocks = alone.groupBy("u").agg(F.count("*").alias("c"), _blocks_of_sum().alias("b")).filter(
-        "c > 1").drop("c")
-    mine = alone.join(blocks, "u").withColumn("own", _block_of("key", F.col("b"), 4))
+    """Sets that are still alone, with all others of their family: those that meet, directly or
+    through others that are alone. A family is dealt in blocks of a row and a column."""
+    alone = placed.filter("size = 1").select("token", "key", "m")
+    least = alone.groupBy("token").agg(F.min("key").alias("b"), F.count("*").alias("c")).filter("c > 1")
+    met = alone.join(least, "token").filter("key <> b").select(F.col("key").alias("a"), "b")
+    families = staged(components(met), "families").select(
+        F.col("node").alias("key"), F.col("component").alias("u"))
+    members = alone.select("key", "m").distinct().join(families, "key")
+    blocks = members.groupBy("u").agg(_blocks_of_sum().alias("b"))
+    mine = members.join(blocks, "u").withColumn("own", _block_of("key", F.col("b"), 4))
     return mine.select(
         "u", "key", "own", _all_blocks(F.col("b")).alias("with")).select(
         "u", F.least("own", "with").alias("v"), F.greatest("own", "with").alias("w"), "key",
@@ -424,11 +429,10 @@ def linked_components(docs: DataFrame, sets: DataFrame, percent: int = PERCENT,
         _shared_tokens(packed, ranges, ranges), percent, orders), "filtered-sets")
     meetings = staged(_meetings(able), "meetings")
     links = staged(_linked(_star_units(meetings), able, percent, orders), "star-links")
-    for units in (_component_units, _single_units):
-        placed = _placed(meetings, staged(components(links), "groups"))
-        more = _linked(units(placed), able, percent, orders)
-        links = staged(links.union(more), "links")
-    return components(links)
+    placed = _placed(meetings, staged(components(links), "groups"))
+    with_groups = staged(_linked(_component_units(placed), able, percent, orders), "group-links")
+    alone = staged(_linked(_single_units(placed), able, percent, orders), "single-links")
+    return components(links.union(with_groups).union(alone))
 
 
 def _named_sets(docs: DataFrame, percent: int, orders: int) -> DataFrame:
