@@ -27,6 +27,11 @@ def or_default(c: Column | str, default: str) -> Column:
     return F.coalesce(blank_to_null(c), F.lit(default))
 
 
+def plain_decimal(c: Column) -> Column:
+    """A number as decimal text: at least two digits behind the point, and all others up to twelve."""
+    return F.regexp_replace(c.cast("decimal(38,12)").cast("string"), r"(\.\d\d\d*?)0+$", "$1")
+
+
 def money(c: Column | str) -> Column:
     """Text or number to decimal(18,2); text that is no number gives null instead of an error."""
     return col(c).try_cast(MONEY)

@@ -55,11 +55,10 @@ def latest_per_key(
     ``newest`` lists the ordering columns, latest first wins; the remaining columns (maps have no
     order and are left out) follow as a tie-break, so the survivor does not depend on row order.
 
-    One pass and one shuffle. The ``rank = 1`` filter becomes a group limit below the shuffle, so a
-    key that holds a third of the rows sends one row per input partition. Null-key rows would all be
-    one group; a 128-bit hash of the row spreads them, and ``rank`` (not ``row_number``) keeps every
-    copy of an identical row. Copies with a key are told apart by a row number that only ever decides
-    between equal rows, so a recomputed task gives the same result.
+    One shuffle, by the key alone: a filter on the key reaches the scan and, without null keys, a
+    later aggregate or join by the key needs no other shuffle. The ``rank = 1`` filter becomes a group
+    limit below the shuffle, so a key that holds a third of the rows sends one row per input
+    partition. Null-key rows are not ranked and not shuffled; they are added as they are.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     newest = [newest] if isinstance(newest, str) else list(newest)
@@ -67,19 +66,11 @@ def latest_per_key(
     rest = [c for c in others if c not in {*keys, *newest}] if tiebreak else []
     order = [F.desc_nulls_last(c) for c in [*newest, *rest]]
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    if not keep_null_keys:
-        ranked = df.filter(~has_null).withColumn(
-            "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        )
-        return ranked.filter("_rank = 1").drop("_rank")
-    helpers = {
-        "_spread1": F.when(has_null, F.xxhash64(*others)),
-        "_spread2": F.when(has_null, F.xxhash64(F.lit("second"), *others)),
-        "_copy": F.when(~has_null, F.monotonically_increasing_id()),
-    }
-    group = Window.partitionBy(*keys, "_spread1", "_spread2").orderBy(*order, "_copy")
-    ranked = df.withColumns(helpers).withColumn("_rank", F.rank().over(group))
-    return ranked.filter("_rank = 1").drop("_rank", *helpers)
+    ranked = df.filter(~has_null).withColumn(
+        "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    )
+    newest_rows = ranked.filter("_rank = 1").drop("_rank")
+    return newest_rows.unionByName(df.filter(has_null)) if keep_null_keys else newest_rows
 
 
 def sure(condition: Column) -> Column:

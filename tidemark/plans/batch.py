@@ -36,7 +36,9 @@ class Options:
     fmt: str = "parquet"
     validate: bool = True
     on_fail: str = "report"
-    replace_partitions_only: bool = True
+    # Bronze keeps all files of all days, so a load computes the whole table and replaces it. Set this
+    # only when the bronze folder holds one day's files and the table one partition per day's load.
+    replace_partitions_only: bool = False
     thresholds: dict = field(default_factory=lambda: dict(suites.GOLD_THRESHOLDS))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.scalars import blank_to_null, money, or_default
+from tidemark.functions.scalars import blank_to_null, or_default, plain_decimal
 
 # ---- Fixed values ------------------------------------------------------------------------------
 ACCOUNT_TYPE_MAP = {
@@ -134,13 +134,14 @@ def map_transactions(
 ) -> DataFrame:
     """``payload``: customer_id and country_code of the context plus the transaction's fields.
 
-    ``accounts`` (account_id, customer_id) overrides the context's customer. It is joined as it is:
-    Spark broadcasts it when small and splits hot accounts when not.
+    ``accounts`` (account_id, customer_id) overrides the context's customer. An account listed more
+    than once counts once, with its least customer. Spark broadcasts the list when small and splits
+    hot accounts when not.
     """
     at = loaded_at if loaded_at is not None else F.current_timestamp()
     owner = F.col("customer_id")
     if accounts is not None:
-        known = accounts.select("account_id", F.col("customer_id").alias("_owner"))
+        known = accounts.groupBy("account_id").agg(F.min("customer_id").alias("_owner"))
         payload = payload.join(known, "account_id", "left")
         owner = F.coalesce(F.col("_owner"), owner)
     return payload.select(
@@ -148,9 +149,7 @@ def map_transactions(
         "account_id",
         owner.alias("customer_id"),
         transaction_type().alias("transaction_type"),
-        F.abs(money(F.coalesce(F.col("amount"), F.lit(0.0)))).cast("string").alias(
-            "transaction_amount"
-        ),
+        plain_decimal(F.abs(F.coalesce(F.col("amount"), F.lit(0.0)))).alias("transaction_amount"),
         or_default("iso_currency_code", "USD").alias("currency_code"),
         F.when(F.col("pending"), "PENDING").otherwise("POSTED").alias("transaction_status"),
         event_time(at).alias("event_timestamp"),
@@ -172,11 +171,14 @@ def bundle_transactions(bundles: DataFrame) -> DataFrame:
 
 
 def map_bundles(bundles: DataFrame, loaded_at: Column | None = None) -> dict[str, DataFrame]:
-    """Accounts and transactions of many customers' bundles."""
-    accounts = map_accounts(bundle_accounts(bundles), loaded_at)
+    """Accounts and transactions of many customers' bundles.
+
+    A bundle's transactions belong to the customer it was fetched for, whatever other bundles say
+    about the account, so nothing is joined.
+    """
     return {
-        "accounts": accounts,
-        "transactions": map_transactions(bundle_transactions(bundles), accounts, loaded_at),
+        "accounts": map_accounts(bundle_accounts(bundles), loaded_at),
+        "transactions": map_transactions(bundle_transactions(bundles), loaded_at=loaded_at),
     }
 
 

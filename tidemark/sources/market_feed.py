@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.scalars import money, or_default
+from tidemark.functions.scalars import or_default, plain_decimal
 
 # Fixed values
 TRADE_ID_PREFIX = "ALPACA"
@@ -110,9 +110,9 @@ def map_trade_messages(
         account.alias("account_id"),
         customer.alias("customer_id"),
         security.alias("security_id"),
-        money(quantity).cast("string").alias("quantity"),
-        money(price).cast("string").alias("price"),
-        money(quantity * price).cast("string").alias("transaction_amount"),
+        plain_decimal(quantity).alias("quantity"),
+        plain_decimal(price).alias("price"),
+        plain_decimal(quantity * price).alias("transaction_amount"),
         F.lit("USD").alias("currency_code"),
         trade_side().alias("side"),
         F.lit("POSTED").alias("transaction_status"),

@@ -473,17 +473,21 @@ def _(v):
     return mapped.select(*_MAPPED_COLUMNS)
 
 
+@query("m08_bundles", _MAPPED, _BANK)
+def _(v):
+    """Bundles that repeat accounts: every record comes out once, with its bundle's customer."""
+    return bank_feed.map_bundles(bank_bundles(v), at())["transactions"].select(*_MAPPED_COLUMNS)
+
+
 @query(
     "m02_bank_amounts",
-    """SELECT transaction_type, count(*) AS n, sum(CASE WHEN amount < 0 THEN 1 ELSE 0 END)::BIGINT AS negative
-      FROM (SELECT m.transaction_type, abs(b.amount) AS amount FROM btx_mapped m
-        JOIN btx b ON m.transaction_id = b.transaction_id) GROUP BY 1""",
+    """SELECT transaction_id, CAST(CAST(abs(amount) AS DECIMAL(38,12)) AS DOUBLE) AS amount FROM btx""",
     _BANK,
 )
 def _(v):
+    """Amounts keep all their digits."""
     mapped = bank_feed.map_transactions(bank_feed.bundle_transactions(bank_bundles(v)))
-    amount = F.col("transaction_amount").cast("double")
-    return mapped.groupBy("transaction_type").agg(count_rows(), F.count_if(amount < 0).alias("negative"))
+    return mapped.select("transaction_id", F.col("transaction_amount").cast("double").alias("amount"))
 
 
 @query(
@@ -560,20 +564,26 @@ def _(v):
 
 @query(
     "m10_market_amounts",
-    """SELECT event_id, CAST(CAST(value AS DECIMAL(18,2)) * (event_id % 300) AS DOUBLE) AS amount,
-      CAST((event_id % 300) AS DOUBLE) AS quantity FROM events
-      WHERE event_type <> 'error' AND event_id % 4 <> 0""",
-)
-def _(v):
+    """SELECT CASE WHEN event_id % 4 <> 0 THEN CAST(event_id AS VARCHAR)
+          ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS message_key,
+      CAST(CAST(value AS DECIMAL(18,6)) * CAST(event_id % 300 + CASE WHEN event_id % 4 <> 0 THEN (event_id % 8) * 0.125 ELSE 0 END AS DECIMAL(18,6))
+        AS DOUBLE) AS amount,
+      CAST(event_id % 300 + CASE WHEN event_id % 4 <> 0 THEN (event_id % 8) * 0.125 ELSE 0 END AS DOUBLE) AS quantity FROM events
+      WHERE event_type <> 'error'""",
+)
+def _(v):
+    """Fractional shares keep their digits, in the quantity and in the amount."""
+    shares = F.col("size") + (F.regexp_extract("message_id", r"(\d+)", 1).try_cast("bigint") % 8) * 0.125
+    messages = trade_messages(v).withColumn("size", F.when(
+        F.col("message_id").isin("", "0"), F.col("size")).otherwise(shares))
     mapped = market_feed.map_trade_messages(
-        trade_messages(v), F.col("account"), F.lit("CUST-1"), F.lit("US"), F.lit(40), at()
+        messages, F.col("account"), F.lit("CUST-1"), F.lit("US"), F.lit(40), at()
     )
-    key = F.element_at(F.split("trade_id", "-"), -1).try_cast("bigint")
-    rows = mapped.select(
-        key.alias("event_id"), F.col("transaction_amount").cast("double").alias("amount"),
-        F.col("quantity").cast("double").alias("quantity"), "trade_id",
+    return mapped.select(
+        F.regexp_extract("trade_id", r"^[^-]*-[^-]*-[^-]*-(.*)$", 1).alias("message_key"),
+        F.col("transaction_amount").cast("double").alias("amount"),
+        F.col("quantity").cast("double").alias("quantity"),
     )
-    return rows.filter("event_id is not null").drop("trade_id")
 
 
 def listings(v: Views) -> DataFrame:
