@@ -26,6 +26,7 @@ names of the results, which are replaced.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,7 +41,7 @@ from tidemark.llm.common import for_python, pieces
 MARK = "▁"
 CHUNK = 16_384  # characters
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-_CACHE_SIZE = 600_000
+_CACHE_SIZE = 400_000
 
 State = tuple[int, int]  # characters of the piece before and behind a cut; (0, 0) at the start
 
@@ -56,10 +57,18 @@ class Pieces:
     is_byte: list[bool]
     longest: int
     words: dict[str, bytes] = field(default_factory=dict, repr=False)
-    pairs: dict[tuple[str, str], bool] = field(default_factory=dict, repr=False)
+    pairs: dict[str, dict[str, bool]] = field(default_factory=dict, repr=False)
+
+    heads: dict[str, str] = field(default_factory=dict, repr=False)
+    spines: dict[tuple[str, int], list | None] = field(default_factory=dict, repr=False)
+
+    def __post_init__(self) -> None:
+        self.suffixes = {p[i:] for p in self.ids for i in range(1, len(p))}
+        self.neighbours = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.prefixes = {p[:i] for p in self.ids for i in range(1, len(p))}
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"words": {}, "pairs": {}}
+        return self.__dict__ | {"words": {}, "pairs": {}, "heads": {}, "spines": {}}
 
 
 def load_pieces(path: str) -> Pieces:
@@ -84,10 +93,11 @@ def load_pieces(path: str) -> Pieces:
     return Pieces(ids, scores, byte_ids, decoded, is_byte, max(map(len, ids), default=1))
 
 
-def merge(model: Pieces, text: str) -> list[str]:
-    """Merge the best-scored neighbouring pair, leftmost among equals, until none is a piece."""
+def merge(model: Pieces, text: str, rest: int = 1) -> list[str]:
+    """Merge the best-scored neighbouring pair, leftmost among equals, until none is a piece or
+    ``rest`` parts are left."""
     parts = list(text)
-    while len(parts) > 1:
+    while len(parts) > rest:
         best, at = None, -1
         for i in range(len(parts) - 1):
             score = model.scores.get(parts[i] + parts[i + 1])
@@ -99,29 +109,75 @@ def merge(model: Pieces, text: str) -> list[str]:
     return parts
 
 
-def fits(model: Pieces, left: str, right: str) -> bool:
-    """Weight 0: the two pieces side by side merge to just the two."""
-    got = model.pairs.get((left, right))
+def _spine(model: Pieces, piece: str, side: int) -> list[tuple[str, float]] | None:
+    """What stands at one end (0 left, -1 right) of a piece while it is merged, from its character to
+    itself, with scores. Null when scores don't fall on the way up, as then the order of merges does
+    not follow from them."""
+    got = model.spines.get((piece, side), "")
+    if got == "":
+        got = [(piece, model.scores.get(piece, 0.0))]
+        if len(piece) > 1:
+            below = _spine(model, merge(model, piece, 2)[side], side)
+            if below is None or MARK * 2 in piece or (
+                    len(below) > 1 and below[-1][1] <= got[0][1]):
+                got = None
+            else:
+                got = below + got
+        model.spines[piece, side] = got
+    return got
+
+
+def _apart(model: Pieces, left: str, right: str) -> bool:
+    """Whether the two pieces side by side merge to just the two. While both are merged, each state
+    of the left one's end meets a state of the right one's start; the two would join there if that
+    pair scores better than the next step of either side (at a tie the one more to the left goes
+    first)."""
+    ends, starts = _spine(model, left, -1), _spine(model, right, 0)
+    if ends is None or starts is None or (left[-1] == MARK and right[0] == MARK):
+        return merge(model, left + right) == [left, right]
+    i = j = 0
+    while True:
+        score = model.scores.get(ends[i][0] + starts[j][0])
+        up = ends[i + 1][1] if i + 1 < len(ends) else None
+        on = starts[j + 1][1] if j + 1 < len(starts) else None
+        if score is not None and (up is None or score > up) and (on is None or score >= on):
+            return False
+        if up is None and on is None:
+            return True
+        if on is None or (up is not None and up >= on):
+            i += 1
+        else:
+            j += 1
+
+
+def _fits(model: Pieces, known: dict[str, bool], left: str, right: str) -> bool:
+    """Weight 0: the two pieces side by side merge to just the two. ``known`` has what was found
+    for this left piece."""
+    got = known.get(right)
     if got is None:
-        if len(model.pairs) > 4 * _CACHE_SIZE:
-            model.pairs.clear()
-        got = model.pairs[left, right] = merge(model, left + right) == [left, right]
+        got = known[right] = _apart(model, left, right)
     return got
 
 
 def _ends(model: Pieces, text: str, start: int, before: str | None, stop: int) -> dict[int, str]:
     """For every place up to ``stop`` that a path of weight 0 from ``start`` (behind the piece
     ``before``) reaches, the last piece of that path. There is one path to each place."""
+    ids, prefixes, longest = model.ids, model.prefixes, model.longest
     last: dict[int, str | None] = {start: before}
-    for end in range(start + 1, stop + 1):
-        for size in range(min(model.longest, end - start), 0, -1):
-            previous = last.get(end - size, "")
-            if previous == "":
-                continue
-            piece = text[end - size:end]
-            if (size == 1 or piece in model.ids) and (
-                    previous is None or fits(model, previous, piece)):
+    if len(model.pairs) > _CACHE_SIZE:
+        model.pairs.clear()
+    for place in range(start, stop):
+        if place not in last:
+            continue
+        previous = last[place]
+        known = None if previous is None else model.pairs.setdefault(previous, {})
+        for end in range(place + 1, min(place + longest, stop) + 1):
+            piece = text[place:end]
+            whole = piece in ids or end == place + 1
+            if whole and end not in last and (
+                    known is None or _fits(model, known, previous, piece)):
                 last[end] = piece
+            if piece not in prefixes:
                 break
     return last
 
@@ -143,14 +199,57 @@ def _to_ids(model: Pieces, parts: list[str]) -> list[int]:
 
 
 def _packed(model: Pieces, parts: list[str]) -> bytes:
-    return np.array(_to_ids(model, parts), dtype=np.int32).tobytes()
+    return array("i", _to_ids(model, parts)).tobytes()
+
+
+def _atoms(model: Pieces, word: str) -> list[str]:
+    """Parts of a word that no piece can join: cut where no piece has the two characters in a row."""
+    cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in model.neighbours]
+    return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
+
+
+def _encode_atom(model: Pieces, word: str) -> list[str]:
+    """The best path over a word. The last piece of a beginning of a word depends on nothing behind
+    it, so beginnings are kept: a new word is computed from its longest known beginning on."""
+    heads, ids, suffixes, longest = model.heads, model.ids, model.suffixes, model.longest
+    known = len(word)
+    while known and word[:known] not in heads:
+        known -= 1
+    for end in range(known + 1, len(word) + 1):
+        for place in range(end - 1, max(end - longest, 0) - 1, -1):
+            piece = word[place:end]
+            if piece in ids or place == end - 1:
+                if not place:
+                    heads[word[:end]] = piece
+                    break
+                left = heads[word[:place]]
+                if _fits(model, model.pairs.setdefault(left, {}), left, piece):
+                    heads[word[:end]] = piece
+                    break
+            if piece not in suffixes and place < end - 1:
+                break
+    out, end = [], len(word)
+    while end:
+        out.append(heads[word[:end]])
+        end -= len(out[-1])
+    return out[::-1]
 
 
 def encode_word(model: Pieces, word: str) -> bytes:
     got = model.words.get(word)
     if got is None:
-        last = _ends(model, word, 0, None, len(word))
-        got = _packed(model, _trace(last, 0, len(word)))
+        atoms = _atoms(model, word)
+        if len(atoms) > 1:
+            got = b"".join([encode_word(model, x) for x in atoms])
+        else:
+            if len(word) > 64:  # not a word to meet again
+                parts = _trace(_ends(model, word, 0, None, len(word)), 0, len(word))
+            else:
+                if len(model.heads) > 2 * _CACHE_SIZE:
+                    model.heads.clear()
+                    model.pairs.clear()
+                parts = _encode_atom(model, word)
+            got = _packed(model, parts)
         if len(model.words) >= _CACHE_SIZE:
             model.words.clear()
         if len(word) <= 64:
