@@ -14,7 +14,7 @@ from tidemark.operators.clean import (
 )
 from tidemark.plans import model
 from tidemark.schemas import CANONICAL, KEYS, MONEY_COLUMNS
-from tidemark.sinks.tables import write_table
+from tidemark.sinks.tables import append_audit, write_table
 from tidemark.sources.files import read_bronze
 
 REFERENCE = ["customers", "accounts", "securities"]
@@ -67,6 +67,14 @@ def _write(df: DataFrame, path: str, options: Options) -> None:
                 replace_partitions_only=options.replace_partitions_only)
 
 
+def _kept(summary: DataFrame, paths: Layout, table: str, options: Options) -> list:
+    """Append the summary rows to the audit table, then stop the load if it is to stop."""
+    spark = summary.sparkSession
+    rows = summary.collect()
+    append_audit(spark.createDataFrame(rows, summary.schema), paths.at("audit", table))
+    return suites.enforce(spark.createDataFrame(rows, summary.schema), options.on_fail)
+
+
 def load_reference(spark: SparkSession, paths: Layout, dataset: str, options: Options) -> None:
     """Silver and gold of a table without rejects. Gold is projected from the silver table just
     written, so files are parsed and deduplicated once."""
@@ -97,7 +105,7 @@ def load_transactional(
             suite = suites.SUITE_BY_DATASET[dataset]
             results = suites.evaluate_suite(silver.select(*suites.suite_columns(suite)), suite)
             summary = suites.summarize(results, suite, dataset, "silver_pre_write")
-            out["summary"] = suites.enforce(summary, options.on_fail)
+            out["summary"] = _kept(summary, paths, "validation_results", options)
         _write(silver, paths.at("silver", dataset), options)
         _write(rejected_rows(tagged), paths.at("rejected", dataset), options)
         gold = model.gold(silver, dataset)
@@ -107,7 +115,7 @@ def load_transactional(
             summary = suites.summarize(
                 results, "gold_load_validation", "gold_reconciliation", "gold_pre_curated_publish"
             )
-            out["gold_summary"] = suites.enforce(summary, options.on_fail)
+            out["gold_summary"] = _kept(summary, paths, "validation_results", options)
         _write(gold, paths.at("gold", model.gold_name(dataset)), options)
         return out
     finally:

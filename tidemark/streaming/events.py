@@ -146,6 +146,7 @@ def minute_windows(trades: DataFrame) -> DataFrame:
             F.count("*").alias("trade_count"),
             F.sum("quantity").cast("decimal(18,2)").alias("total_quantity"),
             F.sum("transaction_amount").cast("decimal(18,2)").alias("total_transaction_amount"),
+            F.avg("price").cast("decimal(18,2)").alias("avg_trade_price"),
             F.max("risk_score").alias("max_risk_score"),
         )
         .withColumn("trade_minute", F.col("_w.start"))

@@ -64,7 +64,17 @@ def write_stream(
     return _trigger(writer, available_now, interval).start(path)
 
 
-BATCH_PARTITIONS = ["processing_date", "batch_id"]
+# Batch numbers start at 0 again with a new checkpoint, so a batch is known by what it holds: a replay
+# of the same events, after a failure or a lost checkpoint, has the same key, other events have another.
+BATCH_PARTITIONS = ["processing_date", "batch_key"]
+LOAD_COLUMNS = ["ingestion_timestamp", "processing_date"]
+
+
+def batch_key(tagged: DataFrame) -> str | None:
+    """Key of a batch's events, whatever their order and load time; null for an empty batch."""
+    events = F.xxhash64(*[c for c in tagged.columns if c not in LOAD_COLUMNS])
+    n, total = tagged.agg(F.count("*"), F.sum(events.cast("decimal(38,0)"))).first()
+    return f"{n:x}-{int(total) % (1 << 64):016x}" if n else None
 
 
 def fan_out(
@@ -75,21 +85,25 @@ def fan_out(
 ):
     """foreachBatch function: rejected events, three silver and three gold tables, counts.
 
-    Every write overwrites only its own (processing_date, batch_id) partitions, so a batch that is
-    replayed after a failure replaces what it wrote before. The batch is kept for its writes.
+    Every write overwrites only its own (processing_date, batch_key) partitions, so a batch that is
+    replayed replaces what it wrote before, and nothing else. The batch is kept for its writes. The
+    summary of the checks is stored with the batch.
     """
 
-    def put(df: DataFrame, batch_id: int, layer: str, table: str) -> None:
+    def put(df: DataFrame, names: dict, layer: str, table: str,
+            partition_by: list[str] = BATCH_PARTITIONS) -> None:
         write_table(
-            df.withColumn("batch_id", F.lit(batch_id)), paths.at(layer, table), BATCH_PARTITIONS,
-            fmt=fmt, replace_partitions_only=True,
+            df.withColumns(names), paths.at(layer, table), partition_by, fmt=fmt,
+            replace_partitions_only=True,
         )
 
     def process(batch: DataFrame, batch_id: int) -> None:
         tagged = ev.tag_events(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if tagged.isEmpty():
+            key = batch_key(tagged)
+            if key is None:
                 return
+            names = {"batch_key": F.lit(key), "batch_id": F.lit(batch_id)}
             valid = valid_rows(tagged)
             if validate:
                 suite = "streaming_events_microbatch"
@@ -99,13 +113,16 @@ def fan_out(
                     suites.evaluate_suite(checked, suite), suite, "streaming_events",
                     "stream_microbatch",
                 )
-                suites.enforce(summary, on_fail)
-            put(rejected_rows(tagged), batch_id, "rejected", "events")
+                results = paths.at("audit", "validation_results")
+                put(summary, names, "audit", "validation_results", ["batch_key"])
+                stored = batch.sparkSession.read.format(fmt).load(results)
+                suites.enforce(stored.filter(F.col("batch_key") == key), on_fail)
+            put(rejected_rows(tagged), names, "rejected", "events")
             for kind, dataset in ev.EVENT_KINDS.items():
                 rows = ev.route(valid, kind)
-                put(rows, batch_id, "silver", dataset)
-                put(rows, batch_id, "gold", GOLD_TABLES[dataset])
-            put(batch_counts(tagged), batch_id, "audit", "batch_counts")
+                put(rows, names, "silver", dataset)
+                put(rows, names, "gold", GOLD_TABLES[dataset])
+            put(batch_counts(tagged), names, "audit", "batch_counts")
         finally:
             tagged.unpersist()
 
@@ -128,13 +145,15 @@ def run_stream(
     run_at: Column | None = None,
     available_now: bool = True,
     interval: str = ev.TRIGGER,
+    checkpoint: str | None = None,
     **options,
 ) -> StreamingQuery:
-    """Start the fan-out job on a stream of envelopes."""
+    """Start the fan-out job on a stream of envelopes. A new ``checkpoint`` starts a new run beside
+    the rows of earlier ones."""
     writer = (
         ev.prepare(envelopes, run_at)
         .writeStream.foreachBatch(fan_out(paths, **options))
-        .option("checkpointLocation", paths.checkpoint("fan_out"))
+        .option("checkpointLocation", checkpoint or paths.checkpoint("fan_out"))
     )
     return _trigger(writer, available_now, interval).start()
 
@@ -145,8 +164,10 @@ def run_side_output(
     """Dead letters (unparsable payloads) or late events, appended by a stateless query."""
     parsed = ev.parse_envelope(envelopes)
     rows = ev.dead_letters(parsed) if kind == "dead_letters" else ev.late_events(parsed)
+    dated = rows.withColumn("arrival_date", F.to_date("arrival_timestamp"))
     return write_stream(
-        rows, paths.at("rejected", kind), paths.checkpoint(kind), available_now, partition_by=None
+        dated, paths.at("rejected", kind), paths.checkpoint(kind), available_now,
+        partition_by="arrival_date",
     )
 
 
@@ -156,9 +177,10 @@ def run_minute_windows(
 ) -> StreamingQuery:
     """One-minute trade metrics, each window emitted once when the watermark has passed it."""
     trades = ev.route(valid_rows(ev.tag_events(ev.prepare(envelopes, run_at))), "trade")
+    at = run_at if run_at is not None else F.current_timestamp()
+    minutes = ev.minute_windows(trades).withColumn("processing_date", F.to_date(at))
     return write_stream(
-        ev.minute_windows(trades), paths.at("gold", "trade_minutes"),
-        paths.checkpoint("trade_minutes"), available_now, partition_by=None,
+        minutes, paths.at("gold", "trade_minutes"), paths.checkpoint("trade_minutes"), available_now,
     )
 
 

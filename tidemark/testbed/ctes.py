@@ -118,7 +118,7 @@ CTES: dict[str, str] = {
     "pay_raw": f"""SELECT CASE WHEN o_orderkey % 97 <> 0 THEN 'PAY-' || o_orderkey END AS payment_id,
       {pick([*PAYMENT_STATUSES, 'UNKNOWN'], 'o_orderkey % 5')} AS transaction_status,
       'ACCT-' || (o_custkey + 1) AS counterparty_account_id, {_ORDER}
-      FROM orders_sent WHERE o_orderkey % 3 = 0""",
+      FROM orders_sent""",
     "trade_raw": f"""SELECT CASE WHEN l_partkey % 101 <> 0
         THEN 'TRD-' || l_orderkey || '-' || l_linenumber END AS trade_id,
       'ACCT-' || o_custkey AS account_id, 'CUST-' || o_custkey AS customer_id,

@@ -33,15 +33,16 @@ def by_currency(df: DataFrame) -> DataFrame:
     )
 
 
-def stage_json_lists(v: Views) -> str:
+def stage_json_lists(v: Views, root: str | None = None, keys=None,
+                     stamp: str = "20240101T000000Z") -> str:
     """Transactions as bronze files, one JSON list per file. A list holds the rows of a thousand
     consecutive order keys, so its size does not grow with the table."""
-    root = scratch(v.spark, "bronze")
-    rows = v.transactions_keyed
+    root = root or scratch(v.spark, "bronze")
+    rows = v.transactions_keyed if keys is None else v.transactions_keyed.filter(keys)
     fields = [c for c in rows.columns if c != "o_orderkey"]
     block = F.floor(F.col("o_orderkey") / 1000).alias("_block")
     lists = rows.groupBy(block).agg(F.to_json(F.collect_list(F.struct(*fields))).alias("value"))
-    path = f"{root}/transactions/transactions_20240101T000000Z.json"
+    path = f"{root}/transactions/transactions_{stamp}.json"
     lists.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return root
 
@@ -52,6 +53,29 @@ def _(v):
     return by_currency(files.read_bronze(v.spark, root, "transactions"))
 
 
+@query(
+    "k01_two_daily_loads",
+    f"""SELECT 'silver' AS layer, count(*) AS n, count(DISTINCT transaction_id) AS keys,
+      {total('transaction_amount')} AS amount FROM transactions
+    UNION ALL SELECT 'gold', count(*), count(DISTINCT transaction_id), {total('transaction_amount')}
+      FROM transactions""",
+)
+def _(v):
+    """Two days' files, the second day with all of the first again: one row per key in each layer."""
+    root = scratch(v.spark, "days")
+    paths, even = batch.Layout(root), F.col("o_orderkey") % 2 == 0
+    for day, keys in (("01", even), ("02", F.lit(True))):
+        stage_json_lists(v, f"{root}/bronze", keys, f"202406{day}T000000Z")
+        run_at = F.lit(f"2024-06-{day} 02:00:00").cast("timestamp")
+        batch.load_transactional(v.spark, paths, "transactions", batch.Options(run_at=run_at))
+    layers = {"silver": paths.at("silver", "transactions"), "gold": paths.at("gold", "fact_transaction")}
+    parts = [v.spark.read.parquet(path).select(F.lit(layer).alias("layer"), "transaction_id",
+                                               "transaction_amount") for layer, path in layers.items()]
+    return parts[0].union(parts[1]).groupBy("layer").agg(
+        F.count("*").alias("n"), F.countDistinct("transaction_id").alias("keys"),
+        F.sum("transaction_amount").alias("amount"))
+
+
 @query("s02_bronze_csv_scan", BY_CURRENCY)
 def _(v):
     root = scratch(v.spark, "csv")

@@ -9,6 +9,7 @@ from tidemark.schemas import STREAM_EVENT
 from tidemark.session import scratch
 from tidemark.sources.files import read_event_lines
 from tidemark.streaming import events as ev, jobs
+from tidemark.testbed.ctes import avg_money
 from tidemark.testbed.registry import count_rows, query
 from tidemark.testbed.views import Views
 
@@ -157,7 +158,33 @@ def _(v):
 )
 def _(v):
     paths = fan_out_run(v)
-    return v.spark.read.parquet(paths.at("audit", "batch_counts")).drop("batch_id")
+    return v.spark.read.parquet(paths.at("audit", "batch_counts")).drop("batch_id", "batch_key")
+
+
+@query("t07_new_checkpoint_keeps_rows", _COUNTS)
+def _(v):
+    """Half the envelopes, then the other half with a new checkpoint: all rows stay."""
+    path, paths = staged(v)
+    number = F.split("sequenceNumber", "-")[0].cast("bigint")
+    for half in (0, 1):
+        part = f"{paths.root}/half{half}"
+        v.spark.read.parquet(path).filter(number % 2 == half).write.parquet(part)
+        finish(jobs.run_stream(source(v, part), paths, run_at(),
+                               checkpoint=paths.checkpoint(f"fan_out_{half}")))
+    tables = ["rejected/events", "silver/transactions", "silver/payments", "silver/trades",
+              "gold/fact_transaction", "gold/fact_payment", "gold/fact_trade"]
+    return jobs.union_counts({t: v.spark.read.parquet(paths.at(*t.split("/"))) for t in tables})
+
+
+@query(
+    "t08_stored_stream_checks",
+    """SELECT 'streaming_events_microbatch' AS suite_name, 'stream_microbatch' AS stage, 1::BIGINT AS n""",
+)
+def _(v):
+    """The summary of a batch's checks is kept and read back."""
+    paths = fan_out_run(v)
+    return v.spark.read.parquet(paths.at("audit", "validation_results")).groupBy(
+        "suite_name", "stage").agg(count_rows())
 
 
 @query("t07_replay_after_restart", _COUNTS)
@@ -175,9 +202,10 @@ def _(v):
 
 @query(
     "t10_minute_windows",
-    """SELECT security_id, currency_code, side, trade_minute, count(*) AS trade_count,
+    f"""SELECT security_id, currency_code, side, trade_minute, count(*) AS trade_count,
       CAST(sum(quantity) AS DOUBLE) AS total_quantity,
       CAST(sum(transaction_amount) AS DOUBLE) AS total_transaction_amount,
+      {avg_money('price')} AS avg_trade_price, '2024-06-01' AS processing_date,
       max(risk_score) AS max_risk_score FROM stream_trades
       WHERE trade_minute + INTERVAL 1 MINUTE <= (SELECT max(event_timestamp) FROM ev_sent
         WHERE k % 101 <> 0) - INTERVAL 10 MINUTE GROUP BY 1, 2, 3, 4""",
