@@ -78,7 +78,8 @@ def _resolve(href: Column, url: Column) -> Column:
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """(a, b) addresses joined by a canonical link or a refresh redirect of the page."""
+    """(a, b, url): addresses joined by a canonical link or a refresh redirect of the page, and the
+    URL that names b."""
     link = F.regexp_extract(
         "html", r"""(?is)(<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>)""", 1)
     meta = F.regexp_extract(
@@ -86,10 +87,10 @@ def alias_edges(pages: DataFrame) -> DataFrame:
     canonical = F.regexp_extract(link, r"""(?is)\bhref\s*=\s*["']?\s*([^"'\s>]+)""", 1)
     refresh = F.regexp_extract(meta, r"""(?is)\burl\s*=\s*["']?\s*([^"'\s>;]+)""", 1)
     targets = F.filter(F.array(canonical, refresh), lambda x: x != "")
-    return pages.select("url", F.explode(targets).alias("href")).select(
-        address(F.col("url")).alias("a"),
-        let(_resolve(F.col("href"), F.col("url")), address).alias("b"),
-    ).filter("a is not null and b is not null and a <> b").distinct()
+    named = pages.select("url", F.explode(targets).alias("href")).select(
+        address(F.col("url")).alias("a"), _resolve(F.col("href"), F.col("url")).alias("url"))
+    return named.select("a", address(F.col("url")).alias("b"), "url").filter(
+        "a is not null and b is not null").distinct()
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], edges: DataFrame | None = None) -> DataFrame:
@@ -98,17 +99,21 @@ def judge(pages: DataFrame, rules: Sequence[Rule], edges: DataFrame | None = Non
     url = F.col("url")
     found = alias_edges(pages)
     if edges is not None:
-        found = found.union(edges.select(
-            address(F.col("a")).alias("a"), address(F.col("b")).alias("b")).dropna())
-    groups = staged(components(found), "aliases")
+        both = edges.union(edges.select("b", "a"))
+        found = found.union(both.select(
+            address(F.col("a")).alias("a"), address(F.col("b")).alias("b"),
+            F.col("b").alias("url")).dropna())
+    found = staged(found, "alias-links")
+    groups = staged(components(found.select("a", "b")), "aliases")
     judged = pages.select(
         "page_id", "url", host_of(url).alias("host"), path_of(url).alias("path"),
         address(url).alias("node"),
     ).withColumn("own", fitting_rule(F.col("host"), F.col("path"), rules))
     judged = judged.join(groups, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    linked = groups.select("component", fitting_rule(
-        host_of(F.col("node")), path_of(F.col("node")), rules)["verdict"].alias("verdict"))
+    linked = found.select(F.col("b").alias("node"), fitting_rule(
+        host_of(url), path_of(url), rules)["verdict"].alias("verdict")).join(
+        groups, "node", "left").select(F.coalesce("component", "node").alias("component"), "verdict")
     decided = judged.select("component", F.col("own.verdict").alias("verdict")).union(linked).filter(
         "component is not null and verdict is not null").groupBy("component").agg(
         F.min("verdict").alias("of_aliases"))  # 'allow' sorts before 'block'
