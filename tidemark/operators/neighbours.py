@@ -7,8 +7,6 @@ of its own, and one extra row per (key, range) carries the value across the bord
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
@@ -25,19 +23,43 @@ def _as_number(df: DataFrame, column: str) -> Column:
 
 
 def range_count(df: DataFrame) -> int:
-    """Enough ranges to give every shuffle partition a few, within 64..4096."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(64, min(4096, 4 * partitions))
-
-
-def _range_of(number: Column, cuts: list[float]) -> Column:
-    """How many cuts lie below a number. Two levels, so 4096 cuts cost about 128 comparisons."""
-    width = max(1, int(len(cuts) ** 0.5))
-    blocks = [cuts[i : i + width] for i in range(0, len(cuts), width)]
-    below = F.from_json(F.lit(json.dumps([b[-1] for b in blocks])), "array<double>")
-    inner = F.from_json(F.lit(json.dumps(blocks)), "array<array<double>>")
-    block = F.size(F.filter(below, lambda b: b < number))
-    part = F.coalesce(F.get(inner, block), F.array().cast("array<double>"))
+    """Enough ranges to give every shuffle partition a few."""
+    return max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+_GROUPS = 64
+
+
+def _cuts(measured: DataFrame, order: str, ranges: int) -> Column:
+    """About evenly spaced values of the order column, as a scalar subquery: nothing runs before the
+    query itself does. Partitions are merged in groups first, so the last merge gets a fixed number
+    of small summaries. A struct of blocks of cuts and of each block's last cut, so that finding a
+    range among n takes about twice the root of n comparisons."""
+    shares = [i / ranges for i in range(1, ranges)]
+    values = measured.select(_as_number(measured, order).alias("_value")).filter(
+        "_value is not null").withColumn("_group", F.spark_partition_id() % _GROUPS)
+    parts = values.groupBy("_group").agg(
+        F.percentile_approx("_value", shares, 4 * ranges).alias("_values"))
+    cuts = parts.select(F.explode("_values").alias("_value")).agg(
+        F.sort_array(F.array_distinct(F.percentile_approx("_value", shares, 4 * ranges))).alias("_cuts"))
+    width = _block_width(ranges)
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("_cuts") - 1) / width).cast("int")),
+        lambda i: F.slice("_cuts", i * width + 1, F.lit(width)))
+    known = cuts.select(F.when(F.size("_cuts") > 0, blocks).otherwise(
+        F.array().cast("array<array<double>>")).alias("blocks"))
+    return known.select(F.struct(
+        "blocks", F.transform("blocks", lambda b: F.element_at(b, -1)).alias("last"))).scalar()
+
+
+def _block_width(ranges: int) -> int:
+    return max(1, int(ranges ** 0.5))
+
+
+def _range_of(number: Column, cuts: Column, width: int) -> Column:
+    """How many cuts lie below a number."""
+    block = F.size(F.filter(cuts["last"], lambda b: b < number))
+    part = F.coalesce(F.get(cuts["blocks"], block), F.array().cast("array<double>"))
     return block * width + F.size(F.filter(part, lambda b: b < number))
 
 
@@ -53,21 +75,19 @@ def with_neighbour(
     """Add the value of ``order`` before (``lag``) or after (``lead``) each row as ``name``.
 
     ``order`` must be unique within ``partition_by`` (group by it first); a null is nobody's
-    neighbour. The border
-    values are at most ``ranges`` per key, so the small window over them is bounded. The cut points
-    come from one approximate-percentile pass over the order column of ``measured_on`` (a frame that
-    is cheap to scan, such as the input before grouping); how well they balance affects speed only,
-    not the result.
+    neighbour. The border values are at most ``ranges`` per key, so the small window over them is
+    bounded. The cut points come from the order column of ``measured_on`` (a frame that is cheap to
+    scan, such as the input before grouping); how well they balance affects speed only, not the
+    result.
     """
     if direction not in ("lag", "lead"):
         raise ValueError("direction must be 'lag' or 'lead'")
     ranges = ranges or range_count(df)
     measured = measured_on if measured_on is not None else df
-    shares = [i / ranges for i in range(1, ranges)]
-    sketch = F.percentile_approx(_as_number(measured, order), shares, 25 * ranges)
-    cuts = sorted(set(measured.agg(sketch).head()[0] or []))
-    bucket = _range_of(_as_number(df, order), cuts) if cuts else F.lit(0)
-    body = df.withColumn("_range", bucket).withColumn("_border", F.lit(False))
+    bucket = _range_of(_as_number(df, order), F.col("_cuts"), _block_width(ranges))
+    # As a column first: a subquery may not stand inside the functions that search it.
+    body = df.withColumn("_cuts", _cuts(measured, order, ranges)).withColumn(
+        "_range", bucket).drop("_cuts").withColumn("_border", F.lit(False))
 
     across = Window.partitionBy(*partition_by).orderBy("_range")
     ahead = direction == "lead"
