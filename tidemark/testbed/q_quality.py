@@ -87,6 +87,20 @@ FRAMES = {
 for _name, (_source, _frame) in FRAMES.items():
     _suite(_name, suites.SUITE_BY_DATASET[_name], _source, _frame)
 
+@query(
+    "q01_failing_column_set",
+    f"""SELECT CAST(0 AS INT) AS position, CAST({len(suites.suite_columns("transactions_bronze"))} AS BIGINT)
+      AS tested, CAST(2 AS BIGINT) AS unexpected, false AS success, count(*) > 0 AS has_rows FROM txn_raw""",
+)
+def _(v):
+    """A table that lacks one column of its suite and has another too many breaks the rule."""
+    odd = _typed(v, "transactions_raw").withColumnRenamed("risk_score", "risk")
+    results = suites.evaluate_suite(odd, "transactions_bronze").filter(F.col("kind") == suites.COLUMNS)
+    some = odd.agg((F.count("*") > 0).alias("has_rows"))
+    return results.withColumn("k", F.lit(1)).join(some.withColumn("k", F.lit(1)), "k").select(
+        "position", "tested", "unexpected", "success", "has_rows")
+
+
 _EVENTS = {"ev_typed": """SELECT * REPLACE (TRY_CAST(transaction_amount AS DECIMAL(18,2)) AS transaction_amount)
   FROM ev_tagged"""}
 
