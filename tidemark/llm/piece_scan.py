@@ -41,7 +41,7 @@ from tidemark.llm.common import for_python, pieces
 MARK = "▁"
 CHUNK = 16_384  # characters
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-_CACHE_SIZE = 400_000
+_CACHE_SIZE = 250_000
 
 State = tuple[int, int]  # characters of the piece before and behind a cut; (0, 0) at the start
 
@@ -203,7 +203,10 @@ def _packed(model: Pieces, parts: list[str]) -> bytes:
 
 
 def _atoms(model: Pieces, word: str) -> list[str]:
-    """Parts of a word that no piece can join: cut where no piece has the two characters in a row."""
+    """Parts of a word that no piece can join: cut where no piece has the two characters in a row.
+    Words of letters only are left as they are."""
+    if word[1:].isalpha():
+        return [word]
     cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in model.neighbours]
     return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
 
@@ -267,11 +270,16 @@ def normal(text: str) -> str:
 
 def _cuts(text: str, start: int, end: int) -> tuple[int, int] | None:
     """First and last place in [start, end] where a word begins, if any."""
-    def begins(i: int) -> bool:
-        return text[i] == MARK and text[i - 1] != MARK
-
-    places = [i for i in range(max(start, 1), min(end, len(text) - 1) + 1) if begins(i)]
-    return (places[0], places[-1]) if places else None
+    low, high = max(start, 1), min(end, len(text) - 1) + 1
+    first = text.find(MARK, low, high)
+    while first >= 0 and text[first - 1] == MARK:
+        first = text.find(MARK, first + 1, high)
+    if first < 0:
+        return None
+    last = text.rfind(MARK, first, high)
+    while text[last - 1] == MARK:
+        last = text.rfind(MARK, first, last)
+    return first, last
 
 
 def states_at(model: Pieces, text: str, cut: int) -> list[State]:
@@ -392,13 +400,22 @@ def encode(docs: DataFrame, model: Pieces, text: str = "text", chunk: int = CHUN
 def _encode_long(keyed: DataFrame, model: Pieces, text: str, chunk: int) -> DataFrame:
     """(_doc, _size, ids) of texts of several chunks; equal texts are encoded once."""
     margin = model.longest
-    whole = F.concat(F.lit(MARK), F.translate(F.col("_t"), " ", MARK))
-    chunks = keyed.select("_doc", "_size", F.col(text).alias("_t")).select(
-        "_doc", "_size", whole.alias("_t"), F.explode(F.sequence(
-            F.lit(0), F.ceil((F.col("_size") + 1) / chunk).cast("int") - 1)).alias("k"),
-    ).select("_doc", "_size", "k", F.substring(
-        F.col("_t"), F.greatest(F.col("k") * chunk - margin, F.lit(0)) + 1,
-        F.lit(chunk + 2 * margin)).alias("part")).dropDuplicates(["_doc", "_size", "k"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "_t"):
+                for r in piece.to_pylist():
+                    whole = normal(r["_t"])
+                    parts = [whole[max(at - margin, 0):at + chunk + margin]
+                             for at in range(0, len(whole), chunk)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r["_doc"]] * len(parts), pa.int64()),
+                         pa.array([r["_size"]] * len(parts), pa.int32()),
+                         pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.string())],
+                        names=["_doc", "_size", "k", "part"])
+
+    chunks = for_python(keyed).select("_doc", "_size", F.col(text).alias("_t")).mapInArrow(
+        cut, "_doc long, _size int, k int, part string").dropDuplicates(["_doc", "_size", "k"])
 
     def bounds(k: int, size: int) -> tuple[int, int]:
         start = min(k * chunk, margin)
@@ -451,7 +468,7 @@ _STATES = pa.list_(pa.struct([(n, pa.int32()) for n in ("a", "o", "a2", "o2")]))
 
 
 def decode_ids(model: Pieces, ids: np.ndarray) -> str:
-    raw = b"".join([model.decoded[i] for i in ids])
+    raw = b"".join(map(model.decoded.__getitem__, np.asarray(ids).tolist()))
     return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
