@@ -162,8 +162,13 @@ def index(vectors: DataFrame, k: int) -> DataFrame:
         F.lit(SHARD_BYTES) / (8 * F.col("dim")))))
     shards = nodes.groupBy("dim").agg(F.count("*").alias("n")).select(
         "dim", F.ceil(F.col("n") / per_shard).cast("int").alias("shards"))
+    shards = staged(shards, "shard-counts")
+    # A shard is little data but much work: a fixed number of partitions, so that small shards are not
+    # put together in one task.
+    tasks = 2 * (shards.agg(F.sum("shards")).first()[0] or 1)
     dealt = nodes.join(shards, "dim").withColumn(
-        "shard", F.pmod(F.xxhash64("embedding"), F.col("shards")).cast("int"))
+        "shard", F.pmod(F.xxhash64("embedding"), F.col("shards")).cast("int")).repartition(
+        tasks, "dim", "shard")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ids", key=lambda c: c.map(lambda x: x[0]))
