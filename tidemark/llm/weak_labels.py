@@ -29,7 +29,7 @@ from tidemark.llm.common import (
 
 GOOD, BAD, NONE = 1, 0, 2
 BITS = 16
-SAMPLE = 3_000  # documents of either side that the scorer learns from
+SAMPLE = 1_500  # documents of either side that the scorer learns from
 
 
 def _vote(good: Column, bad: Column) -> Column:
@@ -120,19 +120,15 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarra
             [np.full(g.size, 1 / max(1, g.size)), many / n])
 
 
-def train(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 20,
+def train(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 8,
           rate: float = 0.5, seed: int = 3) -> Scorer:
-    """Logistic regression on soft labels, Adagrad over single examples."""
+    """Logistic regression on soft labels, Adagrad over single examples, each of distinct features."""
     weights, bias = np.zeros(1 << BITS), 0.0
     square, bias_square = np.full(1 << BITS, 1e-8), 1e-8
     rng = np.random.default_rng(seed)
-    folded = []
-    for at, x in examples:
-        used, inverse = np.unique(at, return_inverse=True)
-        folded.append((used, np.bincount(inverse, x) if used.size else x))
     for _ in range(epochs):
-        for i in rng.permutation(len(folded)):
-            at, x = folded[i]
+        for i in rng.permutation(len(examples)):
+            at, x = examples[i]
             p = 1 / (1 + np.exp(-np.clip(weights[at] @ x + bias, -30, 30)))
             g = p - labels[i]
             square[at] += (g * x) ** 2
@@ -191,12 +187,17 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Scorer:
 
     texts = labelled.select("doc_id", "text").join(F.broadcast(rows), "doc_id").select(
         "posterior", "text")
-    examples = for_python(texts).mapInArrow(run, schema).toArrow().to_pydict()
-    order = sorted(range(len(examples["posterior"])), key=lambda i: (
-        examples["posterior"][i], examples["feature"][i]))
-    return train([(np.array(examples["feature"][i], dtype=np.int64),
-                   np.array(examples["weight"][i], dtype=np.float64)) for i in order],
-                 np.array([examples["posterior"][i] for i in order]))
+    table = for_python(texts).mapInArrow(run, schema).toArrow().combine_chunks()
+    posterior = table.column("posterior").to_numpy()
+    many = table.column("feature").combine_chunks().value_lengths().to_numpy()
+    ends = np.cumsum(many)
+    feature, weight = (np.asarray(table.column(c).combine_chunks().flatten())
+                       for c in ("feature", "weight"))
+    examples = [(feature[e - n:e], weight[e - n:e]) for n, e in zip(many, ends, strict=True)]
+    # an order that does not depend on how rows arrive
+    mark = [int(np.sum(splitmix(at.astype(np.uint64)), dtype=np.uint64)) for at, _ in examples]
+    order = sorted(range(len(examples)), key=lambda i: (posterior[i], mark[i]))
+    return train([examples[i] for i in order], posterior[order])
 
 
 def classify(docs: DataFrame, scorer: Scorer) -> DataFrame:
