@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
-    SPACE, count_words, for_python, let, pieces, splitmix, text_bytes, word_hashes, word_spans,
+    SPACE, count_words, for_python, let, pieces, splitmix, staged, text_bytes, word_hashes,
+    word_spans,
 )
 
 GOOD, BAD, NONE = 1, 0, 2
@@ -148,8 +149,9 @@ def _apply(scorer: Scorer, column: pa.Array) -> np.ndarray:
 
 
 def soft_labels(docs: DataFrame) -> DataFrame:
-    """``docs`` plus votes and posterior. The table of patterns has at most 3^8 rows."""
-    voted = docs.drop("posterior").withColumn("votes", votes(F.col("text")))
+    """``docs`` plus votes and posterior. The table of patterns has at most 3^8 rows. The votes cost
+    several searches of each text and are read three times, so they are stored with the texts."""
+    voted = staged(docs.drop("posterior").withColumn("votes", votes(F.col("text"))), "votes")
     counted = voted.groupBy("votes").agg(F.count("*").alias("n")).collect()
     if not counted:
         return voted.withColumn("posterior", F.lit(0.0))
