@@ -3,13 +3,14 @@
 import hashlib
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import texts as T
 from tidemark.llm import line_runs, lz_dedup, ngram_join
 from tidemark.llm.components import components
-from tidemark.llm.queries import QUERIES
+from tidemark.llm.queries import QUERIES, SQL
 
 
 def shingles(text):
@@ -176,6 +177,30 @@ def test_line_dedup_equals_brute_force(spark, size):
                              if gone[i] else texts[i])
 
 
+def test_repeated_long_lines_go(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").orderBy("doc_id")
+    texts = [r[1] for r in rows.collect()]
+    lines, gone = brute_lines(texts, 2)
+    for i, single in enumerate(brute_lines(texts, 1)[1]):
+        gone[i] |= {k for k in single if len(T.WORD.findall(lines[i][k])) >= 20}
+    assert sum(map(len, gone)) > sum(map(len, brute_lines(texts, 2)[1]))
+    got = QUERIES["op5_long_line_dedup"](spark, sf).collect()
+    assert {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in got} == {
+        i: (len(lines[i]), len(g)) for i, g in enumerate(gone)}
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    assert sorted(map(tuple, got)) == sorted(duck.sql(SQL["op5_long_line_dedup"]).fetchall())
+
+
+def test_a_long_line_alone_goes_and_a_short_one_stays(spark):
+    long, short = T.sentence(random.Random(4), 25), "see also"
+    texts = [long, f"own\n{long}\nmore", long, f"{short}\nx", f"{short}\ny"]
+    got = line_runs.dedup_lines(T.documents(spark, texts), min_words=20).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == {
+        0: long, 1: "own\nmore", 2: "", 3: texts[3], 4: texts[4]}
+
+
 def test_line_dedup_without_rows_or_ids(spark):
     rows = spark.createDataFrame([(None, "a\nb"), (1, "a\nb"), (1, "a\nb")],
                                  "doc_id long, text string")

@@ -9,6 +9,9 @@ prefix is at least that long. Each interval of ``min_lines`` keeps its first suf
 then smallest line number); the lines that the later ones start with are deleted. The union of those
 lines is every later copy of every maximal repeated run.
 
+With ``min_words`` a repeated line of at least that many words also is a run by itself: later copies
+of it are deleted wherever they stand. Without it a repeated passage of one line stays.
+
 Defined cases: a null text stays null; lines without a word are never part of a run, and are dropped
 only from documents that lose a run; a null id sorts before all others; rows equal in id and text
 count as one document and share its result; an empty table gives an empty result; extra columns stay
@@ -20,9 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, let, staged
+from tidemark.llm.common import SPACE, count_words, let, staged
 
 MIN_LINES = 2
+MIN_WORDS = 20  # a line of fewer words may be boilerplate
 _NO_ID = -(1 << 63)
 _KEY = ["_doc", "_text"]
 
@@ -64,13 +68,23 @@ def _doubled(ranks: DataFrame, step: int) -> DataFrame:
     return pairs.join(named, ["rank", "next"]).select(*_KEY, "at", F.col("new").alias("rank"))
 
 
-def suffix_ranks(docs: DataFrame, length: int, doc_id: str = "doc_id",
-                 text: str = "text") -> DataFrame:
-    """(_doc, _text, at, rank): the suffixes whose first ``length`` lines occur at least twice."""
+def _line_ranks(docs: DataFrame, doc_id: str, text: str, min_words: int | None) -> DataFrame:
+    """(_doc, _text, at, rank, long): the lines that occur at least twice."""
+    def facts(x: Column) -> Column:
+        long = F.lit(False) if min_words is None else count_words(x) >= min_words
+        return F.struct(F.md5(x).alias("line"), long.alias("long"))
+
     lines = _identified(docs, doc_id, text).select(
-        *_KEY, F.posexplode(F.transform(word_lines(F.col(text)), F.md5)).alias("at", "line"))
+        *_KEY, F.posexplode(F.transform(word_lines(F.col(text)), facts)).alias("at", "x")).select(
+        *_KEY, "at", "x.line", "x.long")
     lines = staged(lines, "lines").distinct()
-    ranks = staged(lines.join(_first_ranks(lines), "line").select(*_KEY, "at", "rank"), "ranks")
+    return staged(
+        lines.join(_first_ranks(lines), "line").select(*_KEY, "at", "rank", "long"), "ranks")
+
+
+def _lengthened(ranks: DataFrame, length: int) -> DataFrame:
+    """(_doc, _text, at, rank): from ranks by the first line to ranks by the first ``length`` lines."""
+    ranks = ranks.select(*_KEY, "at", "rank")
     known = 1
     while known < length:
         step = min(known, length - known)
@@ -79,15 +93,27 @@ def suffix_ranks(docs: DataFrame, length: int, doc_id: str = "doc_id",
     return ranks
 
 
-def later_copies(docs: DataFrame, min_lines: int = MIN_LINES, doc_id: str = "doc_id",
+def suffix_ranks(docs: DataFrame, length: int, doc_id: str = "doc_id",
                  text: str = "text") -> DataFrame:
-    """(_doc, _text, _gone): per document the sorted numbers of its lines with a word that lie in a
-    later copy of a repeated run of at least ``min_lines`` lines."""
-    ranks = suffix_ranks(docs, min_lines, doc_id, text)
+    """(_doc, _text, at, rank): the suffixes whose first ``length`` lines occur at least twice."""
+    return _lengthened(_line_ranks(docs, doc_id, text, None), length)
+
+
+def _not_first(ranks: DataFrame) -> DataFrame:
     place = F.struct(*_KEY, "at")
     first = ranks.groupBy("rank").agg(F.min(place).alias("first"))
-    later = ranks.join(first, "rank").filter(place > F.col("first"))
-    lines = later.select(*_KEY, F.explode(F.sequence("at", F.col("at") + min_lines - 1)).alias("at"))
+    return ranks.join(first, "rank").filter(place > F.col("first")).select(*_KEY, "at")
+
+
+def later_copies(docs: DataFrame, min_lines: int = MIN_LINES, doc_id: str = "doc_id",
+                 text: str = "text", min_words: int | None = None) -> DataFrame:
+    """(_doc, _text, _gone): per document the sorted numbers of its lines with a word that lie in a
+    later copy of a repeated run of at least ``min_lines`` lines, or of a line of ``min_words``."""
+    ranks = _line_ranks(docs, doc_id, text, min_words)
+    lines = _not_first(_lengthened(ranks, min_lines)).select(
+        *_KEY, F.explode(F.sequence("at", F.col("at") + min_lines - 1)).alias("at"))
+    if min_words is not None:
+        lines = lines.union(_not_first(ranks.filter("long")))
     return lines.groupBy(*_KEY).agg(F.sort_array(F.collect_set("at")).alias("_gone"))
 
 
@@ -100,11 +126,11 @@ def _without(lines: Column, gone: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, doc_id: str = "doc_id",
-                text: str = "text") -> DataFrame:
+                text: str = "text", min_words: int | None = None) -> DataFrame:
     """``docs`` with later copies of repeated line runs deleted from the text, plus ``n_lines`` and
     ``n_removed`` (lines with a word, before and deleted)."""
     docs = docs.drop("n_lines", "n_removed")
-    gone = later_copies(docs, min_lines, doc_id, text)
+    gone = later_copies(docs, min_lines, doc_id, text, min_words)
     named = _identified(docs, doc_id, text).join(gone, _KEY, "left")
     lines = word_lines(F.col(text))
     kept = let(lines, lambda ls: F.array_join(_without(ls, F.col("_gone")), "\n"))
@@ -115,8 +141,12 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, doc_id: str = "doc_
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"))
 
 
-def dedup_sql(min_lines: int = MIN_LINES) -> str:
+def dedup_sql(min_lines: int = MIN_LINES, min_words: int | None = None) -> str:
     """doc_id, n_lines, n_removed and kept_sha256 for tables with unique ids."""
+    long = "" if min_words is None else f"""
+  UNION SELECT doc_id, pos FROM (SELECT * FROM lines
+    QUALIFY row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) > 1)
+  WHERE len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= {min_words}"""
     run = " || ',' || ".join(
         f"lead(md5(line), {i}) OVER w" if i else "md5(line)" for i in range(min_lines))
     return f"""
@@ -132,7 +162,7 @@ later AS (
   QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) > 1),
 gone AS (
   SELECT DISTINCT doc_id, pos + o AS pos FROM later,
-         (SELECT unnest(range(0, {min_lines})) AS o)),
+         (SELECT unnest(range(0, {min_lines})) AS o){long}),
 cut AS (
   SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id),
 kept AS (

@@ -95,6 +95,18 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op5_line_dedup"] = line_runs.dedup_sql()
 
 
+@query
+def op5_long_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op5_line_dedup, and a repeated line of MIN_WORDS words is a run by itself."""
+    return line_runs.dedup_lines(
+        _table(spark, sf_dir, "documents"), min_words=line_runs.MIN_WORDS).select(
+        "doc_id", "n_lines", "n_removed",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+SQL["op5_long_line_dedup"] = line_runs.dedup_sql(min_words=line_runs.MIN_WORDS)
+
+
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
