@@ -4,6 +4,8 @@ import hashlib
 import random
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +56,60 @@ def test_join_equals_brute_force(spark):
     assert joined(spark, texts) == brute_join(texts)
 
 
+def brute_links(texts):
+    sets = [shingles(t) for t in texts]
+    return {i: sum(bool(a) and i != j and 100 * len(a & b) >= 75 * len(a | b)
+                   for j, b in enumerate(sets)) for i, a in enumerate(sets)}
+
+
+@pytest.mark.parametrize("block", [None, 150])
+def test_links_of_every_document_are_counted(spark, monkeypatch, block):
+    if block:  # components in several blocks
+        monkeypatch.setattr(ngram_join, "_PAIR_BLOCK", block)
+        monkeypatch.setattr(ngram_join, "_SET_COST", 0)
+    texts = T.odd_texts() + T.near_copies(seed=8, groups=3, size=25)
+    texts += texts[-7:] + texts[-7:-4]
+    want = brute_links(texts)
+    got = ngram_join.join_documents(T.documents(spark, texts, extra=True))
+    assert {r["doc_id"]: r["n_links"] for r in got.collect()} == want
+    assert len(set(want.values())) > 3
+
+
+@pytest.mark.parametrize("share", [1, 2, 8, 10**9])
+def test_links_in_strips_of_rare_and_frequent_tokens(monkeypatch, share):
+    monkeypatch.setattr(ngram_join, "_DENSE_SHARE", share)
+    monkeypatch.setattr(ngram_join, "_CELLS", 100)
+    rng = random.Random(share)
+    sets = [set(rng.sample(range(18), rng.randint(9, 17))) for _ in range(60)]
+    table = pd.DataFrame({
+        "key": range(60), "n": [len(s) for s in sets], "weight": [rng.randint(1, 4) for _ in sets],
+        "tokens": [np.array(sorted(s), dtype=np.uint64).tobytes() for s in sets]})
+    probes, targets = table[25:], table[:35]
+
+    def want(mine, others):
+        return [sum(int(table["weight"][j]) for j in others.index if i != j and 100 * len(
+            sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])) for i in mine.index]
+
+    of_probes, of_targets = ngram_join._weights_of_links(probes, targets, 75)
+    assert of_probes.tolist() == want(probes, targets)
+    assert of_targets.tolist() == want(targets, probes) and any(of_targets)
+
+
+def test_links_of_the_query_are_counted(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = dict(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
+    got = QUERIES["op3_ngram_join"](spark, sf).collect()
+    assert {r["doc_id"]: r["n_links"] for r in got} == brute_links([texts[i] for i in range(len(texts))])
+
+
+def test_links_of_rows_without_id(spark):
+    rows = spark.createDataFrame(
+        [(None, "a b c d e f"), (4, "a b c d e f"), (None, None), (4, "a b c d e f")],
+        "doc_id long, text string")
+    got = ngram_join.join_documents(rows).select("n_shingles", "n_links").collect()
+    assert sorted(map(tuple, got)) == [(0, 0), (2, 2), (2, 2), (2, 2)]
+
+
 def test_join_in_many_blocks(spark, monkeypatch):
     # tiny blocks: every step deals its sets over several tasks
     monkeypatch.setattr(ngram_join, "_BLOCK", 150)

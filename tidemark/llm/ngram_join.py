@@ -18,10 +18,14 @@ Steps:
    Then sets are compared with the members of the larger components that they meet, and sets still
    alone with the others of their family. These comparisons run in blocks of bounded size over an
    index of the block's tokens, and hand out only links that join something. Pairs inside one
-   component are never compared: they can't change the result.
+   component are not compared here: they can't change it.
+4. Where links are counted, all pairs of sets of one component are compared, in blocks of bounded
+   size; there are no links between components. Tokens held by an eighth of a block's sets are
+   counted by a matrix product, others by an index. A block gives a sum per set, not pairs. A document's
+   links are the documents of the sets that link with its own, and the others of its own set.
 
 Defined cases: a null text or one without words has no shingles, links with nothing and is its own
-component; fewer words than a shingle make one shingle of them all; a null id never is a component's
+component, with no links; fewer words than a shingle make one shingle of them all; a null id never is a component's
 name (a component of null ids only has none); rows that repeat are separate documents with the same
 set; an empty table gives an empty result; other columns of the input are ignored.
 """
@@ -48,6 +52,10 @@ _FREQUENT_SHARE = 256
 _FLUSH = 1 << 20  # tokens kept by a task before it writes them out
 _RANGE = 1 << 20  # tokens in one range of hashes, about
 _BLOCK = 1 << 21  # tokens compared in one task, about
+_PAIR_BLOCK = 1 << 19  # tokens on either side where all pairs are compared, about
+_SET_COST = 64  # what a set adds to them, so that blocks of short sets stay small
+_CELLS = 1 << 22  # pairs and index hits held at once
+_DENSE_SHARE = 8
 _FREQUENT = np.uint32(0xFFFFFFFF)
 
 
@@ -418,15 +426,122 @@ def _placed(meetings: DataFrame, groups: DataFrame) -> DataFrame:
     return staged(placed.join(open_groups, "token", "left_semi"), "placed")
 
 
-def linked_components(docs: DataFrame, sets: DataFrame, percent: int = PERCENT,
-                      orders: int = ORDERS) -> DataFrame:
-    """(node, component) over the keys of linked sets; ``sets`` from :func:`document_sets`."""
+def _runs_of(values: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges whose values add up to ``most`` at most (or that hold one value)."""
+    sums = np.cumsum(values)
+    start = 0
+    while start < values.size:
+        base = sums[start - 1] if start else 0
+        stop = max(int(np.searchsorted(sums, base + most, side="right")), start + 1)
+        yield start, stop
+        start = stop
+
+
+def _weights_of_links(probes: pd.DataFrame, targets: pd.DataFrame, percent: int,
+                      ) -> tuple[np.ndarray, np.ndarray]:
+    """Per probe the sum of the weights of the other sets it links with among the targets, and per
+    target that among the probes."""
+    held = [np.frombuffer(x, dtype=np.uint64) for x in targets["tokens"]]
+    asked = [np.frombuffer(x, dtype=np.uint64) for x in probes["tokens"]]
+    n = len(held)
+    token = np.concatenate(held)
+    owner = np.repeat(np.arange(n), [t.size for t in held])
+    names, column, times = np.unique(token, return_inverse=True, return_counts=True)
+    dense = times * _DENSE_SHARE >= n
+    place = np.cumsum(dense) - 1
+    wide = int(dense.sum())
+    kind = np.float32 if wide < 1 << 24 else np.float64
+    right = np.zeros((n, wide), dtype=kind)
+    often = dense[column]
+    right[owner[often], place[column[often]]] = 1
+    rare, rare_owner = column[~often], owner[~often]
+    order = np.argsort(rare, kind="stable")
+    rare, rare_owner = rare[order], rare_owner[order]
+    key_p, key_t = probes["key"].to_numpy(), targets["key"].to_numpy()
+    size_p, size_t = probes["n"].to_numpy(), targets["n"].to_numpy()
+    many_p, many_t = probes["weight"].to_numpy(), targets["weight"].to_numpy()
+    out_p, out_t = np.zeros(len(asked), dtype=np.int64), np.zeros(n, dtype=np.int64)
+
+    known = []  # per probe its tokens that a target holds, as columns
+    for t in asked:
+        at = np.minimum(np.searchsorted(names, t), names.size - 1)
+        known.append(at[names[at] == t])
+    cost = np.array([max(n, wide, int(times[c[~dense[c]]].sum())) for c in known])
+    for a, b in _runs_of(cost, _CELLS):
+        mine = np.concatenate(known[a:b])
+        row = np.repeat(np.arange(b - a), [c.size for c in known[a:b]])
+        left = np.zeros((b - a, wide), dtype=kind)
+        often = dense[mine]
+        left[row[often], place[mine[often]]] = 1
+        both = (left @ right.T).astype(np.int64)
+        hit, of = _postings(rare, mine[~often])
+        both += np.bincount(
+            row[~often][of] * n + rare_owner[hit], minlength=(b - a) * n).reshape(b - a, n)
+        linked = (100 * both >= percent * (size_p[a:b, None] + size_t - both)) & (
+            key_p[a:b, None] != key_t)
+        out_p[a:b] = linked @ many_t
+        out_t += many_p[a:b] @ linked
+    return out_p, out_t
+
+
+def _link_units(members: DataFrame) -> DataFrame:
+    """``members(u, key, weight, m)`` of components ``u``: large components are dealt in blocks of a
+    row ``v`` and a column ``w``, small ones share units ``bin``."""
+    cost = F.col("m") + _SET_COST
+    sizes = members.groupBy("u").agg(F.ceil(F.sum(cost) / _PAIR_BLOCK).cast("int").alias("b"))
+    bins = max(1, (members.agg(F.sum(cost)).first()[0] or 0) // _PAIR_BLOCK)
+    placed = members.join(sizes, "u").withColumn("own", _block_of("key", F.col("b"), 5))
+    return placed.select(
+        "u", "key", "weight", "own", F.when(F.col("b") > 1, F.col("u")).otherwise(
+            F.pmod(F.xxhash64("u", F.lit(6)), F.lit(bins))).alias("bin"),
+        _all_blocks(F.col("b")).alias("with")).select(
+        "bin", F.least("own", "with").alias("v"), F.greatest("own", "with").alias("w"), "u", "key",
+        "weight", (F.col("own") <= F.col("with")).alias("target"),
+        (F.col("own") >= F.col("with")).alias("probe"))
+
+
+def _linked_documents(able: DataFrame, groups: DataFrame, weights: DataFrame,
+                      percent: int) -> DataFrame:
+    """(key, linked): per set in a component the documents of other sets that link with it;
+    ``weights(key, weight)`` has the documents of a set."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys, sums = [], []
+        for _, part in pdf.groupby("u"):
+            target, probe = part[part["target"]], part[part["probe"]]
+            if not len(target) or not len(probe):
+                continue
+            asked, held = _weights_of_links(probe, target, percent)
+            keys.append(probe["key"].to_numpy())
+            sums.append(asked)
+            if (part["v"] != part["w"]).any():  # else both sides are the same sets
+                keys.append(target["key"].to_numpy())
+                sums.append(held)
+        if not keys:
+            return pd.DataFrame({"key": [], "linked": []}, dtype="int64")
+        return pd.DataFrame({"key": np.concatenate(keys), "linked": np.concatenate(sums)})
+
+    sets = able.select("key", "n", "tokens").join(groups.select(
+        F.col("node").alias("key"), F.col("component").alias("u")), "key")
+    inside = staged(sets.join(weights, "key"), "linked-sets")
+    units = _link_units(inside.select(
+        "u", "key", "weight", (F.octet_length("tokens") / 8).cast("long").alias("m")))
+    parts = units.join(inside.select("key", "n", "tokens"), "key").groupBy("bin", "v", "w").applyInPandas(
+        run, "key long, linked long")
+    return parts.groupBy("key").agg(F.sum("linked").alias("linked"))
+
+
+def _comparable_sets(docs: DataFrame, sets: DataFrame, percent: int, orders: int) -> DataFrame:
     total = sets.filter("key is not null").agg(
         F.sum("n_shingles"), F.count_distinct(F.when(F.col("key") != 0, F.col("key")))).first()
     ranges = max(1, (total[0] or 0) // _RANGE)
     packed = _token_ranges(docs, ranges, frequent_tokens(sets, total[1]))
-    able = staged(_filtered_sets(
+    return staged(_filtered_sets(
         _shared_tokens(packed, ranges, ranges), percent, orders), "filtered-sets")
+
+
+def linked_components(able: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
+    """(node, component) over the keys of linked sets; ``able`` from :func:`_comparable_sets`."""
     meetings = staged(_meetings(able), "meetings")
     links = staged(_linked(_star_units(meetings), able, percent, orders), "star-links")
     placed = _placed(meetings, staged(components(links), "groups"))
@@ -435,30 +550,39 @@ def linked_components(docs: DataFrame, sets: DataFrame, percent: int = PERCENT,
     return components(links.union(with_groups).union(alone))
 
 
-def _named_sets(docs: DataFrame, percent: int, orders: int) -> DataFrame:
-    """(doc_id, key, n_shingles, g): documents with their set and component, null without shingles."""
+def _named_sets(docs: DataFrame, percent: int, orders: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, key, n_shingles, g): documents with their set and component, null without shingles;
+    also the comparable sets and the components."""
     sets = staged(document_sets(docs), "document-sets")
-    groups = linked_components(docs, sets, percent, orders)
+    able = _comparable_sets(docs, sets, percent, orders)
+    groups = linked_components(able, percent, orders)
     named = sets.filter("key is not null").join(
         groups.select(F.col("node").alias("key"), "component"), "key", "left").select(
         "doc_id", "key", "n_shingles",
         F.when(F.col("key") != 0, F.coalesce("component", "key")).alias("g"))
-    return staged(named, "named-sets")
+    return staged(named, "named-sets"), able, groups
 
 
 def join_documents(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
-    """doc_id, n_shingles, component_id: the least doc_id reachable by links, per document."""
-    named = _named_sets(docs, percent, orders)
+    """doc_id, n_shingles, component_id (the least doc_id reachable by links) and n_links (the other
+    documents that link with it), per document."""
+    named, able, groups = _named_sets(docs, percent, orders)
     least = named.filter("g is not null").groupBy("g").agg(F.min("doc_id").alias("least"))
-    return named.join(least, "g", "left").select(
+    weights = staged(named.filter("g is not null").groupBy("key").agg(
+        F.count("*").alias("weight")), "set-weights")
+    linked = _linked_documents(able, groups, weights, percent)
+    counts = weights.join(linked, "key", "left").select(
+        "key", (F.col("weight") - 1 + F.coalesce("linked", F.lit(0))).alias("n"))
+    return named.join(least, "g", "left").join(counts, "key", "left").select(
         "doc_id", "n_shingles",
-        F.when(F.col("g").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+        F.when(F.col("g").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
+        F.coalesce("n", F.lit(0)).cast("long").alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
     """``docs`` with one document of each component, the one of least id (a null id is the last
     choice); documents without shingles all stay."""
-    named = _named_sets(docs, percent, orders)
+    named, _, _ = _named_sets(docs, percent, orders)
     first = named.filter("g is not null").groupBy("g").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("x")).select(
         F.col("x.doc_id").alias("_id"), F.col("x.key").alias("_key"))
