@@ -139,6 +139,46 @@ def test_stages_equal_a_plain_version(spark, library, monkeypatch):
         (r["doc_id"], library.encode(r["text"])) for r in kept["mixing"]]
 
 
+WORDS = {
+    "de": "der die und nicht ist auch eine wird mit durch Haus Wasser schnell immer".split(),
+    "en": "the and not is also with through house water quick always this that".split(),
+    "fr": "les des est pas aussi une avec pour maison eau vite toujours cette que".split(),
+    "es": "los del es no tambien una con para casa agua siempre esta que muy".split(),
+    "it": "gli della non anche con per casa acqua sempre questa che molto sono".split(),
+}
+
+
+@pytest.mark.parametrize("labelled", [True, False])
+def test_no_clean_document_is_rejected(spark, labelled):
+    rng = random.Random(6)
+    rows = []
+    for lang, words in WORDS.items():
+        other = WORDS[rng.choice([x for x in WORDS if x != lang])]
+        for _ in range(40):
+            rows.append((lang, " ".join(rng.choices(words, k=60))))
+        for _ in range(15):  # short, and half of another language
+            rows.append((lang, rng.choice(words)))
+            rows.append((lang, " ".join(rng.choices(words, k=30) + rng.choices(other, k=30))))
+    bad = [None, "", " 12 + 3 ", "###$$$"]
+    table = [(i, t, lang if labelled else None, "s", len(t)) for i, (lang, t) in enumerate(rows)]
+    table += [(len(rows) + i, t, None, "s", 0) for i, t in enumerate(bad)]
+    docs = spark.createDataFrame(table, T.SCHEMA)
+    kept = corpus_pipeline.language_id(spark, docs, "")
+    assert kept.columns == corpus_pipeline.COLUMNS
+    assert sorted(map(tuple, kept.collect())) == table[:len(rows)]
+    if labelled:  # the former threshold lost some of them
+        model = byte_cnn.fit(docs, ~byte_cnn.held_out(F.col("doc_id")))
+        assert byte_cnn.predict(docs, model, ["doc_id"]).filter(
+            "lang_pred <> 'und' and score < 0.5").count() > 0
+
+
+def test_languages_outside_the_list_go(spark, monkeypatch):
+    rows = [(i, " ".join(WORDS[x] * 6), x, "s", 9) for i, x in enumerate(["de", "fr"] * 20)]
+    monkeypatch.setattr(corpus_pipeline, "LANGUAGES", ("de",))
+    kept = corpus_pipeline.language_id(spark, spark.createDataFrame(rows, T.SCHEMA), "")
+    assert {r["lang"] for r in kept.collect()} == {"de"}
+
+
 def test_pipeline_takes_odd_and_empty_tables(spark, tmp_path):
     docs = T.documents(spark, [*T.odd_texts(), *T.near_copies(3, 3, 6)], extra=True)
     docs = docs.union(docs.filter("doc_id in (0, 3, 6)")).withColumn(

@@ -190,6 +190,23 @@ def fit(docs: DataFrame, usable: Column, per_language: int = 250,
     return train(windows, labels, languages)
 
 
+def _has_letter(column: pa.Array) -> np.ndarray:
+    return np.array([x is not None and any(map(str.isalpha, x)) for x in column.to_pylist()],
+                    dtype=bool)
+
+
+def with_letters(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                yield piece.filter(pa.array(_has_letter(
+                    piece.column(piece.schema.get_field_index("text"))), pa.bool_()))
+
+    return for_python(docs).mapInArrow(run, docs.schema)
+
+
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """The kept columns plus lang_pred and score, the mean probability of the predicted language."""
     keep = [c for c in keep if c not in ("lang_pred", "score")]
@@ -201,8 +218,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
         for batch in batches:
             for piece in pieces(batch, "__text"):
                 column = piece.column(piece.schema.get_field_index("__text"))
-                letters = np.array([x is not None and any(map(str.isalpha, x))
-                                    for x in column.to_pylist()], dtype=bool)
+                letters = _has_letter(column)
                 names = np.full(piece.num_rows, NO_LANGUAGE, dtype=object)
                 score = np.zeros(piece.num_rows)
                 if model.languages and letters.any():
