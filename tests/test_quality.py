@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import history, recon, suites
+from tidemark.testbed.catalog import QUERIES
 
 AT = dt.datetime(2024, 6, 1, 12)
 
@@ -110,3 +111,12 @@ def test_freshness(spark):
     assert (r.age_seconds, r.is_fresh) == (3600, False)
     empty = recon.freshness({"t": df.limit(0)}, now, "2 hours")
     assert recon.freshness_metric(empty).head().value == 1
+
+
+def test_lines_of_existing_suppliers_are_no_orphans(spark, tmp_path):
+    spark.createDataFrame([(1,), (1,), (2,), (9,)], "l_suppkey long").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, -50.0), (2, 4000.0)], "s_suppkey long, s_acctbal double").write.parquet(
+        str(tmp_path / "supplier.parquet"))
+    got = QUERIES["q11_relationships_all_suppliers"](spark, str(tmp_path)).collect()
+    assert [r["id"] for r in got] == ["SEC-9"]

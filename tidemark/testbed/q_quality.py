@@ -211,6 +211,17 @@ def _(v):
     return checks.relationships(lines, "sec", firms, "sec")
 
 
+@query("q11_relationships_all_suppliers", """SELECT 'SEC-' || l_suppkey AS id FROM lineitem
+  WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)""")
+def _(v):
+    """Only lines whose supplier doesn't exist, whatever the balance."""
+    lines = v.table("lineitem").select(
+        F.concat(F.lit("SEC-"), F.col("l_suppkey").cast("string")).alias("sec"))
+    firms = v.table("supplier").select(
+        F.concat(F.lit("SEC-"), F.col("s_suppkey").cast("string")).alias("sec"))
+    return checks.relationships(lines, "sec", firms, "sec")
+
+
 @query("q12_accepted_range", """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
   WHERE NOT l_quantity > 2 OR NOT l_quantity < 49""")
 def _(v):
