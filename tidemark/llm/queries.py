@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    byte_cnn, fair_mix, graph_search, line_runs, lz_dedup, ngram_join, piece_scan, redirects,
-    risk_rules, weak_labels,
+    byte_cnn, fair_mix, graph_search, license_scan, line_runs, lz_dedup, ngram_join, orchard,
+    piece_scan, redirects, resampling, risk_rules, weak_labels,
 )
 from tidemark.llm.common import words
 
@@ -157,3 +157,30 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op10_fair_mix"] = fair_mix.mix_sql()
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+SQL["op11_importance_resampling"] = resampling.resample_sql()
+
+
+@query
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.cluster(_table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+SQL["op12_centroid_clustering"] = orchard.cluster_sql()
+
+
+@query
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
+        F.transform("spans", lambda s: F.concat_ws(
+            ":", s["label"], s["first_word"], s["last_word"], s["edits"])).alias("found"))
