@@ -64,18 +64,43 @@ def test_latest_per_key_does_not_depend_on_input_order(spark, rows):
     assert rows(clean.latest_per_key(one, "k", "at")) == rows(clean.latest_per_key(two, "k", "at"))
 
 
+def plan_of(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue()
+
+
 def test_hot_key_is_cut_before_the_shuffle(spark):
     df = spark.range(10_000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id").alias("at"))
     out = clean.latest_per_key(df, "k", "at")
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        out.explain()
-    plan = text.getvalue()
-    assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+    plan = plan_of(out)
+    assert plan.index("Exchange") < plan.rindex("partial_max") and plan.count("Exchange") == 1
     assert out.count() == 6666
 
 
+@pytest.mark.parametrize("keep", [True, False])
+def test_latest_per_key_reads_its_input_once(spark, tmp_path, keep):
+    path = str(tmp_path / "x")
+    spark.createDataFrame([("a", 1, "x"), (None, 2, "y")], "k string, at int, v string").write.parquet(path)
+    plan = plan_of(clean.latest_per_key(spark.read.parquet(path), "k", "at", keep_null_keys=keep).filter("k = 'a'"))
+    assert plan.count("FileScan") == 1 and "EqualTo(k,a)" in plan
+
+
+def test_equal_rows_without_a_key_all_stay(spark):
+    n = 2 * clean._COPIES + 3
+    df = spark.range(n).select(F.lit(None).cast("string").alias("k"), F.lit(1).alias("at"), F.lit("v").alias("v"))
+    out = clean.latest_per_key(df.unionByName(df.limit(1).withColumn("v", F.lit("w"))), "k", "at")
+    assert {r["v"]: r["count"] for r in out.groupBy("v").count().collect()} == {"v": n, "w": 1}
+    assert out.columns == ["k", "at", "v"]
+
+
+def test_rows_of_keys_only(spark, rows):
+    df = spark.createDataFrame([("a",), ("a",), (None,), (None,)], "k string")
+    assert rows(clean.latest_per_key(df, "k", [])) == [("a",), (None,), (None,)]
+
+
 def test_several_keys_with_nulls(spark, rows):
     df = spark.createDataFrame([(1, None, 1), (1, None, 2), (1, 2, 1), (1, 2, 5)], "a int, b int, at int")
     assert rows(clean.latest_per_key(df, ["a", "b"], "at")) == [(1, 2, 5), (1, None, 1), (1, None, 2)]

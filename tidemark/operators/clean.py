@@ -43,6 +43,9 @@ def _sortable(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
+_COPIES = 4_096
+
+
 def latest_per_key(
     df: DataFrame,
     keys: str | list[str],
@@ -55,22 +58,35 @@ def latest_per_key(
     ``newest`` lists the ordering columns, latest first wins; the remaining columns (maps have no
     order and are left out) follow as a tie-break, so the survivor does not depend on row order.
 
-    One shuffle, by the key alone: a filter on the key reaches the scan and, without null keys, a
-    later aggregate or join by the key needs no other shuffle. The ``rank = 1`` filter becomes a group
-    limit below the shuffle, so a key that holds a third of the rows sends one row per input
-    partition. Null-key rows are not ranked and not shuffled; they are added as they are.
+    One scan and one shuffle: the newest row is the greatest row struct of its key, so every task
+    sends one row per key, however many rows a hot key has, and a filter on the key reaches the scan.
+    Rows with a null key group by all their columns, so they spread over the tasks; equal ones travel
+    as one row and a count and are repeated afterwards.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     newest = [newest] if isinstance(newest, str) else list(newest)
-    others = [f.name for f in df.schema.fields if _sortable(f.dataType)]
-    rest = [c for c in others if c not in {*keys, *newest}] if tiebreak else []
-    order = [F.desc_nulls_last(c) for c in [*newest, *rest]]
+    values = [c for c in df.columns if c not in keys]
+    ordered = [f.name for f in df.schema.fields if f.name in values and _sortable(f.dataType)]
+    place = [*newest, *[c for c in ordered if tiebreak and c not in newest]]
+    if set(values) <= set(place):
+        best = F.max(F.struct(*place, F.lit(0).alias("_")))
+    else:
+        best = F.max_by(F.struct(*values), F.struct(*place))
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    ranked = df.filter(~has_null).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    )
-    newest_rows = ranked.filter("_rank = 1").drop("_rank")
-    return newest_rows.unionByName(df.filter(has_null)) if keep_null_keys else newest_rows
+    whole = [F.col(f"_row.{c}").alias(c) if c in values else F.col(c) for c in df.columns]
+    if not keep_null_keys:
+        return df.filter(~has_null).groupBy(*keys).agg(best.alias("_row")).select(*whole)
+    same = F.struct(F.lit(0), *[
+        F.col(c) if c in ordered else F.to_json(F.struct(c)).alias(c) for c in values])
+    rows = df.withColumn("_same", F.when(has_null, same)).groupBy(*keys, "_same").agg(
+        best.alias("_row"), F.count("*").alias("_n"))
+    # copies are repeated in parts, so that no task holds an array of all of them
+    parts = F.when(has_null, F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / _COPIES))
+                   ).otherwise(F.array(F.lit(0).cast("long")))
+    copies = F.when(has_null, F.least(F.lit(_COPIES), F.col("_n") - F.col("_part") * _COPIES)
+                    ).otherwise(F.lit(1)).cast("int")
+    return rows.select(*keys, "_row", "_n", F.explode(parts).alias("_part")).select(
+        *keys, F.explode(F.array_repeat("_row", copies)).alias("_row")).select(*whole)
 
 
 def sure(condition: Column) -> Column:
