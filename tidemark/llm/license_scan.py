@@ -7,7 +7,8 @@ edits allowed is split into E + 1 pieces, and by the pigeonhole principle every
 piece unchanged. Texts without any piece are done after these exact searches. Each place of a piece
 gives the word starts, at most E characters from where the notice would begin, at which the ``regex``
 library's bounded-error matching tries the whole notice; it reports the best span that ends with a
-word, and its edits. Words that tell licenses apart (``must``) have to be in the span unchanged.
+word, and its edits. Of overlapping spans of a notice the one with the fewest edits stays. Words that
+tell licenses apart (``must``) have to be in the span unchanged.
 
 Defined cases: null counts as an empty text; texts without words have no labels and score 0; very long
 texts are searched whole; rows that repeat give a row each; an empty table gives an empty result;
@@ -16,6 +17,7 @@ columns named like results give way to them.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -101,7 +103,7 @@ def places(data: bytes | str, piece: bytes | str) -> Iterator[int]:
         at = data.find(piece, at + 1)
 
 
-def verified(words: str, notice: Notice, found: list[tuple[int, str]]) -> Iterator[tuple[int, int, int]]:
+def verified(words: str, notice: Notice, found: list[tuple[int, str]]) -> list[tuple[int, int, int]]:
     """Start, end and edits of the notice's spans in ``words``, given places of its pieces."""
     starts = set()
     for offset, piece in found:
@@ -110,13 +112,18 @@ def verified(words: str, notice: Notice, found: list[tuple[int, str]]) -> Iterat
             for s in range(max(1, begin - notice.edits), min(begin + notice.edits + 1, len(words))):
                 if words[s - 1] == " " and words[s] != " ":
                     starts.add(s)
-    end = 0
-    for s in sorted(starts):
+    hits = []
+    for s in starts:
         # one character more than the longest match, so that the space after it can be seen
         hit = notice.pattern.match(words, s, min(len(words), s + len(notice.text) + notice.edits + 1))
-        if hit and set(notice.must) <= set(hit.group().split()) and s >= end:
-            end = hit.end()
-            yield s, end, sum(hit.fuzzy_counts)
+        if hit and set(notice.must) <= set(hit.group().split()):
+            hits.append((sum(hit.fuzzy_counts), s, hit.end()))
+    kept: list[tuple[int, int, int]] = []  # in order; of overlapping spans, the one with fewest edits
+    for edits, start, end in sorted(hits):
+        at = bisect.bisect(kept, (start,))
+        if (at == 0 or kept[at - 1][1] <= start) and (at == len(kept) or end <= kept[at][0]):
+            kept.insert(at, (start, end, edits))
+    return kept
 
 
 def scan_text(text: bytes, phrases: list[tuple[bytes, str]], notices: list[Notice]) -> tuple:
