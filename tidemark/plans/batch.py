@@ -42,18 +42,18 @@ class Options:
     thresholds: dict = field(default_factory=lambda: dict(suites.GOLD_THRESHOLDS))
 
 
-def clean_dataset(raw: DataFrame, dataset: str) -> DataFrame:
-    """Cast money and keep the newest row per key.
+def newest_first(dataset: str) -> list[str]:
+    """Columns that say which row of a key is the newest. Reference data and balances carry no
+    processing time: the load time and then the file, whose name holds its timestamp, decide."""
+    return ["processing_timestamp"] if dataset in TRANSACTIONAL else [
+        "ingestion_timestamp", "source_file"]
 
-    Reference data and balances carry no processing time: the load time and then the file, whose
-    name holds its timestamp, decide. Their account balance stays text, as delivered.
-    """
-    if dataset in TRANSACTIONAL:
-        newest = ["processing_timestamp"]
-    else:
-        newest = ["ingestion_timestamp", "source_file"]
+
+def clean_dataset(raw: DataFrame, dataset: str) -> DataFrame:
+    """Cast money and keep the newest row per key. Account balances stay text, as delivered."""
     amounts = [] if dataset == "accounts" else MONEY_COLUMNS.get(dataset, [])
-    return latest_per_key(to_money(raw, *amounts) if amounts else raw, KEYS[dataset], newest)
+    return latest_per_key(
+        to_money(raw, *amounts) if amounts else raw, KEYS[dataset], newest_first(dataset))
 
 
 def read_dataset(spark: SparkSession, paths: Layout, dataset: str, options: Options) -> DataFrame:

@@ -88,11 +88,11 @@ def materialize(
     writer.saveAsTable(name)
 
 
-LOAD_HISTORY_COLUMNS = [
-    "load_id", "source_object", "target_table", "stage_name", "copy_statement", "load_started_at",
-    "load_finished_at", "status", "rows_loaded", "rows_parsed", "error_count", "error_limit",
-    "first_error",
-]
+LOAD_HISTORY = (
+    "load_id string, source_object string, target_table string, stage_name string, "
+    "copy_statement string, load_started_at timestamp, load_finished_at timestamp, status string, "
+    "rows_loaded bigint, rows_parsed bigint, error_count bigint, error_limit bigint, "
+    "first_error string, files_loaded bigint")
 
 
 def append_audit(df: DataFrame, path: str) -> None:

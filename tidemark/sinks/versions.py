@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidemark.operators.clean import latest_per_key
 
 BUCKET = "_bucket"
+_NEWEST = object()
 
 
 class WriteConflict(RuntimeError):
@@ -34,6 +35,7 @@ class Version:
     parts: dict[str, str]  # name of a part: its folder below the table
     schema: T.StructType
     info: dict = field(default_factory=dict)
+    side: dict[str, str] = field(default_factory=dict)  # parts of another schema that switch along
 
 
 class VersionedTable:
@@ -62,7 +64,8 @@ class VersionedTable:
         finally:
             stream.close()
         entry = json.loads(text)
-        return Version(number, entry["parts"], T.StructType.fromJson(entry["schema"]), entry["info"])
+        schema = T.StructType.fromJson(entry["schema"])
+        return Version(number, entry["parts"], schema, entry["info"], entry["side"])
 
     def _create(self, name: str, text: str) -> None:
         """Create a file with all of its content at once, or fail if there is one of that name: a file
@@ -111,16 +114,29 @@ class VersionedTable:
             return self.spark.createDataFrame([], version.schema)
         return self.spark.read.schema(version.schema).parquet(*folders)
 
+    def read_side(self, prefix: str, schema: str, version: Version | None = None) -> DataFrame:
+        """The rows of the side parts whose names begin with ``prefix``."""
+        version = version or self.latest()
+        folders = [f"{self.path}/{f}" for n, f in (version.side if version else {}).items()
+                   if n.startswith(prefix)]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
+
     # ---- writing -------------------------------------------------------------------------------
     def commit(self, base: Version | None, parts: dict[str, str | None], schema: T.StructType,
-               info: dict | None = None) -> Version:
-        """The version after ``base``: its parts with ``parts`` put in their place (null drops one)."""
+               info: dict | None = None, side: dict[str, str | None] | None = None) -> Version:
+        """The version after ``base``: its parts with ``parts`` put in their place (null drops one),
+        and likewise its side parts."""
         merged = (base.parts if base else {}) | parts
         merged = {k: v for k, v in merged.items() if v is not None}
+        beside = (base.side if base else {}) | (side or {})
+        beside = {k: v for k, v in beside.items() if v is not None}
         number = (base.number if base else 0) + 1
-        entry = {"parts": merged, "schema": schema.jsonValue(), "info": info or {}}
+        entry = {"parts": merged, "schema": schema.jsonValue(), "info": info or {},
+                 "side": beside}
         self._create(f"_versions/{number:012d}", json.dumps(entry))
-        return Version(number, merged, schema, info or {})
+        return Version(number, merged, schema, info or {}, beside)
 
     def put(self, df: DataFrame, name: str) -> str:
         """Write a frame into a new part folder that no version names yet; returns its name."""
@@ -144,7 +160,7 @@ class VersionedTable:
         names; returns how many folders went. Call it when no other writer is at work: the folders of
         a write that has not switched yet are not named by a version."""
         kept = self._numbers()[-keep_versions:]
-        named = {f for v in map(self._load, kept) for f in v.parts.values()}
+        named = {f for v in map(self._load, kept) for f in (*v.parts.values(), *v.side.values())}
 
         def sweep(folder: str) -> int:
             if folder in named:
@@ -201,21 +217,22 @@ class KeyedTable(VersionedTable):
         mark = uuid.uuid4().hex[:12]
         return {p.replace(f"{BUCKET}=-1", f"unkeyed={mark}"): f for p, f in parts.items()}
 
-    def replace(self, df: DataFrame, info: dict | None = None) -> Version:
+    def replace(self, df: DataFrame, **extra) -> Version:
         """All rows anew. ``df`` may read this table: it is written before the switch."""
         base = self.latest()
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
         parts = self._written(df, schema)
         gone = {p: None for p in (base.parts if base else {}) if p not in parts}
-        return self.commit(base, gone | parts, schema, info)
+        return self.commit(base, gone | parts, schema, **extra)
 
-    def change(self, landing: DataFrame, merge, info: dict | None = None) -> Version:
+    def change(self, landing: DataFrame, merge, base: Version | None = _NEWEST, **extra) -> Version:
         """``merge(stored, landing)`` gives the new rows of the touched parts from their stored rows
-        and the landing rows with a key; landing rows without a key are added.
+        and the landing rows with a key; landing rows without a key are added. ``base`` is
+        the version that the change builds on; ``extra`` goes to :meth:`commit`.
 
         ``landing`` is used three times: give a stored frame, not a chain of work.
         """
-        base = self.latest()
+        base = self.latest() if base is _NEWEST else base
         if base is None:
             schema = T.StructType([T.StructField(f.name, f.dataType) for f in landing.schema])
             stored, touched = self.spark.createDataFrame([], schema), []
@@ -226,7 +243,7 @@ class KeyedTable(VersionedTable):
         loose = landing.select(*schema.names).filter(self._no_key())
         parts = self._written(merge(stored, keyed).select(*schema.names).unionByName(loose), schema)
         gone = {p: None for p in touched if p not in parts}
-        return self.commit(base, gone | parts, schema, info)
+        return self.commit(base, gone | parts, schema, **extra)
 
     def _landing(self, df: DataFrame) -> DataFrame:
         """A frame stored beside the table, so that its work is done once."""
@@ -234,7 +251,7 @@ class KeyedTable(VersionedTable):
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}")
 
     def upsert(self, landing: DataFrame, newest: list[str], insert_null_keys: bool = True,
-               info: dict | None = None) -> Version:
+               **extra) -> Version:
         """The newest landing row of each key takes the place of the stored one; new keys are added.
         A null key never matches, so such rows are inserts."""
         source = self._landing(latest_per_key(
@@ -244,11 +261,11 @@ class KeyedTable(VersionedTable):
             return stored.join(new.select(*self.keys), self.keys, "left_anti").select(
                 *stored.columns).unionByName(new.select(*stored.columns))
 
-        return self.change(source, merge, info)
+        return self.change(source, merge, **extra)
 
-    def keep_newest(self, landing: DataFrame, newest: list[str], info: dict | None = None) -> Version:
+    def keep_newest(self, landing: DataFrame, newest: list[str], **extra) -> Version:
         """The newest row of each key among the stored and the landing ones stays, as if both had been
         reduced together."""
         source = self._landing(latest_per_key(landing, self.keys, newest))
         return self.change(source, lambda stored, new: latest_per_key(
-            stored.unionByName(new.select(*stored.columns)), self.keys, newest), info)
+            stored.unionByName(new.select(*stored.columns)), self.keys, newest), **extra)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.plans import batch, model
+from tidemark.plans import batch, incremental, model
 from tidemark.schemas import CURRENCIES, STREAM_EVENT, struct
 from tidemark.session import scratch
 from tidemark.sinks import tables
+from tidemark.sinks.versions import KeyedTable
 from tidemark.operators import history
 from tidemark.operators.clean import with_load_metadata
 from tidemark.sources import files
@@ -76,6 +77,75 @@ def _(v):
         F.sum("transaction_amount").alias("amount"))
 
 
+# Day 1 sends the even order keys, day 2 the odd ones and every tenth with an id again: a row without an
+# id is a copy of nothing, so sending it again would add one.
+_DAYS = {
+    "days": """SELECT 1 AS day, o_orderkey, 1 + (o_orderkey % 50 = 0)::INT AS copies FROM orders
+      WHERE o_orderkey % 2 = 0 UNION ALL SELECT 2, o_orderkey, 1 + (o_orderkey % 50 = 0)::INT FROM orders
+      WHERE o_orderkey % 2 = 1 OR (o_orderkey % 10 = 0 AND o_orderkey % 97 <> 0)"""
+}
+
+
+def two_days(v: Views) -> tuple[batch.Layout, list[dict]]:
+    """Two days' files, each loaded when it comes."""
+    root = scratch(v.spark, "incremental")
+    paths, k, entries = batch.Layout(root), F.col("o_orderkey"), []
+    for day, keys in (("01", k % 2 == 0), ("02", (k % 2 == 1) | ((k % 10 == 0) & (k % 97 != 0)))):
+        stage_json_lists(v, f"{root}/bronze", keys, f"202406{day}T000000Z")
+        run_at = F.lit(f"2024-06-{day} 02:00:00").cast("timestamp")
+        entries.append(incremental.load_new_files(
+            v.spark, paths, "transactions", batch.Options(run_at=run_at)))
+    return paths, entries
+
+
+@query(
+    "s07_k01_load_of_new_files",
+    f"""SELECT 'silver' AS part, count(*) AS n, count(DISTINCT transaction_id) AS keys,
+      {total('transaction_amount')} AS amount FROM transactions
+    UNION ALL SELECT 'gold', count(*), count(DISTINCT transaction_id), {total('transaction_amount')}
+      FROM transactions
+    UNION ALL SELECT 'rejected', count(*), count(DISTINCT transaction_id), {total('transaction_amount')}
+      FROM txn_tagged WHERE rejection_reason IS NOT NULL
+    UNION ALL SELECT 'files of day ' || day, count(DISTINCT o_orderkey // 1000), NULL, NULL FROM days
+      GROUP BY day""",
+    _DAYS,
+)
+def _(v):
+    """After day 2 the layers equal one load of everything, and the ledger shows that day 2 read the
+    files of day 2 only."""
+    paths, _ = two_days(v)
+    parts = [
+        incremental.layer(v.spark, paths, "transactions", name).select(
+            F.lit(name).alias("part"), "transaction_id", "transaction_amount")
+        for name in ("silver", "gold", "rejected")
+    ]
+    layers = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("part").agg(
+        F.count("*").alias("n"), F.countDistinct("transaction_id").alias("keys"),
+        F.sum("transaction_amount").alias("amount"))
+    files_read = incremental.ledger(incremental.stored(v.spark, paths, "transactions")).groupBy(
+        F.concat(F.lit("files of day "), F.dayofmonth("loaded_at").cast("string")).alias("part")
+    ).agg(F.count("*").alias("n")).withColumns(
+        {"keys": F.lit(None).cast("bigint"), "amount": F.lit(None).cast("decimal(28,2)")})
+    return layers.unionByName(files_read)
+
+
+@query(
+    "k10_load_history_of_loads",
+    """SELECT 'transactions' AS stage_name, 'LOADED' AS status, day, count(DISTINCT o_orderkey // 1000)
+      AS files_loaded, sum(copies)::BIGINT AS rows_parsed, sum(copies)::BIGINT AS rows_loaded,
+      true AS finished FROM days GROUP BY day""",
+    _DAYS,
+)
+def _(v):
+    """The rows that the loads appended; their counts come from the write itself."""
+    paths, _ = two_days(v)
+    order = Window.partitionBy("stage_name").orderBy("load_started_at")
+    return v.spark.read.parquet(paths.at("audit", "load_history")).select(
+        "stage_name", "status", F.row_number().over(order).alias("day"), "files_loaded",
+        "rows_parsed", "rows_loaded",
+        (F.col("load_finished_at") >= F.col("load_started_at")).alias("finished"))
+
+
 @query("s02_bronze_csv_scan", BY_CURRENCY)
 def _(v):
     root = scratch(v.spark, "csv")
@@ -318,6 +388,34 @@ def _(v):
     )
 
 
+@query(
+    "k05_j08_upsert_to_storage",
+    f"""SELECT transaction_status, count(*) AS n, count(DISTINCT transaction_id) AS ids,
+      {total('transaction_amount')} AS amount, max(processing_timestamp) AS newest, true AS others_kept
+      FROM (
+        SELECT * FROM staged WHERE transaction_id NOT IN (SELECT transaction_id FROM landing)
+        UNION ALL SELECT * FROM landing) GROUP BY 1""",
+    _MERGE,
+)
+def _(v):
+    """Two upserts into a stored table, the second with the few keys of the greatest risk again; files
+    of buckets that it does not touch keep their names."""
+    target, landing = _merge_inputs(v)
+    table = KeyedTable(v.spark, scratch(v.spark, "upsert"), "transaction_id", buckets=32)
+    newest = ["processing_timestamp", "ingestion_timestamp"]
+    table.replace(target)
+    first = table.upsert(landing, newest)
+    again = table.read().filter("risk_score = 100").orderBy("transaction_id").limit(3)
+    second = table.upsert(again, newest)
+    touched = table.touched(again, second)
+    same = [p for p in first.parts if second.parts.get(p) == first.parts[p]]
+    kept = set(first.parts) - set(touched) <= set(same) and not set(touched) & set(same)
+    return table.read().groupBy("transaction_status").agg(
+        F.count("*").alias("n"), F.countDistinct("transaction_id").alias("ids"),
+        F.sum("transaction_amount").alias("amount"), F.max("processing_timestamp").alias("newest"),
+    ).withColumn("others_kept", F.lit(kept))
+
+
 def _registered(v: Views, name: str) -> DataFrame:
     """Write trades, register the folder as an external table and find its partitions."""
     path = scratch(v.spark, "external")
