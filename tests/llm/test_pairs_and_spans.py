@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import texts as T
 from tidemark.llm import line_runs, lz_dedup, ngram_join
+from tidemark.llm.common import from_planes
 from tidemark.llm.components import components
 from tidemark.llm.queries import QUERIES, SQL
 
@@ -283,3 +284,30 @@ def test_queries_against_brute_force(spark):
     counts = {r["doc_id"]: r["n_removed"] for r in QUERIES["op5_line_dedup"](spark, sf).select(
         "doc_id", F.col("n_removed")).collect()}
     assert counts == {i: len(g) for i, g in enumerate(gone)}
+
+
+# ---- routing -------------------------------------------------------------------------------------
+def test_a_task_that_runs_again_sends_its_rows_to_the_same_groups(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    texts = T.near_copies(groups=3, size=6) + ["the same words again and again in this text " * 4] * 30
+    T.documents(spark, texts).repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    plain = ngram_join._token_ranges(docs, 8, np.zeros(0, np.uint64)).collect()
+    frequent = np.unique(np.concatenate([from_planes(bytes(r["tokens"]), np.uint64) for r in plain]))[::9]
+    once, again = ([sorted((r["part"], bytes(r["tokens"]), bytes(r["keys"])) for r in ngram_join._token_ranges(
+        docs, 8, frequent).collect()) for _ in range(2)])
+    assert once == again and max(r[0] for r in once) >= 8
+
+    def tables(order):
+        n = np.arange(order.size)
+        t = lz_dedup._table((order % 7).astype(np.uint64) << np.uint64(40), order.astype(np.uint64), order, order, n * 0, 9)
+        return iter([t])
+
+    def routed(order):
+        out = []
+        for b in lz_dedup._combined(tables(order), 8):
+            out += [(r["part"], len(r["doc"])) for r in b.to_pylist()]
+        return sorted(out)
+
+    rows = np.arange(500)
+    assert routed(rows) == routed(rows) == routed(rows[::-1].copy())

@@ -181,6 +181,16 @@ def pieces(batch: pa.RecordBatch, text: str = "text",
         start = stop
 
 
+def repeatable_turn(content: list, turns: int) -> int:
+    """One of ``turns`` groups for a packet, chosen by its content: a task that is run again sends the
+    same rows to the same groups."""
+    values = np.array(content, dtype=np.int64).view(np.uint64)
+    with np.errstate(over="ignore"):
+        mixed = splitmix(np.add.reduce(splitmix(values + np.arange(
+            values.size, dtype=np.uint64)), keepdims=True))
+    return int(mixed[0] % np.uint64(turns))
+
+
 def planes(values: np.ndarray) -> bytes:
     """Bytes by significance: the like high bytes of sorted numbers lie together and compress."""
     return values.view(np.uint8).reshape(values.size, values.itemsize).T.tobytes()

@@ -27,7 +27,6 @@ the names of its results, which are replaced.
 
 from __future__ import annotations
 
-import random
 import re
 from collections.abc import Iterator
 
@@ -136,14 +135,16 @@ def _range_of(key: np.ndarray, ranges: int) -> np.ndarray:
 
 def _combined(tables: Iterator[Table], ranges: int) -> Iterator[pa.RecordBatch]:
     """Batches of open places, combined and sent to the blocks that own them; copies found on the
-    way go to groups beyond the blocks, in turn."""
+    way go to groups beyond the blocks. A row's group depends on the row alone, so that a task that is
+    run again sends it to the same one."""
     held: list[Table] = []
     spare = max(16, ranges // 8)
-    turn = random.randrange(spare)
 
     def flush() -> pa.RecordBatch:
         t = _resolved(_join(held))
-        part = np.where(t["kind"] == _OPEN, _range_of(t["key"], ranges), ranges + turn % spare)
+        place = splitmix(t["doc"].astype(np.int64).view(np.uint64) ^ splitmix(t["at"].astype(np.uint64)))
+        part = np.where(t["kind"] == _OPEN, _range_of(t["key"], ranges),
+                        ranges + (place % np.uint64(spare)).astype(np.int64))
         t["key"] = np.where(t["kind"] == _OPEN, t["key"], 0).astype(np.uint64)
         t["anchor"] = np.where(t["kind"] == _OPEN, t["anchor"], 0).astype(np.uint64)
         return pa.RecordBatch.from_pylist(_pack(t, part), schema=_PACKED_SCHEMA)
@@ -154,7 +155,7 @@ def _combined(tables: Iterator[Table], ranges: int) -> Iterator[pa.RecordBatch]:
         total += t["key"].size
         if total >= _FLUSH:
             yield flush()
-            held, total, turn = [], 0, turn + 1
+            held, total = [], 0
     if total:
         yield flush()
 

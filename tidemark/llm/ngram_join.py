@@ -34,7 +34,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import random
 
 import numpy as np
 import pandas as pd
@@ -42,7 +41,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import for_python, from_planes, planes, splitmix, staged
+from tidemark.llm.common import (
+    for_python, from_planes, planes, repeatable_turn, splitmix, staged,
+)
 from tidemark.llm.components import components
 from tidemark.llm.shingles import set_key, sets_in
 
@@ -132,19 +133,17 @@ def _token_ranges(docs: DataFrame, ranges: int, frequent: np.ndarray) -> DataFra
         seen: set[int] = set()
         held: list[np.ndarray] = []
         keys: list[int] = []
-        salt = random.randrange(salts)
 
         def flush() -> pa.RecordBatch:
-            nonlocal salt
             tokens = np.concatenate(held)
+            salt = repeatable_turn(keys, salts)
             owner = np.repeat(np.arange(len(held), dtype=np.uint32), [s.size for s in held])
             key = np.array(keys, dtype=np.int64)
             size = np.array([s.size for s in held], dtype=np.uint32)
             part = (tokens >> np.uint64(32)).astype(np.int64) * ranges >> 32
             if frequent.size:
                 at = np.minimum(np.searchsorted(frequent, tokens), frequent.size - 1)
-                part[frequent[at] == tokens] = ranges + salt % salts
-            salt += 1
+                part[frequent[at] == tokens] = ranges + salt
             order = np.lexsort((tokens, part))
             tokens, owner, part = tokens[order], owner[order], part[order]
             edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
