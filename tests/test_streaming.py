@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.schemas import STREAM_ENVELOPE
+from tidemark.operators import suites
 from tidemark.streaming import events as ev, jobs
+from tidemark.streaming.store import EventStore, keyed
 from tidemark.testbed.q_stream import whole_events
 
 T0 = dt.datetime(2024, 1, 1, 12)
@@ -69,13 +71,8 @@ def test_late_events(spark, tmp_path):
 
 
 def tables(spark, paths):
-    out = {}
-    for t in ["rejected/events", "silver/trades", "gold/fact_trade", "silver/payments", "silver/transactions"]:
-        try:
-            out[t] = spark.read.parquet(paths.at(*t.split("/"))).count()
-        except Exception:
-            out[t] = 0
-    return out
+    names = ["rejected/events", "silver/trades", "gold/fact_trade", "silver/payments", "silver/transactions"]
+    return {t: jobs.stream_table(spark, paths, *t.split("/")).count() for t in names}
 
 
 def test_stream_dedup_fan_out_and_replay(spark, tmp_path):
@@ -130,3 +127,92 @@ def test_a_lost_or_doubled_copy_is_seen(spark):
     stored = ["0-0", "0-1", "1-0", "37-0", "74-0", "74-1", "74-1", "75-0", "75-0"]
     rows = spark.createDataFrame([(x,) for x in stored], "sequence_number string")
     assert sorted(r["event_id"] for r in whole_events(rows, sent).collect()) == [0, 1]
+
+
+def cuts(spark, tmp_path, name, groups):
+    """Runs the job over files that hold the given events, one file a batch, with its own checkpoint."""
+    paths = jobs.StreamPaths(str(tmp_path / "out"))
+    for i, ids in enumerate(groups):
+        send(spark, str(tmp_path / name), [event(x, i % 3) for x in ids], start=100 * i)
+    source = jobs.envelope_source(spark, str(tmp_path / name), maxFilesPerTrigger="1")
+    jobs.run_stream(source, paths, RUN(), checkpoint=paths.checkpoint(name), validate=False).awaitTermination()
+    return paths
+
+
+def test_every_event_once_in_other_cuts(spark, tmp_path):
+    ids = [str(i) for i in range(12)]
+    paths = cuts(spark, tmp_path, "a", [ids[:6], ids[6:]])
+    assert tables(spark, paths)["silver/trades"] == 12
+    # minute and so event day of an event are the same in each cut: replay by the first cut's minutes
+    cuts(spark, tmp_path, "b", [ids[:3], ids[9:] + ["new"]])
+    store = EventStore(spark, paths.root)
+    got = sorted(r["identity"] for r in store.rows().collect())
+    assert got == sorted([*ids, "new"])
+
+
+def test_an_id_whose_batch_failed_is_stored_later(spark, tmp_path):
+    paths = jobs.StreamPaths(str(tmp_path / "out"))
+    batch = ev.with_stream_metadata(ev.parse_envelope(send(spark, str(tmp_path / "in"), [event("1"), event("2")])), RUN())
+    store = EventStore(spark, paths.root)
+    rows = keyed(ev.tag_events(batch), "x-0")
+    store.remember(rows, ["2024-01"])  # the filter was written, then the batch failed
+    assert store.maybe_stored(rows, ["2024-01"]).count() == 2
+    jobs.fan_out(paths)(batch, 0)
+    assert tables(spark, paths)["silver/trades"] == 2
+
+
+def test_the_filter_knows_all_and_only_few_others(spark, tmp_path):
+    store = EventStore(spark, str(tmp_path), bits=1 << 16, hashes=4)
+    month = F.lit("2024-01").alias("event_month")
+    ids = lambda a, b: spark.range(a, b).select(F.col("id").cast("string").alias("identity"), month)
+    for a in range(0, 3000, 1000):
+        store.remember(ids(a, a + 1000), ["2024-01"])
+    assert store.maybe_stored(ids(0, 3000), ["2024-01"]).count() == 3000
+    assert store.maybe_stored(ids(5000, 15000), ["2024-01"]).count() < 300
+    assert store.maybe_stored(ids(0, 10), ["2024-02"]) is None
+
+
+def test_packing_keeps_rows_for_old_and_new_readers(spark, tmp_path, rows):
+    paths = cuts(spark, tmp_path, "a", [[f"{i}", f"{i}x"] for i in range(5)])
+    store = EventStore(spark, paths.root)
+    want, reader, before = rows(store.rows(), "identity"), store.rows(), store.files().count()
+    assert store.pack("2024-06-01") == 0  # the day is not over
+    assert store.pack("2024-06-02") == 5 and store.pack("2024-06-02") == 0
+    assert rows(reader, "identity") == want == rows(store.rows(), "identity") and store.files().count() < before
+    store.drop_packed_files()
+    assert rows(store.rows(), "identity") == want and rows(store.rows("trades"), "identity") == want
+    # a replay of packed events is still known, and later batches are added beside them
+    cuts(spark, tmp_path, "b", [["0", "0x"], ["later"]])
+    assert rows(store.rows(), "identity") == sorted([*want, ("later",)], key=str)
+    assert store.pack("2024-06-02") >= 1 and rows(store.rows(), "identity") == sorted([*want, ("later",)], key=str)
+
+
+def test_counts_and_checks_come_from_the_write(spark, tmp_path):
+    paths = jobs.StreamPaths(str(tmp_path / "out"))
+    send(spark, str(tmp_path / "in"), [event("1"), event("2", currency_code="ZZZ"), event("3", event_type="payment", payment_id="p", transaction_status="SETTLED")])
+    jobs.run_stream(jobs.envelope_source(spark, str(tmp_path / "in")), paths, RUN()).awaitTermination()
+    r = spark.read.parquet(paths.at("audit", "batch_counts")).first()
+    assert (r.input_rows, r.valid_rows, r.rejected_rows, r.trade_rows, r.payment_rows, r.transaction_rows) == (3, 2, 1, 1, 1, 0)
+    s = spark.read.parquet(paths.at("audit", "validation_results")).first()
+    assert (s.evaluated_expectations, s.unsuccessful_expectations, s.success) == (7, 1, False)
+    stored = ev.tag_events(ev.parse_envelope(spark.read.parquet(str(tmp_path / "in"))))
+    plain = suites.evaluate_suite(stored.select(*suites.suite_columns(jobs.SUITE)).withColumn(
+        "transaction_amount", ev.money("transaction_amount")), jobs.SUITE)
+    assert plain.filter("not success").count() == 1
+
+
+def test_a_failing_suite_stops_the_batch_before_it_is_stored(spark, tmp_path):
+    paths = jobs.StreamPaths(str(tmp_path / "out"))
+    batch = ev.with_stream_metadata(ev.parse_envelope(send(spark, str(tmp_path / "in"), [event("1", risk_score=500)])), RUN())
+    with pytest.raises(suites.ValidationFailed):
+        jobs.fan_out(paths, on_fail="raise")(batch, 0)
+    assert tables(spark, paths)["rejected/events"] == 0
+
+
+def test_stream_tables_as_views(spark, tmp_path):
+    paths = jobs.StreamPaths(str(tmp_path / "out"))
+    send(spark, str(tmp_path / "in"), [event("1")])
+    jobs.run_stream(jobs.envelope_source(spark, str(tmp_path / "in")), paths, RUN()).awaitTermination()
+    jobs.register_stream_tables(spark, paths)
+    assert spark.sql("SELECT sum(quantity) AS q FROM gold_fact_trade").first().q == 2
+    assert spark.table("silver_payments").count() == 0

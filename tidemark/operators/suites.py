@@ -1,5 +1,6 @@
-"""Expectation suites: declared as data, evaluated in one aggregate pass plus one grouped pass per
-unique column, whatever the number of expectations."""
+"""Expectation suites: declared as data, evaluated in one aggregate pass plus one grouped pass for all
+unique columns, whatever the number of expectations. The counts of the aggregate pass can also come
+from a write that observes them."""
 
 from __future__ import annotations
 
@@ -156,9 +157,8 @@ def _bound(value, parameters: dict):
     return value
 
 
-def _breaks(rule: dict, parameters: dict) -> Column:
+def _breaks(rule: dict, parameters: dict, c: Column) -> Column:
     """True where a value breaks the rule; null values are not tested."""
-    c = F.col(rule["column"])
     if rule["kind"] == NOT_NULL:
         return c.isNull()
     if rule["kind"] == IN_SET:
@@ -174,16 +174,60 @@ def _breaks(rule: dict, parameters: dict) -> Column:
     return broken
 
 
-def evaluate_suite(df: DataFrame, suite: str | list[dict], parameters: dict | None = None):
+def _rules(suite: str | list[dict]) -> list[dict]:
+    return SUITES[suite] if isinstance(suite, str) else suite
+
+
+def _by_row(rule: dict, present: set[str]) -> bool:
+    return rule["kind"] not in (COLUMNS, UNIQUE) and rule["column"] in present
+
+
+def row_metrics(suite: str | list[dict], columns: list[str], parameters: dict | None = None,
+                values: dict[str, Column] | None = None) -> list[Column]:
+    """Named aggregates that hold the counts of all row rules, to aggregate or to observe.
+
+    ``values`` gives expressions for columns that are stored in another type.
+    """
+    present, out = set(columns), [F.count("*").alias("_rows")]
+    for i, rule in enumerate(_rules(suite)):
+        if _by_row(rule, present):
+            c = (values or {}).get(rule["column"], F.col(rule["column"]))
+            out.append(F.count_if(_breaks(rule, parameters or {}, c)).alias(f"_bad{i}"))
+            if rule["kind"] != NOT_NULL:
+                out.append(F.count(c).alias(f"_set{i}"))
+    return out
+
+
+def unique_counts(df: DataFrame, columns: dict[int, str]) -> DataFrame:
+    """(position, tested, unexpected) per unique column: values, and values that occur again.
+
+    All columns travel in one shuffle: a row sends one record per column, with the value in a field of
+    its own type, and equal records of a task are counted before they are sent.
+    """
+    places = {c: f"_v{n}" for n, c in enumerate(dict.fromkeys(columns.values()))}
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    records = [
+        F.when(F.col(c).isNotNull(), F.struct(
+            F.lit(i).alias("position"),
+            *[(F.col(c) if o == c else F.lit(None).cast(kinds[o])).alias(v)
+              for o, v in places.items()]))
+        for i, c in columns.items()
+    ]
+    per_value = df.select(F.inline(F.array_compact(F.array(*records)))).groupBy(
+        "position", *places.values()).agg(F.count("*").alias("_n"))
+    return per_value.groupBy("position").agg(
+        F.sum("_n").alias("tested"),
+        F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("unexpected"))
+
+
+def evaluate_suite(df: DataFrame, suite: str | list[dict], parameters: dict | None = None,
+                   observed: dict | None = None) -> DataFrame:
     """One row per expectation: tested and unexpected counts, observed share and success.
 
-    The row rules of the suite share one aggregate; each unique column adds one count per value,
-    whose partial aggregation absorbs hot values.
+    The row rules of the suite share one aggregate, or take ``observed``, the values of
+    :func:`row_metrics` from a write. All unique columns share one count per value.
     """
-    rules = SUITES[suite] if isinstance(suite, str) else suite
-    parameters = parameters or {}
-    present = set(df.columns)
-    aggregates, cells, uniques = [F.count("*").alias("_rows")], [], []
+    rules, present = _rules(suite), set(df.columns)
 
     def cell(i: int, rule: dict, tested: Column, unexpected: Column) -> Column:
         return F.struct(
@@ -195,6 +239,10 @@ def evaluate_suite(df: DataFrame, suite: str | list[dict], parameters: dict | No
             unexpected.cast("bigint").alias("unexpected"),
         )
 
+    def metric(name: str) -> Column:
+        return F.col(name) if observed is None else F.lit(observed[name])
+
+    cells, uniques = [], {}
     for i, rule in enumerate(rules):
         if rule["kind"] == COLUMNS:
             odd = len(present.symmetric_difference(rule["columns"]))
@@ -202,28 +250,24 @@ def evaluate_suite(df: DataFrame, suite: str | list[dict], parameters: dict | No
         elif rule["column"] not in present:
             cells.append(cell(i, rule, F.lit(0), F.lit(1)))
         elif rule["kind"] == UNIQUE:
-            uniques.append((i, rule))
+            uniques[i] = rule["column"]
         else:
-            aggregates.append(F.count_if(_breaks(rule, parameters)).alias(f"_bad{i}"))
-            if rule["kind"] == NOT_NULL:
-                tested = F.col("_rows")
-            else:
-                aggregates.append(F.count(F.col(rule["column"])).alias(f"_set{i}"))
-                tested = F.col(f"_set{i}")
-            cells.append(cell(i, rule, tested, F.col(f"_bad{i}")))
-
-    parts = [df.agg(*aggregates).select(F.inline(F.array(*cells)))] if cells else []
-    for i, rule in uniques:
-        per_value = (
-            df.filter(F.col(rule["column"]).isNotNull())
-            .groupBy(rule["column"])
-            .agg(F.count("*").alias("_n"))
-        )
-        totals = per_value.agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("_all"),
-            F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("_copies"),
-        )
-        parts.append(totals.select(F.inline(F.array(cell(i, rule, F.col("_all"), F.col("_copies"))))))
+            tested = metric("_rows" if rule["kind"] == NOT_NULL else f"_set{i}")
+            cells.append(cell(i, rule, tested, metric(f"_bad{i}")))
+
+    one = df.sparkSession.range(1) if observed is not None else df.agg(
+        *row_metrics(rules, df.columns, parameters))
+    parts = [one.select(F.inline(F.array(*cells)))] if cells else []
+    if uniques:
+        blank = F.array(*[cell(i, rules[i], F.lit(0), F.lit(0)) for i in uniques])
+        # a rule without any value has no counts of its own: the zeros stand in for it
+        counts = df.sparkSession.range(1).select(F.inline(blank)).unionByName(
+            unique_counts(df, uniques).select(
+                "position", F.lit(None).cast("string").alias("kind"),
+                F.lit(None).cast("string").alias("column_name"),
+                F.lit(None).cast("double").alias("mostly"), "tested", "unexpected"))
+        parts.append(counts.groupBy("position").agg(
+            *[F.max(c).alias(c) for c in _RESULT[1:]]))
     results = reduce(lambda a, b: a.unionByName(b), parts)
     share = 1 - F.try_divide(F.col("unexpected").cast("double"), F.col("tested"))
     whole = F.col("kind") == COLUMNS

@@ -45,10 +45,18 @@ class VersionedTable:
         self.spark, self.path = spark, path.rstrip("/")
 
     # ---- files ---------------------------------------------------------------------------------
-    def _hadoop(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+    def at(self, folder: str):
+        """File system and path of a folder."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
+    def exists(self, folder: str) -> bool:
+        fs, path = self.at(folder)
+        return bool(fs.exists(path))
+
+    def _hadoop(self, name: str):
+        return self.at(f"{self.path}/{name}")
+
     def _names(self, folder: str) -> list[str]:
         fs, path = self._hadoop(folder)
         return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
@@ -183,8 +191,8 @@ class KeyedTable(VersionedTable):
 
     A change rewrites only the buckets of the keys it brings. Rows without a key match nothing: they
     form parts of their own that are only ever added to. ``split`` cuts the buckets further by named
-    expressions, so that a reader can ask for the parts with one value. A table keeps the buckets and
-    the split it was first written with: give the same ones each time.
+    expressions, so that a reader can ask for the parts with one value: give the same ones each time.
+    A table keeps its number of buckets until it is replaced.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str | list[str], buckets: int = 64,
@@ -223,6 +231,7 @@ class KeyedTable(VersionedTable):
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
         parts = self._written(df, schema)
         gone = {p: None for p in (base.parts if base else {}) if p not in parts}
+        extra["info"] = {**extra.get("info", {}), "buckets": self.buckets}
         return self.commit(base, gone | parts, schema, **extra)
 
     def change(self, landing: DataFrame, merge, base: Version | None = _NEWEST, **extra) -> Version:
@@ -233,6 +242,8 @@ class KeyedTable(VersionedTable):
         ``landing`` is used three times: give a stored frame, not a chain of work.
         """
         base = self.latest() if base is _NEWEST else base
+        if base and base.info.get("buckets") != self.buckets:
+            raise ValueError(f"{self.path} has {base.info.get('buckets')} buckets, not {self.buckets}")
         if base is None:
             schema = T.StructType([T.StructField(f.name, f.dataType) for f in landing.schema])
             stored, touched = self.spark.createDataFrame([], schema), []
@@ -243,6 +254,7 @@ class KeyedTable(VersionedTable):
         loose = landing.select(*schema.names).filter(self._no_key())
         parts = self._written(merge(stored, keyed).select(*schema.names).unionByName(loose), schema)
         gone = {p: None for p in touched if p not in parts}
+        extra["info"] = {**extra.get("info", {}), "buckets": self.buckets}
         return self.commit(base, gone | parts, schema, **extra)
 
     def _landing(self, df: DataFrame) -> DataFrame:

@@ -102,10 +102,25 @@ def tag_events(df: DataFrame) -> DataFrame:
     return df.withColumn("rejection_reason", reason)
 
 
+# Columns of a tagged event as the streaming job stores it.
+STORED_COLUMNS = [
+    "sequence_number", *STREAM_EVENT.fieldNames(), "ingestion_timestamp", "processing_date",
+    "raw_payload", "rejection_reason",
+]
+
+
+def stored_schema() -> T.StructType:
+    """Schema of the stored events, with the columns that place them."""
+    kinds = {f.name: f.dataType for f in STREAM_EVENT.fields} | {
+        "ingestion_timestamp": T.TimestampType(), "processing_date": T.DateType()}
+    names = [*STORED_COLUMNS, "identity", "event_month", "route", "batch_key"]
+    return T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
+
+
 EVENT_KINDS = {"transaction": "transactions", "payment": "payments", "trade": "trades"}
 
 
-def route(events: DataFrame, kind: str) -> DataFrame:
+def route(events: DataFrame, kind: str, also: list[str] = ()) -> DataFrame:
     """Events of one kind as rows of their canonical table, with typed money."""
     dataset = EVENT_KINDS[kind]
     amounts = {"transaction_amount", "quantity", "price"}
@@ -115,7 +130,7 @@ def route(events: DataFrame, kind: str) -> DataFrame:
     return (
         with_optional_columns(events)
         .filter(F.col("event_type") == kind)
-        .select("event_id", *columns, "ingestion_timestamp", "processing_date")
+        .select("event_id", *columns, "ingestion_timestamp", "processing_date", *also)
     )
 
 

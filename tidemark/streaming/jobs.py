@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import suites
@@ -15,6 +15,7 @@ from tidemark.plans import marts
 from tidemark.schemas import GOLD_TABLES, STREAM_ENVELOPE
 from tidemark.sinks.tables import write_parquet, write_table
 from tidemark.streaming import events as ev
+from tidemark.streaming.store import REJECTED, EventStore, keyed, route
 
 
 @dataclass
@@ -64,17 +65,15 @@ def write_stream(
     return _trigger(writer, available_now, interval).start(path)
 
 
-# Batch numbers start at 0 again with a new checkpoint, so a batch is known by what it holds: a replay
-# of the same events, after a failure or a lost checkpoint, has the same key, other events have another.
-BATCH_PARTITIONS = ["processing_date", "batch_key"]
-LOAD_COLUMNS = ["ingestion_timestamp", "processing_date"]
+def _run_id(spark: SparkSession, checkpoint: str | None) -> str:
+    """Id of the query that a checkpoint belongs to. Batch numbers start at 0 again with a new
+    checkpoint, so a batch is known by both."""
+    if checkpoint is None:
+        return "direct"
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
 
 
-def batch_key(tagged: DataFrame) -> str | None:
-    """Key of a batch's events, whatever their order and load time; null for an empty batch."""
-    events = F.xxhash64(*[c for c in tagged.columns if c not in LOAD_COLUMNS])
-    n, total = tagged.agg(F.count("*"), F.sum(events.cast("decimal(38,0)"))).first()
-    return f"{n:x}-{int(total) % (1 << 64):016x}" if n else None
+SUITE = "streaming_events_microbatch"
 
 
 def fan_out(
@@ -82,61 +81,105 @@ def fan_out(
     fmt: str = "parquet",
     validate: bool = True,
     on_fail: str = "report",
+    checkpoint: str | None = None,
 ):
-    """foreachBatch function: rejected events, three silver and three gold tables, counts.
+    """foreachBatch function: one tagged write of the batch's new events, from which the rejected,
+    silver and gold tables are read (:func:`stream_table`).
 
-    Every write overwrites only its own (processing_date, batch_key) partitions, so a batch that is
-    replayed replaces what it wrote before, and nothing else. The batch is kept for its writes. The
-    summary of the checks is stored with the batch.
+    Counts and rule results come from that write; only ``on_fail='raise'`` looks at the batch before
+    it is stored. The batch is kept for the few passes over it. A batch that is replayed replaces what
+    it wrote, and events that another batch has stored are left out (see ``streaming.store``).
     """
+    state: dict = {}
 
-    def put(df: DataFrame, names: dict, layer: str, table: str,
-            partition_by: list[str] = BATCH_PARTITIONS) -> None:
-        write_table(
-            df.withColumns(names), paths.at(layer, table), partition_by, fmt=fmt,
-            replace_partitions_only=True,
-        )
+    def audit(row: DataFrame, key: str, table: str) -> None:
+        write_table(row.withColumn("batch_key", F.lit(key)), paths.at("audit", table), ["batch_key"],
+                    fmt=fmt, replace_partitions_only=True)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        tagged = ev.tag_events(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        spark = batch.sparkSession
+        store = EventStore(spark, paths.root)
+        if "run" not in state:
+            state["run"] = _run_id(spark, checkpoint)
+            store.forget_attempt(f"{state['run']}-{batch_id}")
+        key = f"{state['run']}-{batch_id}"
+        kept = keyed(ev.tag_events(batch), key).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            key = batch_key(tagged)
-            if key is None:
+            months = [r[0] for r in kept.select("event_month").distinct().collect()]
+            if not months:
+                return
+            new = store.fresh(kept, key, months)
+            checked = new.select(*suites.suite_columns(SUITE)).withColumn(
+                "transaction_amount", ev.money("transaction_amount"))
+
+            def summary(observed: dict | None) -> DataFrame:
+                return suites.summarize(
+                    suites.evaluate_suite(checked, SUITE, observed=observed), SUITE,
+                    "streaming_events", "stream_microbatch")
+
+            if validate and on_fail == "raise":
+                suites.enforce(summary(None), on_fail)
+            store.remember(new, months)
+            seen = Observation(key)
+            rules = suites.row_metrics(SUITE, checked.columns, values={
+                "transaction_amount": ev.money("transaction_amount")}) if validate else []
+            store.write(new.observe(seen, *batch_metrics(), *rules))
+            metrics = seen.get
+            if not metrics["input_rows"]:
                 return
-            names = {"batch_key": F.lit(key), "batch_id": F.lit(batch_id)}
-            valid = valid_rows(tagged)
+            counts = {c: metrics[c] for c in BATCH_COUNTS} | {"batch_id": batch_id}
+            audit(spark.createDataFrame([counts], _COUNTS_SCHEMA), key, "batch_counts")
             if validate:
-                suite = "streaming_events_microbatch"
-                checked = tagged.select(*suites.suite_columns(suite))
-                checked = checked.withColumn("transaction_amount", ev.money("transaction_amount"))
-                summary = suites.summarize(
-                    suites.evaluate_suite(checked, suite), suite, "streaming_events",
-                    "stream_microbatch",
-                )
-                results = paths.at("audit", "validation_results")
-                put(summary, names, "audit", "validation_results", ["batch_key"])
-                stored = batch.sparkSession.read.format(fmt).load(results)
-                suites.enforce(stored.filter(F.col("batch_key") == key), on_fail)
-            put(rejected_rows(tagged), names, "rejected", "events")
-            for kind, dataset in ev.EVENT_KINDS.items():
-                rows = ev.route(valid, kind)
-                put(rows, names, "silver", dataset)
-                put(rows, names, "gold", GOLD_TABLES[dataset])
-            put(batch_counts(tagged), names, "audit", "batch_counts")
+                audit(summary(metrics).withColumn("batch_id", F.lit(batch_id)), key,
+                      "validation_results")
         finally:
-            tagged.unpersist()
+            kept.unpersist()
 
     return process
 
 
-def batch_counts(tagged: DataFrame) -> DataFrame:
+BATCH_COUNTS = ["processing_date", "input_rows", "valid_rows", "rejected_rows",
+                *[f"{k}_rows" for k in ev.EVENT_KINDS]]
+_COUNTS_SCHEMA = ", ".join(["processing_date date", *[f"{c} bigint" for c in BATCH_COUNTS[1:]],
+                            "batch_id bigint"])
+
+
+def batch_metrics() -> list[Column]:
+    """Counts of a batch; all of its rows have one load day."""
     ok = F.col("rejection_reason").isNull()
-    return tagged.groupBy("processing_date").agg(
+    return [
+        F.max("processing_date").alias("processing_date"),
         F.count("*").alias("input_rows"),
         F.count_if(ok).alias("valid_rows"),
         F.count_if(~ok).alias("rejected_rows"),
         *[F.count_if(ok & (F.col("event_type") == k)).alias(f"{k}_rows") for k in ev.EVENT_KINDS],
-    )
+    ]
+
+
+def stream_table(spark: SparkSession, paths: StreamPaths, layer: str, table: str) -> DataFrame:
+    """One table of the fan-out job: the stored events of its route, in the table's columns. Silver
+    and gold of a stream hold the same rows."""
+    store = EventStore(spark, paths.root)
+    if (layer, table) == ("rejected", "events"):
+        return store.rows(REJECTED).drop("identity", "route", "event_month")
+    names = dict(GOLD_TABLES) if layer == "gold" else {d: d for d in ev.EVENT_KINDS.values()}
+    dataset = {t: d for d, t in names.items()}[table]
+    kind = {d: k for k, d in ev.EVENT_KINDS.items()}[dataset]
+    rows = store.rows(dataset)
+    return ev.route(rows, kind, ["batch_key"])
+
+
+STREAM_TABLES = [
+    ("rejected", "events"),
+    *[("silver", d) for d in ev.EVENT_KINDS.values()],
+    *[("gold", GOLD_TABLES[d]) for d in ev.EVENT_KINDS.values()],
+]
+
+
+def register_stream_tables(spark: SparkSession, paths: StreamPaths) -> None:
+    """The job's tables as views named ``<layer>_<table>``."""
+    for layer, table in STREAM_TABLES:
+        stream_table(spark, paths, layer, table).createOrReplaceTempView(f"{layer}_{table}")
 
 
 def run_stream(
@@ -150,10 +193,11 @@ def run_stream(
 ) -> StreamingQuery:
     """Start the fan-out job on a stream of envelopes. A new ``checkpoint`` starts a new run beside
     the rows of earlier ones."""
+    checkpoint = checkpoint or paths.checkpoint("fan_out")
     writer = (
         ev.prepare(envelopes, run_at)
-        .writeStream.foreachBatch(fan_out(paths, **options))
-        .option("checkpointLocation", checkpoint or paths.checkpoint("fan_out"))
+        .writeStream.foreachBatch(fan_out(paths, checkpoint=checkpoint, **options))
+        .option("checkpointLocation", checkpoint)
     )
     return _trigger(writer, available_now, interval).start()
 
@@ -214,13 +258,17 @@ def recompute(events: DataFrame, run_at: Column | None = None) -> dict[str, Data
 
 
 def run_recompute(events: DataFrame, paths: StreamPaths, run_at: Column | None = None) -> None:
-    """Overwrite the trade tables. Gold is computed from the silver table just written, so the
-    event files are read once for trades and once for rejects."""
+    """Overwrite the trade tables. The event files are read, reduced and tagged once, into one table
+    cut by route; rejects and trades are read from its folders."""
     spark = events.sparkSession
-    tables = recompute(events, run_at)
-    write_parquet(tables["rejected/events"], paths.at("rejected", "events"))
-    write_parquet(tables["silver/trades"], paths.at("silver", "trades"))
-    trades = spark.read.schema(tables["silver/trades"].schema).parquet(paths.at("silver", "trades"))
+    tagged = ev.tag_events(ev.with_stream_metadata(latest_events(events), run_at))
+    routed = paths.at("silver", "events_by_route")
+    write_table(tagged.withColumn("route", route()), routed, ["route"])
+    stored = spark.read.schema(tagged.schema.add("route", "string")).parquet(routed)
+    write_parquet(stored.filter(F.col("route") == REJECTED).drop("route"), paths.at("rejected", "events"))
+    write_parquet(ev.route(stored.filter(F.col("route") == "trades"), "trade"),
+                  paths.at("silver", "trades"))
+    trades = spark.read.schema(ev.route(stored, "trade").schema).parquet(paths.at("silver", "trades"))
     write_parquet(trades, paths.at("gold", "fact_trade"))
     write_parquet(marts.trade_minute_metrics(trades), paths.at("gold", "trade_minute_metrics"))
     write_parquet(marts.customer_trade_exposure(trades), paths.at("gold", "customer_trade_exposure"))

@@ -9,6 +9,7 @@ from tidemark.schemas import STREAM_EVENT
 from tidemark.session import scratch
 from tidemark.sources.files import read_event_lines
 from tidemark.streaming import events as ev, jobs
+from tidemark.streaming.store import EventStore
 from tidemark.testbed.ctes import avg_money
 from tidemark.testbed.registry import count_rows, query
 from tidemark.testbed.views import Views
@@ -129,7 +130,7 @@ def _(v):
     paths = fan_out_run(v)
     tables = ["rejected/events", "silver/transactions", "silver/payments", "silver/trades",
               "gold/fact_transaction", "gold/fact_payment", "gold/fact_trade"]
-    return jobs.union_counts({t: v.spark.read.parquet(paths.at(*t.split("/"))) for t in tables})
+    return jobs.union_counts({t: jobs.stream_table(v.spark, paths, *t.split("/")) for t in tables})
 
 
 @query(
@@ -141,7 +142,7 @@ def _(v):
 def _(v):
     """Gold trades of the streaming job equal the batch result on the same events."""
     paths = fan_out_run(v)
-    return v.spark.read.parquet(paths.at("gold", "fact_trade")).select(
+    return jobs.stream_table(v.spark, paths, "gold", "fact_trade").select(
         "event_id", "trade_id", "account_id", "security_id", "quantity", "transaction_amount",
         "side", "event_timestamp", "risk_score", "processing_date",
     )
@@ -173,7 +174,7 @@ def _(v):
                                checkpoint=paths.checkpoint(f"fan_out_{half}")))
     tables = ["rejected/events", "silver/transactions", "silver/payments", "silver/trades",
               "gold/fact_transaction", "gold/fact_payment", "gold/fact_trade"]
-    return jobs.union_counts({t: v.spark.read.parquet(paths.at(*t.split("/"))) for t in tables})
+    return jobs.union_counts({t: jobs.stream_table(v.spark, paths, *t.split("/")) for t in tables})
 
 
 @query(
@@ -197,7 +198,58 @@ def _(v):
     finish(jobs.run_stream(source(v, path), replay, run_at()))
     tables = ["rejected/events", "silver/transactions", "silver/payments", "silver/trades",
               "gold/fact_transaction", "gold/fact_payment", "gold/fact_trade"]
-    return jobs.union_counts({t: v.spark.read.parquet(paths.at(*t.split("/"))) for t in tables})
+    return jobs.union_counts({t: jobs.stream_table(v.spark, paths, *t.split("/")) for t in tables})
+
+
+def cut_by_time(v: Views, path: str, n: int) -> str:
+    """The envelopes in ``n`` files, one after the other, each with the next stretch of event time."""
+    out = f"{path}_cut_{n}"
+    late = F.split("sequenceNumber", "-")[0].cast("bigint") % 41 == 0
+    delay = F.when(late, 3 * 86400).otherwise(5)
+    happened = F.unix_seconds("approximateArrivalTimestamp") - delay
+    rows = v.spark.read.parquet(path).withColumn("happened", happened)
+    first, last = rows.agg(F.min("happened"), F.max("happened")).first()
+    place = F.floor((F.col("happened") - first) * n / (last - first + 1))
+    for i in range(n):
+        rows.filter(place == i).drop("happened").coalesce(1).write.mode("append").parquet(out)
+    return out
+
+
+@query("t05_replay_in_other_cuts", _COUNTS)
+def _(v):
+    """The job runs over three files, one a batch, then with a new checkpoint over two files that cut
+    the same events otherwise: every event is stored once."""
+    path, paths = staged(v)
+    for n in (3, 2):
+        finish(jobs.run_stream(
+            source(v, cut_by_time(v, path, n), maxFilesPerTrigger="1"), paths, run_at(),
+            checkpoint=paths.checkpoint(f"cut_{n}"), validate=False))
+    return jobs.union_counts({"/".join(t): jobs.stream_table(v.spark, paths, *t)
+                              for t in jobs.STREAM_TABLES})
+
+
+@query(
+    "k03_pack_closed_days",
+    f"""SELECT table_name, row_count, true AS fewer_files FROM ({_COUNTS})
+    UNION ALL SELECT 'batches', 20, true""",
+)
+def _(v):
+    """Twenty batches, whose day is then packed: the rows stay, readers open fewer files, before and
+    after the packed files go."""
+    path, paths = staged(v)
+    finish(jobs.run_stream(source(v, cut_by_time(v, path, 20), maxFilesPerTrigger="1"), paths, run_at(),
+                           validate=False))
+    store = EventStore(v.spark, paths.root)
+    before = store.files().count()
+    packed = store.pack("2024-06-02")
+    after = store.files().count()
+    store.drop_packed_files()
+    fewer = after <= before / 4 and store.files().count() == after
+    batches = v.spark.range(1).select(
+        F.lit("batches").alias("table_name"), F.lit(packed).cast("bigint").alias("row_count"))
+    counts = jobs.union_counts({"/".join(t): jobs.stream_table(v.spark, paths, *t)
+                                for t in jobs.STREAM_TABLES})
+    return counts.unionByName(batches).withColumn("fewer_files", F.lit(fewer))
 
 
 @query(
