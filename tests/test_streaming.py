@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.schemas import STREAM_ENVELOPE
 from tidemark.operators import suites
-from tidemark.streaming import events as ev, jobs
+from tidemark.streaming import events as ev, folds, jobs
 from tidemark.streaming.store import EventStore, keyed
 from tidemark.testbed.q_stream import whole_events
 
@@ -216,3 +216,24 @@ def test_stream_tables_as_views(spark, tmp_path):
     jobs.register_stream_tables(spark, paths)
     assert spark.sql("SELECT sum(quantity) AS q FROM gold_fact_trade").first().q == 2
     assert spark.table("silver_payments").count() == 0
+
+
+def test_marts_take_in_each_batch_once(spark, tmp_path):
+    paths = jobs.StreamPaths(str(tmp_path / "out"))
+    src = str(tmp_path / "in")
+    mart = folds.MARTS["customer_trade_exposure"]
+    for n, payloads in enumerate(([event("1"), event("2", 1, side="SELL")], [event("3", 2, security_id=None), event("4", 2, currency_code="ZZZ")])):
+        send(spark, src, payloads, start=10 * n)
+        jobs.run_stream(jobs.envelope_source(spark, src), paths, RUN(), validate=False).awaitTermination()
+        assert folds.update_mart(spark, paths, mart) == 1 and folds.update_mart(spark, paths, mart) == 0
+    store = EventStore(spark, paths.root)
+    store.pack("2024-07-01")
+    assert folds.update_mart(spark, paths, mart) == 0  # packed batches are not new ones
+    store.drop_packed_files()
+    assert folds.update_mart(spark, paths, mart) == 0
+    got = {r.security_id: (r.buy_trade_count, r.sell_trade_count, float(r.net_quantity), float(r.gross_notional_amount))
+           for r in folds.read_mart(spark, paths, mart.name).collect()}
+    assert got == {"SEC-X": (1, 1, 0.0, 20.0), None: (1, 0, 2.0, 10.0)}
+    folds.update_mart(spark, paths, folds.MARTS["stream_reconciliation"])
+    r = folds.read_mart(spark, paths, "stream_reconciliation").first()
+    assert (r.accepted_trade_count, r.rejected_event_count, r.rejection_ratio) == (3, 1, 0.25)

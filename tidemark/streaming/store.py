@@ -76,6 +76,15 @@ class EventStore:
             out = out.filter(F.col("route") == route)
         return out if batches is None else out.filter(F.col("batch_key").isin(batches))
 
+    def batches(self) -> DataFrame:
+        """Keys of all batches with rows: of the live ones from the folders' names, without reading a
+        file, of the packed ones from the list that came with them."""
+        out = self.packed.read_side("batches-", "batch_key string")
+        if self.packed.exists(self.live):
+            key = F.regexp_extract("path", r"/batch_key=([^/]+)/", 1).alias("batch_key")
+            out = out.unionByName(list_files(self.spark, self.live).select(key))
+        return out.distinct()
+
     # ---- every event once ----------------------------------------------------------------------
     def _spots(self, ids: DataFrame) -> DataFrame:
         """Places of each id in the filter of its month."""
@@ -167,7 +176,10 @@ class EventStore:
             name = f"{d}/{r}-{uuid.uuid4().hex[:12]}"
             parts[name] = self.packed.put(small, "packed")
         keys = sorted({x["batch_key"] for x in found})
-        self.packed.commit(version, parts, schema, {"batches": sorted({*hidden, *keys})})
+        side = self.packed.put(self.spark.createDataFrame(
+            [(k,) for k in keys], "batch_key string").coalesce(1), "batches")
+        self.packed.commit(version, parts, schema, {"batches": sorted({*hidden, *keys})},
+                           {f"batches-{uuid.uuid4().hex[:12]}": side})
         return len(keys)
 
     def drop_packed_files(self) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.schemas import STREAM_EVENT
 from tidemark.session import scratch
 from tidemark.sources.files import read_event_lines
-from tidemark.streaming import events as ev, jobs
+from tidemark.streaming import events as ev, folds, jobs
 from tidemark.streaming.store import EventStore
 from tidemark.testbed.ctes import avg_money
 from tidemark.testbed.registry import count_rows, query
@@ -201,9 +201,8 @@ def _(v):
     return jobs.union_counts({t: jobs.stream_table(v.spark, paths, *t.split("/")) for t in tables})
 
 
-def cut_by_time(v: Views, path: str, n: int) -> str:
-    """The envelopes in ``n`` files, one after the other, each with the next stretch of event time."""
-    out = f"{path}_cut_{n}"
+def time_cuts(v: Views, path: str, n: int):
+    """The envelopes as ``n`` frames, each with the next stretch of event time."""
     late = F.split("sequenceNumber", "-")[0].cast("bigint") % 41 == 0
     delay = F.when(late, 3 * 86400).otherwise(5)
     happened = F.unix_seconds("approximateArrivalTimestamp") - delay
@@ -211,7 +210,67 @@ def cut_by_time(v: Views, path: str, n: int) -> str:
     first, last = rows.agg(F.min("happened"), F.max("happened")).first()
     place = F.floor((F.col("happened") - first) * n / (last - first + 1))
     for i in range(n):
-        rows.filter(place == i).drop("happened").coalesce(1).write.mode("append").parquet(out)
+        yield rows.filter(place == i).drop("happened").coalesce(1)
+
+
+def cut_by_time(v: Views, path: str, n: int) -> str:
+    """The envelopes in ``n`` files, one after the other in event time."""
+    out = f"{path}_cut_{n}"
+    for part in time_cuts(v, path, n):
+        part.write.mode("append").parquet(out)
+    return out
+
+
+@query(
+    "a06_a08_marts_folded_by_batch",
+    f"""SELECT 'stream_trade_performance' AS mart, concat_ws('|', security_id, currency_code, side,
+        CAST(CAST(event_timestamp AS DATE) AS VARCHAR)) AS key, count(*) AS n, NULL::BIGINT AS m,
+        CAST(sum(transaction_amount) AS DOUBLE) AS amount, CAST({avg_money('price')} AS DOUBLE) AS measure
+      FROM stream_trades GROUP BY 2
+    UNION ALL SELECT 'trade_minute_metrics', concat_ws('|', security_id, currency_code, side,
+        CAST(trade_minute AS VARCHAR)), count(*), NULL, CAST(sum(transaction_amount) AS DOUBLE),
+        CAST(max(risk_score) AS DOUBLE) FROM stream_trades GROUP BY 2
+    UNION ALL SELECT 'customer_trade_exposure', concat_ws('|', customer_id, account_id, security_id,
+        currency_code), count(*) FILTER (side = 'BUY'), count(*) FILTER (side = 'SELL'),
+        CAST(sum(transaction_amount) AS DOUBLE),
+        CAST(sum(CASE WHEN side = 'BUY' THEN quantity ELSE -quantity END) AS DOUBLE)
+      FROM stream_trades GROUP BY 2
+    UNION ALL SELECT 'stream_reconciliation', '{RUN_DAY}', a, r, CAST(amount AS DOUBLE),
+        CAST(r AS DOUBLE) / (a + r) FROM
+        (SELECT count(*) AS a, sum(transaction_amount) AS amount FROM stream_trades),
+        (SELECT count(*) AS r FROM ev_rejected)""",
+)
+def _(v):
+    """The job takes three stretches of time, one run each; after each run the marts fold in what came.
+    They equal aggregates over all events."""
+    path, paths = staged(v)
+    for part in time_cuts(v, path, 3):
+        part.write.mode("append").parquet(f"{path}_cut")
+        finish(jobs.run_stream(source(v, f"{path}_cut"), paths, run_at(), validate=False))
+        folds.update_marts(v.spark, paths, buckets=4)
+    text = {
+        "stream_trade_performance": (
+            ["security_id", "currency_code", "side", F.col("trade_date").cast("string")],
+            "trade_count", None, "total_notional_amount", "avg_trade_price"),
+        "trade_minute_metrics": (
+            ["security_id", "currency_code", "side",
+             F.date_format("trade_minute", "yyyy-MM-dd HH:mm:ss")],
+            "trade_count", None, "total_transaction_amount", "max_risk_score"),
+        "customer_trade_exposure": (
+            ["customer_id", "account_id", "security_id", "currency_code"],
+            "buy_trade_count", "sell_trade_count", "gross_notional_amount", "net_quantity"),
+        "stream_reconciliation": (
+            [F.col("processing_date").cast("string")], "accepted_trade_count",
+            "rejected_event_count", "accepted_notional_amount", "rejection_ratio"),
+    }
+    out = None
+    for name, (key, n, m, amount, measure) in text.items():
+        rows = folds.read_mart(v.spark, paths, name, buckets=4).select(
+            F.lit(name).alias("mart"), F.concat_ws("|", *key).alias("key"),
+            F.col(n).cast("bigint").alias("n"),
+            (F.col(m) if m else F.lit(None)).cast("bigint").alias("m"),
+            F.col(amount).cast("double").alias("amount"), F.col(measure).cast("double").alias("measure"))
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
