@@ -76,18 +76,27 @@ def reconciliation_result(
     the difference in sums is explained by the rejected rows alone.
     """
     at = checked_at if checked_at is not None else F.current_timestamp()
-    copies = duplicate_identifiers(target, key).filter(F.col(key).isNotNull())
-    facts = one_row(
-        source.agg(
-            F.count("*").alias("source_row_count"), _total(amount).alias("source_amount_sum")
-        ),
-        target.agg(
-            F.count("*").alias("target_row_count"), _total(amount).alias("target_amount_sum")
-        ),
-        copies.agg(F.count("*").alias("duplicate_identifier_count")),
-        rejected.agg(
-            F.count("*").alias("rejected_record_count"), _total(amount).alias("_rejected_sum")
-        ),
+    parts = [
+        df.select(F.lit(part).alias("_part"), id_.alias("_id"), F.col(amount).alias("_amount"))
+        for part, df, id_ in (("source", source, F.lit(None).cast("string")),
+                              ("target", target, F.col(key).cast("string")),
+                              ("rejected", rejected, F.lit(None).cast("string")))
+    ]
+    # one shuffle: ids of the target are counted, the rest is one row per part and task
+    per_id = reduce(lambda a, b: a.unionByName(b), parts).groupBy("_part", "_id").agg(
+        F.count("*").alias("_n"), F.sum("_amount").alias("_sum"))
+
+    def rows(part: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_part") == part, F.col("_n"))), F.lit(0))
+
+    def amounts(part: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_part") == part, F.col("_sum"))), F.lit(0)).cast(MONEY)
+
+    facts = per_id.agg(
+        rows("source").alias("source_row_count"), amounts("source").alias("source_amount_sum"),
+        rows("target").alias("target_row_count"), amounts("target").alias("target_amount_sum"),
+        F.count_if(F.col("_id").isNotNull() & (F.col("_n") > 1)).alias("duplicate_identifier_count"),
+        rows("rejected").alias("rejected_record_count"), amounts("rejected").alias("_rejected_sum"),
     )
     count_gap = F.abs(F.col("source_row_count") - F.col("target_row_count"))
     sum_gap = (F.col("source_amount_sum") - F.col("target_amount_sum")).cast(MONEY)
@@ -133,29 +142,26 @@ def load_history_report(history: DataFrame) -> DataFrame:
     ).orderBy(F.desc("load_finished_at"), "load_id")
 
 
-def gold_reconciliation(raw: DataFrame, tagged: DataFrame, gold: DataFrame, key: str) -> DataFrame:
-    """The eight load measures of a transactional table, all from data.
-
-    ``raw`` is the input before dedup, ``tagged`` the deduplicated rows with their rejection reason.
-    """
-    accepted = F.col("rejection_reason").isNull()
+def load_metrics(key: str, accepted: Column | None = None) -> list[Column]:
+    """Counts and sums of a load's tagged rows, to aggregate or to observe while they are written."""
+    ok = accepted if accepted is not None else F.col("rejection_reason").isNull()
 
     def total(kind: str) -> Column:
-        wanted = accepted & (F.col("transaction_type") == kind)
+        wanted = ok & (F.col("transaction_type") == kind)
         amount = F.when(wanted, F.col("transaction_amount"))
         return F.coalesce(F.sum(amount), F.lit(0)).cast(MONEY)
 
-    facts = one_row(
-        raw.agg(F.count(key).alias("_raw_keys")),
-        tagged.agg(
-            F.count(key).alias("_kept_keys"),
-            F.count_if(accepted).alias("source_row_count"),
-            F.count_if(~accepted).alias("_rejected"),
-            total("DEBIT").alias("debit_total"),
-            total("CREDIT").alias("credit_total"),
-        ),
-        gold.agg(F.count("*").alias("target_row_count")),
-    )
+    return [
+        F.count(key).alias("_kept_keys"),
+        F.count_if(ok).alias("source_row_count"),
+        F.count_if(~ok).alias("_rejected"),
+        total("DEBIT").alias("debit_total"),
+        total("CREDIT").alias("credit_total"),
+    ]
+
+
+def gold_measures(facts: DataFrame) -> DataFrame:
+    """The eight load measures from one row of counts and sums."""
     copies = F.col("_raw_keys") - F.col("_kept_keys")
     inputs = F.col("source_row_count") + F.col("_rejected")
     return facts.select(
@@ -172,6 +178,26 @@ def gold_reconciliation(raw: DataFrame, tagged: DataFrame, gold: DataFrame, key:
     )
 
 
+def gold_reconciliation(raw: DataFrame, tagged: DataFrame, gold: DataFrame, key: str) -> DataFrame:
+    """The eight load measures of a transactional table, all from data.
+
+    ``raw`` is the input before dedup, ``tagged`` the deduplicated rows with their rejection reason.
+    """
+    return gold_measures(one_row(
+        raw.agg(F.count(key).alias("_raw_keys")),
+        tagged.agg(*load_metrics(key)),
+        gold.agg(F.count("*").alias("target_row_count")),
+    ))
+
+
+def observed_reconciliation(observed: dict, gold: DataFrame) -> DataFrame:
+    """The same measures, with the counts of raw and tagged rows as their write observed them and the
+    rows of the gold table as it is stored."""
+    names = ["_raw_keys", "_kept_keys", "source_row_count", "_rejected", "debit_total", "credit_total"]
+    return gold_measures(gold.agg(F.count("*").alias("target_row_count")).withColumns(
+        {n: F.lit(observed[n]) for n in names}))
+
+
 def inventory(tables: dict[str, DataFrame], partition: str = "processing_date") -> DataFrame:
     """Per table: newest partition, rows, files and columns, from file metadata of the scan."""
     parts = []

@@ -183,18 +183,22 @@ def _by_row(rule: dict, present: set[str]) -> bool:
 
 
 def row_metrics(suite: str | list[dict], columns: list[str], parameters: dict | None = None,
-                values: dict[str, Column] | None = None) -> list[Column]:
+                values: dict[str, Column] | None = None,
+                where: Column | None = None) -> list[Column]:
     """Named aggregates that hold the counts of all row rules, to aggregate or to observe.
 
-    ``values`` gives expressions for columns that are stored in another type.
+    ``values`` gives expressions for columns that are stored in another type; rows for which ``where``
+    is not true are not looked at.
     """
-    present, out = set(columns), [F.count("*").alias("_rows")]
+    looked_at = F.lit(True) if where is None else where
+    present, out = set(columns), [F.count_if(looked_at).alias("_rows")]
     for i, rule in enumerate(_rules(suite)):
         if _by_row(rule, present):
             c = (values or {}).get(rule["column"], F.col(rule["column"]))
-            out.append(F.count_if(_breaks(rule, parameters or {}, c)).alias(f"_bad{i}"))
+            bad = _breaks(rule, parameters or {}, c)
+            out.append(F.count_if(looked_at & bad).alias(f"_bad{i}"))
             if rule["kind"] != NOT_NULL:
-                out.append(F.count(c).alias(f"_set{i}"))
+                out.append(F.count_if(looked_at & c.isNotNull()).alias(f"_set{i}"))
     return out
 
 

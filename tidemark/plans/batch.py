@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.operators import recon, suites
 from tidemark.operators.clean import (
@@ -14,7 +14,7 @@ from tidemark.operators.clean import (
 )
 from tidemark.plans import model
 from tidemark.schemas import CANONICAL, KEYS, LOAD_METADATA, MONEY_COLUMNS
-from tidemark.sinks.tables import append_audit, write_table
+from tidemark.sinks.tables import append_audit, observed, write_table
 from tidemark.sources.files import read_bronze
 
 REFERENCE = ["customers", "accounts", "securities"]
@@ -91,38 +91,67 @@ def load_transactional(
 ) -> dict[str, DataFrame]:
     """Silver, rejected and gold of a table with rules; returns its summaries.
 
-    The tagged rows are kept for the three writes and the checks. A lost executor only costs the
-    recomputation of its part from the bronze files.
+    The bronze files are read, reduced and tagged once, by one write into a table cut by validity; the
+    counts and the rule results come from that write. Silver and rejected are read from its folders,
+    gold from silver as stored. A reconciliation row of what is stored ends the load.
     """
-    raw = read_dataset(spark, paths, dataset, options)
-    tagged = tag_dataset(clean_dataset(raw, dataset), dataset).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    try:
-        silver = valid_rows(tagged)
-        out = {"counts": recon.stage_counts({dataset: tagged}).toPandas()}
-        if options.validate:
-            suite = suites.SUITE_BY_DATASET[dataset]
-            results = suites.evaluate_suite(silver.drop(*LOAD_METADATA), suite)
-            summary = suites.summarize(results, suite, dataset, "silver_pre_write")
-            out["summary"] = _kept(summary, paths, "validation_results", options)
-        _write(silver, paths.at("silver", dataset), options)
-        _write(rejected_rows(tagged), paths.at("rejected", dataset), options)
-        # Gold comes from the table as stored, so the reconciliation compares two things.
-        stored = silver if options.replace_partitions_only else spark.read.format(
-            options.fmt).schema(silver.schema).load(paths.at("silver", dataset))
-        gold = model.gold(stored, dataset)
-        if options.validate and dataset == "transactions":
-            frame = recon.gold_reconciliation(raw, tagged, gold, KEYS[dataset])
-            results = suites.evaluate_suite(frame, "gold_load_validation", options.thresholds)
-            summary = suites.summarize(
-                results, "gold_load_validation", "gold_reconciliation", "gold_pre_curated_publish"
-            )
-            out["gold_summary"] = _kept(summary, paths, "validation_results", options)
-        _write(gold, paths.at("gold", model.gold_name(dataset)), options)
-        return out
-    finally:
-        tagged.unpersist()
+    key, suite = KEYS[dataset], suites.SUITE_BY_DATASET[dataset]
+    seen_raw, seen = Observation(f"{dataset}-raw"), Observation(f"{dataset}-tagged")
+    raw = read_dataset(spark, paths, dataset, options).observe(seen_raw, F.count(key).alias("_raw_keys"))
+    tagged = tag_dataset(clean_dataset(raw, dataset), dataset)
+    ok = F.col("rejection_reason").isNull()
+    plain = [c for c in tagged.columns if c not in (*LOAD_METADATA, "rejection_reason")]
+    metrics = recon.load_metrics(key) if dataset == "transactions" else [
+        F.count_if(ok).alias("source_row_count"), F.count_if(~ok).alias("_rejected")]
+    rules = suites.row_metrics(suite, plain, where=ok) if options.validate else []
+    staging = paths.at("tagged", dataset)
+    metrics = [F.max("processing_date").alias("day"), *metrics, *rules]
+    write_table(tagged.withColumn("valid", ok).observe(seen, *metrics), staging, ["valid"])
+    counts = observed(seen_raw, ["_raw_keys"]) | observed(seen, tagged.agg(*metrics).columns)
+    stored = spark.read.schema(T.StructType(tagged.schema.fields).add("valid", "boolean")).parquet(
+        staging)
+    silver = stored.filter("valid").drop("valid", "rejection_reason")
+    out = {"counts": pd.DataFrame([{
+        "dataset_name": dataset, "valid_rows": counts["source_row_count"],
+        "rejected_rows": counts["_rejected"]}])}
+    if options.validate:
+        results = suites.evaluate_suite(silver.select(*plain), suite, observed=counts)
+        summary = suites.summarize(results, suite, dataset, "silver_pre_write")
+        out["summary"] = _kept(summary, paths, "validation_results", options)
+    _write(silver, paths.at("silver", dataset), options)
+    _write(stored.filter("not valid").drop("valid"), paths.at("rejected", dataset), options)
+
+    def as_stored(layer: str, table: str, schema: T.StructType) -> DataFrame:
+        rows = spark.read.format(options.fmt).schema(schema).load(paths.at(layer, table))
+        if options.replace_partitions_only:  # the table holds other loads too
+            rows = rows.filter(F.col("processing_date") == F.lit(counts["day"] or None).cast("date"))
+        return rows
+
+    kept = as_stored("silver", dataset, silver.schema)
+    gold_rows = model.gold(kept, dataset)
+    _write(gold_rows, paths.at("gold", model.gold_name(dataset)), options)
+    if options.validate and dataset == "transactions":
+        gold = as_stored("gold", model.gold_name(dataset), gold_rows.schema)
+        results = suites.evaluate_suite(
+            recon.observed_reconciliation(counts, gold), "gold_load_validation", options.thresholds)
+        summary = suites.summarize(
+            results, "gold_load_validation", "gold_reconciliation", "gold_pre_curated_publish"
+        )
+        out["gold_summary"] = _kept(summary, paths, "validation_results", options)
+    refused = as_stored("rejected", dataset, stored.drop("valid").schema)
+    out["reconciliation"] = reconcile(spark, paths, dataset, stored, kept, refused, options)
+    return out
+
+
+def reconcile(spark: SparkSession, paths: Layout, dataset: str, source: DataFrame, target: DataFrame,
+              rejected: DataFrame, options: Options) -> list:
+    """Append the reconciliation row of a load to the audit table."""
+    rows = recon.reconciliation_result(
+        dataset, source, target, rejected, KEYS[dataset], "transaction_amount", options.run_at)
+    found = rows.collect()
+    append_audit(spark.createDataFrame(found, rows.schema),
+                 paths.at("audit", "reconciliation_results"))
+    return found
 
 
 def run_batch(spark: SparkSession, root: str, options: Options | None = None) -> dict[str, dict]:

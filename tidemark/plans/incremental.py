@@ -18,7 +18,7 @@ from tidemark.operators.clean import TRANSACTIONAL, tag_dataset, to_money, with_
 from tidemark.plans import model
 from tidemark.plans.batch import Layout, Options, newest_first
 from tidemark.schemas import CANONICAL, KEYS, MONEY_COLUMNS
-from tidemark.sinks.tables import LOAD_HISTORY, append_audit
+from tidemark.sinks.tables import LOAD_HISTORY, append_audit, observed
 from tidemark.sinks.versions import KeyedTable, Version
 from tidemark.sources.files import SOURCE_FORMATS, list_files, read_format
 
@@ -96,8 +96,9 @@ def load_new_files(spark: SparkSession, paths: Layout, dataset: str, options: Op
             side = table.put(spark.createDataFrame(listed, LEDGER).coalesce(1), "ledger")
             table.keep_newest(rows, newest_first(dataset), side={f"ledger-{load_id}": side},
                               info={"load_id": load_id}, base=base)
-            entry |= {"status": "LOADED", "rows_parsed": seen.get["parsed"],
-                      "rows_loaded": seen.get["parsed"], "error_count": seen.get["rejected"]}
+            counts = observed(seen, ["parsed", "rejected"])
+            entry |= {"status": "LOADED", "rows_parsed": counts["parsed"],
+                      "rows_loaded": counts["parsed"], "error_count": counts["rejected"]}
     except Exception as e:
         entry |= {"status": "LOAD_FAILED", "first_error": str(e).splitlines()[0][:500]}
         raise

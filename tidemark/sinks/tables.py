@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 def write_table(
@@ -63,6 +64,15 @@ def repair_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
+def observed(seen: Observation, names: list[str]) -> dict:
+    """The values of an observation whose write is done. Adaptive execution drops the observed part of
+    a plan that turns out to have no rows: its counts are 0."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return dict.fromkeys(names, 0)
+
+
 # Materialization per layer.
 MATERIALIZATION = {
     "staging": "view",

@@ -13,7 +13,7 @@ from tidemark.operators import suites
 from tidemark.operators.clean import latest_per_key, rejected_rows, valid_rows
 from tidemark.plans import marts
 from tidemark.schemas import GOLD_TABLES, STREAM_ENVELOPE
-from tidemark.sinks.tables import write_parquet, write_table
+from tidemark.sinks.tables import observed, write_parquet, write_table
 from tidemark.streaming import events as ev
 from tidemark.streaming.store import REJECTED, EventStore, keyed, route
 
@@ -124,7 +124,7 @@ def fan_out(
             rules = suites.row_metrics(SUITE, checked.columns, values={
                 "transaction_amount": ev.money("transaction_amount")}) if validate else []
             store.write(new.observe(seen, *batch_metrics(), *rules))
-            metrics = seen.get
+            metrics = observed(seen, new.agg(*batch_metrics(), *rules).columns)
             if not metrics["input_rows"]:
                 return
             counts = {c: metrics[c] for c in BATCH_COUNTS} | {"batch_id": batch_id}

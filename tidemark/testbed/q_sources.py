@@ -77,6 +77,38 @@ def _(v):
         F.sum("transaction_amount").alias("amount"))
 
 
+@query(
+    "r06_q10_rows_written_by_the_load",
+    """SELECT status, source_row_count, target_row_count, rejected_record_count,
+      CAST(source_amount_sum AS DOUBLE) AS source_amount_sum,
+      CAST(target_amount_sum AS DOUBLE) AS target_amount_sum, duplicate_identifier_count FROM (
+      SELECT 'OK' AS status, count(*) AS source_row_count,
+        count(*) FILTER (rejection_reason IS NULL) AS target_row_count,
+        count(*) FILTER (rejection_reason IS NOT NULL) AS rejected_record_count,
+        sum(transaction_amount) AS source_amount_sum,
+        sum(transaction_amount) FILTER (rejection_reason IS NULL) AS target_amount_sum,
+        0::BIGINT AS duplicate_identifier_count FROM txn_tagged
+      UNION ALL SELECT 'MISMATCH', count(*), 2 * count(*) FILTER (rejection_reason IS NULL),
+        count(*) FILTER (rejection_reason IS NOT NULL), sum(transaction_amount),
+        2 * sum(transaction_amount) FILTER (rejection_reason IS NULL),
+        count(transaction_id) FILTER (rejection_reason IS NULL) FROM txn_tagged)""",
+)
+def _(v):
+    """The load appends a row that balances; a silver table with every row twice gives one that does
+    not."""
+    root = scratch(v.spark, "reconciled")
+    paths = batch.Layout(stage_json_lists(v, f"{root}/bronze") and root)
+    options = batch.Options(run_at=F.lit("2024-06-01 02:00:00").cast("timestamp"))
+    batch.load_transactional(v.spark, paths, "transactions", options)
+    silver = v.spark.read.parquet(paths.at("silver", "transactions"))
+    rejected = v.spark.read.parquet(paths.at("rejected", "transactions"))
+    batch.reconcile(v.spark, paths, "transactions", silver.unionByName(
+        rejected, allowMissingColumns=True), silver.union(silver), rejected, options)
+    return v.spark.read.parquet(paths.at("audit", "reconciliation_results")).select(
+        "status", "source_row_count", "target_row_count", "rejected_record_count",
+        "source_amount_sum", "target_amount_sum", "duplicate_identifier_count")
+
+
 # Day 1 sends the even order keys, day 2 the odd ones and every tenth with an id again: a row without an
 # id is a copy of nothing, so sending it again would add one.
 _DAYS = {
