@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import history, recon, suites
+from tidemark.sinks.history_table import HistoryTable
 from tidemark.testbed.catalog import QUERIES
 
 AT = dt.datetime(2024, 6, 1, 12)
@@ -120,3 +121,41 @@ def test_lines_of_existing_suppliers_are_no_orphans(spark, tmp_path):
         str(tmp_path / "supplier.parquet"))
     got = QUERIES["q11_relationships_all_suppliers"](spark, str(tmp_path)).collect()
     assert [r["id"] for r in got] == ["SEC-9"]
+
+
+def test_history_in_storage_rewrites_open_versions_only(spark, tmp_path, rows):
+    schema = "id string, name string, score int"
+    at = lambda d: F.lit(d).cast("timestamp")
+    data = lambda *r: spark.createDataFrame(list(r), schema)
+    days = [("2024-01-01", data(*[(f"k{i}", "n", i) for i in range(40)])),
+            ("2024-02-01", data(("k1", None, 1), ("k2", "n", 2), ("new", "n", 0))),
+            ("2024-03-01", data(("k1", "n", 1), ("k2", "n", 2), ("new", "n", 0))),
+            ("2024-04-01", data(("k2", "n", 2)))]
+    table = HistoryTable(spark, str(tmp_path / "h"), "id", ["name", "score"], buckets=8)
+    plain = history.start_history(days[0][1], "id", at(days[0][0]))
+    table.snapshot(days[0][1], at(days[0][0]))
+    for day, df in days[1:]:
+        closed, opened = set(table.closed_versions().inputFiles()), set(table.open_versions().inputFiles())
+        bytes_before = {f: (tmp_path / f.split(str(tmp_path) + "/")[1]).read_bytes() for f in closed}
+        table.snapshot(df, at(day))
+        plain = history.apply_snapshot(plain, df, "id", ["name", "score"], at(day))
+        assert rows(table.read().select(*plain.columns)) == rows(plain)
+        assert closed <= set(table.closed_versions().inputFiles())
+        assert all((tmp_path / f.split(str(tmp_path) + "/")[1]).read_bytes() == b for f, b in bytes_before.items())
+        assert opened & set(table.open_versions().inputFiles())
+    assert table.open_versions().filter("valid_to is not null").count() == 0
+    assert table.closed_versions().filter("valid_to is null").count() == 0
+
+
+def test_unique_columns_of_several_types_share_one_shuffle(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 1.0), (1, "b", None), (2, "a", float("nan")), (None, "c", float("nan"))], "i int, s string, d double")
+    rules = [{"kind": suites.UNIQUE, "column": c} for c in "isd"] + [{"kind": suites.UNIQUE, "column": "i", "mostly": 0.3}]
+    results = suites.evaluate_suite(df, rules)
+    got = {r.position: (r.column_name, r.tested, r.unexpected, r.success) for r in results.collect()}
+    assert got == {0: ("i", 3, 2, False), 1: ("s", 4, 2, False), 2: ("d", 3, 2, False), 3: ("i", 3, 2, True)}
+    counts = suites.unique_counts(df, {0: "i", 1: "s", 2: "d"})
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2 and "Union" not in plan
+    none = suites.evaluate_suite(df.limit(0), rules).collect()
+    assert [(r.tested, r.unexpected, r.success) for r in none] == [(0, 0, True)] * 4

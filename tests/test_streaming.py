@@ -8,7 +8,6 @@ from tidemark.schemas import STREAM_ENVELOPE
 from tidemark.operators import suites
 from tidemark.streaming import events as ev, folds, jobs
 from tidemark.streaming.store import EventStore, keyed
-from tidemark.testbed.q_stream import whole_events
 
 T0 = dt.datetime(2024, 1, 1, 12)
 RUN = lambda: F.lit("2024-06-01").cast("timestamp")
@@ -122,13 +121,6 @@ def test_minute_windows_equal_batch(spark, tmp_path, rows):
     assert got == rows(ev.minute_windows(trades), "trade_minute", "trade_count", "total_quantity") and len(got) == 5
 
 
-def test_a_lost_or_doubled_copy_is_seen(spark):
-    sent = spark.createDataFrame([(k, "view") for k in (0, 1, 37, 74, 75)], "event_id long, event_type string")
-    stored = ["0-0", "0-1", "1-0", "37-0", "74-0", "74-1", "74-1", "75-0", "75-0"]
-    rows = spark.createDataFrame([(x,) for x in stored], "sequence_number string")
-    assert sorted(r["event_id"] for r in whole_events(rows, sent).collect()) == [0, 1]
-
-
 def cuts(spark, tmp_path, name, groups):
     """Runs the job over files that hold the given events, one file a batch, with its own checkpoint."""
     paths = jobs.StreamPaths(str(tmp_path / "out"))

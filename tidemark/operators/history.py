@@ -38,6 +38,11 @@ def _differs(left: str, right: str, columns: list[str]) -> Column:
     )
 
 
+def row_signature(columns: list[str]) -> Column:
+    """Digest of the named columns, nulls included: equal exactly when all values are."""
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+
+
 def start_history(incoming: DataFrame, key: str, as_of: Column) -> DataFrame:
     """First versions: everything is open from ``as_of`` on."""
     return _stamp(incoming, key, as_of)

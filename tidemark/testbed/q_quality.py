@@ -10,6 +10,7 @@ from tidemark.operators import checks, history, recon, suites
 from tidemark.plans import marts, model
 from tidemark.schemas import CURRENCIES
 from tidemark.session import scratch
+from tidemark.sinks.history_table import HistoryTable
 from tidemark.sinks.tables import write_table
 from tidemark.testbed.ctes import lit
 from tidemark.testbed.registry import count_rows, query
@@ -201,14 +202,13 @@ def _(v):
     return checks.accepted_values(v.transactions_raw, "currency_code", CURRENCIES)
 
 
-@query("q11_relationships", """SELECT 'SEC-' || l_suppkey AS id FROM lineitem
-  WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 3000)""")
+@query("q11_relationships", """SELECT 'CUST-' || c_custkey AS id FROM customer
+  WHERE c_custkey NOT IN (SELECT user_id FROM events)""")
 def _(v):
-    lines = v.table("lineitem").select(
-        F.concat(F.lit("SEC-"), F.col("l_suppkey").cast("string")).alias("sec"))
-    firms = v.table("supplier").filter("s_acctbal > 3000").select(
-        F.concat(F.lit("SEC-"), F.col("s_suppkey").cast("string")).alias("sec"))
-    return checks.relationships(lines, "sec", firms, "sec")
+    """Customers that no event refers to, over both whole tables."""
+    name = lambda c: F.concat(F.lit("CUST-"), F.col(c).cast("string")).alias("cust")
+    customers = v.table("customer").select(name("c_custkey"))
+    return checks.relationships(customers, "cust", v.table("events").select(name("user_id")), "cust")
 
 
 @query("q11_relationships_all_suppliers", """SELECT 'SEC-' || l_suppkey AS id FROM lineitem
@@ -500,6 +500,39 @@ def _(v):
     return out.drop("scd_id", "updated_at")
 
 
+@query("r07_history_in_storage", """WITH c AS (SELECT *, risk_score % 4 = 0 AS moved,
+    risk_score % 4 = 0 AND (country_code <> 'JP' OR risk_score % 8 = 0) AS changed,
+    risk_score % 10 <> 9 AS known, risk_score = 7 AS named FROM customers)
+  SELECT customer_id, full_name, email, country_code, risk_score, TIMESTAMP '2024-01-01' AS valid_from,
+    CASE WHEN changed THEN TIMESTAMP '2024-02-01' WHEN named THEN TIMESTAMP '2024-03-01' END AS valid_to,
+    true AS others_kept FROM c WHERE known
+  UNION ALL SELECT customer_id, full_name, CASE WHEN moved AND risk_score % 8 = 0 THEN NULL ELSE email END,
+    CASE WHEN moved THEN 'JP' ELSE country_code END, risk_score, TIMESTAMP '2024-02-01', NULL, true
+    FROM c WHERE changed OR NOT known
+  UNION ALL SELECT customer_id, upper(full_name), email, country_code, risk_score,
+    TIMESTAMP '2024-03-01', NULL, true FROM c WHERE named""")
+def _(v):
+    """Three snapshots into a stored table, the last one with few changes: files of closed versions and
+    of open parts without a change stay as they are."""
+    people = v.customers.drop("created_at")
+    columns = ["full_name", "email", "country_code", "risk_score"]
+    table = HistoryTable(v.spark, scratch(v.spark, "history"), "customer_id", columns, buckets=16)
+    at = lambda day: F.lit(day).cast("timestamp")
+    table.snapshot(people.filter("risk_score % 10 <> 9"), at("2024-01-01"))
+    moved = F.col("risk_score") % 4 == 0
+    second = people.withColumns({
+        "country_code": F.when(moved, "JP").otherwise(F.col("country_code")),
+        "email": F.when(moved & (F.col("risk_score") % 8 == 0), None).otherwise(F.col("email")),
+    })
+    before = table.snapshot(second, at("2024-02-01"))
+    after = table.snapshot(second.withColumn("full_name", F.when(
+        F.col("risk_score") == 7, F.upper("full_name")).otherwise(F.col("full_name"))), at("2024-03-01"))
+    closed = {p: f for p, f in before.parts.items() if p.startswith("closed-")}
+    kept = closed.items() <= after.parts.items() and bool(closed)
+    return table.read().select("customer_id", *columns, "valid_from", "valid_to").withColumn(
+        "others_kept", F.lit(kept))
+
+
 @query("r08_inventory", """SELECT 'fact_transaction' AS table_name, count(DISTINCT strftime(processing_date, '%Y')) > 0 AS has_files,
   max(strftime(processing_date, '%Y')) AS latest_partition, count(*) AS row_count FROM transactions""")
 def _(v):
