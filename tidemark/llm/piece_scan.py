@@ -8,8 +8,8 @@ A long document is cut into chunks of a fixed number of characters, wherever tha
 lie across a cut: the state of a cut is the piece that ends at or behind it, given by how far it
 reaches to either side. Each chunk yields the transfer matrix between the states of its two cuts
 (sparse: the pairs of weight 0). The matrices of a document combine associatively in the max-plus
-semiring; the scan picks the state of every cut, and each chunk is traced back by itself between its
-two states. Documents of one chunk need no shuffle.
+semiring, neighbours in rounds like a tree; then the states of the cuts go down the tree, and each chunk
+is traced back by itself between its two states. Documents of one chunk need no shuffle.
 
 No piece has the space mark after another character, so a stretch of marks and what follows it up to
 the next mark is a word that is encoded by itself, once for all its occurrences.
@@ -25,6 +25,7 @@ names of the results, which are replaced.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from array import array
 from collections.abc import Iterator
@@ -36,12 +37,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import for_python, pieces
+from tidemark.llm.common import for_python, pieces, staged
+from tidemark.llm.piece_batch import WordPaths
 
 MARK = "▁"
 CHUNK = 16_384  # characters
+SEGMENT = 4  # matrices that are combined in one go
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-_CACHE_SIZE = 250_000
+_CACHE_SIZE = 400_000
 
 State = tuple[int, int]  # characters of the piece before and behind a cut; (0, 0) at the start
 
@@ -67,8 +70,23 @@ class Pieces:
         self.neighbours = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.prefixes = {p[:i] for p in self.ids for i in range(1, len(p))}
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"words": {}, "pairs": {}, "heads": {}, "spines": {}}
+        self.paths: WordPaths | None = None
+        self.name = hashlib.sha256(repr((self.ids, self.scores)).encode()).hexdigest()
+
+    def __reduce__(self):
+        return _shared, (self.name, self.ids, self.scores, self.byte_ids, self.decoded, self.is_byte,
+                         self.longest)
+
+
+_MODELS: dict[str, Pieces] = {}
+
+
+def _shared(name: str, *fields) -> Pieces:
+    """The tasks of a worker share a model, and so the words and pairs it has met."""
+    if name not in _MODELS:
+        _MODELS.clear()
+        _MODELS[name] = Pieces(*fields)
+    return _MODELS[name]
 
 
 def load_pieces(path: str) -> Pieces:
@@ -260,8 +278,29 @@ def encode_word(model: Pieces, word: str) -> bytes:
     return got
 
 
+def learn(model: Pieces, words: set[str]) -> None:
+    """Encode the words that are not known yet, side by side."""
+    if len(model.words) + len(words) > _CACHE_SIZE:
+        model.words.clear()
+    if model.paths is None:
+        model.paths = WordPaths(model.ids, model.suffixes, model.longest, model.byte_ids,
+                                lambda left, right: _apart(model, left, right))
+    new = [w for w in words if w not in model.words]
+    model.words.update(model.paths.encode(new))
+    for word in new:
+        if word not in model.words:
+            encode_word(model, word)
+
+
 def encode_words(model: Pieces, text: str) -> bytes:
-    return b"".join([encode_word(model, w) for w in _WORD.findall(text)])
+    return encode_all(model, _WORD.findall(text))
+
+
+def encode_all(model: Pieces, words: list[str]) -> bytes:
+    try:
+        return b"".join(map(model.words.__getitem__, words))
+    except KeyError:  # very long words are not kept
+        return b"".join([encode_word(model, w) for w in words])
 
 
 def normal(text: str) -> str:
@@ -348,21 +387,83 @@ def combine(left: set[tuple[State, State]], right: set[tuple[State, State]],
     return {(a, c) for a, b in left for c in by_entry.get(b, ())}
 
 
-def scan(matrices: list[list[tuple[State, State]]]) -> list[tuple[State, State]]:
-    """The states of the cuts of every chunk: products from the left say what can be reached, then
-    the one path that ends the document is followed back."""
-    reached: list[set[State]] = [{(0, 0)}]
+def product(matrices: list[list[tuple[State, State]]]) -> list[tuple[State, State]]:
+    """The matrix of neighbouring chunks as one."""
+    out = set(matrices[0])
+    for m in matrices[1:]:
+        out = combine(out, set(m))
+    return sorted(out)
+
+
+def scan(matrices: list[list[tuple[State, State]]], entry: State = (0, 0),
+         leave: State | None = None) -> list[tuple[State, State]]:
+    """The states of the cuts of neighbouring chunks between the state they are entered with and the
+    one they are left with: products from the left say what can be reached, then the one path to the
+    end is followed back. Without ``leave`` the last chunk ends the document."""
+    reached: list[set[State]] = [{entry}]
     for m in matrices:
         reached.append({b for a, b in m if a in reached[-1]})
-    state = next(s for s in reached[-1] if s[1] == 0)
+    state = next(s for s in reached[-1] if s[1] == 0) if leave is None else leave
     out = []
     for k in range(len(matrices) - 1, -1, -1):
-        entry = next(a for a, b in matrices[k] if b == state and a in reached[k])
-        out.append((entry, state))
-        state = entry
+        before = next(a for a, b in matrices[k] if b == state and a in reached[k])
+        out.append((before, state))
+        state = before
     return out[::-1]
 
 
+_AT = "_doc long, _size int, k int, "
+_STATE_COLUMNS = ["a", "o", "a2", "o2"]
+
+
+def _matrix_of(steps) -> list[tuple[State, State]]:
+    return [((x["a"], x["o"]), (x["a2"], x["o2"])) for x in steps]
+
+
+def cut_states(steps: DataFrame, most: int) -> DataFrame:
+    """(_doc, _size, k, a, o, a2, o2): the states before and behind every chunk, from the chunks'
+    matrices. ``most`` is the largest number of chunks of a document.
+
+    Matrices of ``SEGMENT`` neighbours are combined into one, these again, and so on until a document
+    has few; then the states go back down, every segment by itself. No group holds more than
+    ``SEGMENT`` matrices, however long a document is.
+    """
+    tasks = int(steps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["_doc", "_size", "g"]
+
+    def grouped(df: DataFrame) -> DataFrame:
+        return df.repartition(tasks, *keys).groupBy(*keys)  # few bytes, but much work: many tasks
+
+    def combined(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("k")
+        pairs = product([_matrix_of(m) for m in pdf["steps"]])
+        return pd.DataFrame({
+            "_doc": pdf["_doc"].iloc[:1].to_numpy(), "_size": pdf["_size"].iloc[:1].to_numpy(),
+            "k": pdf["g"].iloc[:1].to_numpy(),
+            "steps": [[dict(zip(_STATE_COLUMNS, (*a, *b), strict=True)) for a, b in pairs]]})
+
+    def scanned(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("k")
+        ends = {}
+        if "from_a" in pdf:
+            ends = {"entry": (int(pdf["from_a"].iloc[0]), int(pdf["from_o"].iloc[0])),
+                    "leave": (int(pdf["to_a"].iloc[0]), int(pdf["to_o"].iloc[0]))}
+        found = scan([_matrix_of(m) for m in pdf["steps"]], **ends)
+        return pdf[["_doc", "_size", "k"]].assign(
+            a=[e[0] for e, _ in found], o=[e[1] for e, _ in found],
+            a2=[x[0] for _, x in found], o2=[x[1] for _, x in found])
+
+    states = _AT + "a int, o int, a2 int, o2 int"
+    segments = steps.withColumn("g", F.floor(F.col("k") / SEGMENT).cast("int"))
+    if most <= SEGMENT:
+        return grouped(segments).applyInPandas(scanned, states)
+    above = cut_states(grouped(segments).applyInPandas(
+        combined, f"{_AT} steps {_STEPS}"), -(-most // SEGMENT)).select(
+        "_doc", "_size", F.col("k").alias("g"), F.col("a").alias("from_a"), F.col("o").alias("from_o"),
+        F.col("a2").alias("to_a"), F.col("o2").alias("to_o"))
+    return grouped(segments.join(above, keys)).applyInPandas(scanned, states)
+
+
 def _lists(parts: list[bytes | None]) -> pa.Array:
     sizes = np.array([len(p) // 4 if p is not None else 0 for p in parts])
     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
@@ -384,8 +485,10 @@ def encode(docs: DataFrame, model: Pieces, text: str = "text", chunk: int = CHUN
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, text):
-                ids = [None if x is None else encode_words(known, normal(x))
-                       for x in piece.column(place).to_pylist()]
+                texts = [None if x is None else _WORD.findall(normal(x))
+                         for x in piece.column(place).to_pylist()]
+                learn(known, set().union(*filter(None, texts)))
+                ids = [None if x is None else encode_all(known, x) for x in texts]
                 yield pa.RecordBatch.from_arrays(
                     [*(piece.column(i) for i in range(len(names))), _lists(ids)],
                     names=[*names, "ids"])
@@ -436,16 +539,11 @@ def _encode_long(keyed: DataFrame, model: Pieces, text: str, chunk: int) -> Data
                 [batch.column("_doc"), batch.column("_size"), batch.column("k"),
                  pa.array(out, _STATES)], names=["_doc", "_size", "k", "steps"])
 
-    def scanned(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("k")
-        found = scan([[((x["a"], x["o"]), (x["a2"], x["o2"])) for x in m] for m in pdf["steps"]])
-        return pdf.assign(a=[e[0] for e, _ in found], o=[e[1] for e, _ in found],
-                          a2=[x[0] for _, x in found], o2=[x[1] for _, x in found]).drop(
-            columns="steps")
-
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b, "part")):
             ids = []
+            learn(model, set().union(*map(_WORD.findall, batch.column(
+                batch.schema.get_field_index("part")).to_pylist())))
             for r in batch.to_pylist():
                 start, end = bounds(r["k"], r["_size"])
                 ids.append(trace(model, clipped(r["part"], r["k"], r["_size"]), start, end,
@@ -454,16 +552,16 @@ def _encode_long(keyed: DataFrame, model: Pieces, text: str, chunk: int) -> Data
                 [batch.column("_doc"), batch.column("_size"), batch.column("k"), _lists(ids)],
                 names=["_doc", "_size", "k", "ids"])
 
-    steps = for_python(chunks).mapInArrow(
-        matrices, "_doc long, _size int, k int, steps array<struct<a:int,o:int,a2:int,o2:int>>")
-    states = steps.groupBy("_doc", "_size").applyInPandas(
-        scanned, "_doc long, _size int, k int, a int, o int, a2 int, o2 int")
+    steps = staged(for_python(chunks).mapInArrow(matrices, f"{_AT} steps {_STEPS}"), "piece-matrices")
+    last = steps.agg(F.max("k")).first()[0]
+    states = cut_states(steps, 1 if last is None else last + 1)
     parts = chunks.join(states, ["_doc", "_size", "k"]).mapInArrow(
         traced, "_doc long, _size int, k int, ids array<int>")
     return parts.groupBy("_doc", "_size").agg(F.flatten(F.transform(
         F.sort_array(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])).alias("ids"))
 
 
+_STEPS = "array<struct<a:int,o:int,a2:int,o2:int>>"
 _STATES = pa.list_(pa.struct([(n, pa.int32()) for n in ("a", "o", "a2", "o2")]))
 
 
