@@ -107,9 +107,25 @@ def _broker_customer(ctx, cols):
     return ctx.customer_id
 
 
-@transform("broker_country")
-def _broker_country(ctx, cols):
-    return ctx.country_code
+# Exchanges by the country they are in. The feed's one-letter codes are US venues.
+EXCHANGES = {
+    "US": ["NYSE", "NASDAQ", "ARCA", "AMEX", "CBOE", "BATS", "IEX", "NYSE ARCA", "NYSE MKT"],
+    "GB": ["LSE", "LON"],
+    "DE": ["XETRA", "FRA", "ETR"],
+    "CA": ["TSX", "TSXV"],
+    "AU": ["ASX"],
+    "JP": ["TSE", "TYO", "JPX"],
+}
+
+
+@transform("country_of_exchange")
+def _country_of_exchange(ctx, cols):
+    """The country of a known exchange, else the account's country."""
+    code = F.upper(F.trim(cols[0]))
+    found = F.when(code.rlike("^[A-Z]$"), "US")
+    for country, names in EXCHANGES.items():
+        found = found.when(code.isin(names), country)
+    return F.coalesce(found, ctx.country_code) if ctx.country_code is not None else found
 
 
 @transform("trade_risk")
@@ -172,7 +188,7 @@ SPECS: dict[str, dict[str, dict[str, tuple[str, str]]]] = {
             "transaction_status": ("trade_condition", "posted"),
             "event_timestamp": ("timestamp", "time_or_ingestion"),
             "processing_timestamp": ("", "ingestion_time"),
-            "country_code": ("exchange", "broker_country"),
+            "country_code": ("exchange", "country_of_exchange"),
             "risk_score": ("", "trade_risk"),
         },
     },

@@ -202,6 +202,16 @@ def ingestion_manifest(
     )
 
 
+def load_seed(spark: SparkSession, values: list, column: str, kind: str = "string") -> DataFrame:
+    """A small reference list given with the code (currency codes, for one), as a table."""
+    return spark.createDataFrame([(v,) for v in values], f"`{column}` {kind}").distinct()
+
+
+def keep_seeded(df: DataFrame, seed: DataFrame, column: str) -> DataFrame:
+    """Rows whose value is in the seed table. Spark broadcasts the seed by its size."""
+    return df.join(seed, column, "left_semi")
+
+
 def read_listings(spark: SparkSession, path: str, symbols: list[str] | None = None) -> DataFrame:
     """Securities listing with a header row, optionally only some symbols."""
     listing = "symbol string, name string, exchange string, assetType string, ipoDate string, " \

@@ -701,6 +701,71 @@ def _(v):
     )
 
 
+_VENUES = ["K", "nyse ", "LSE", "XETRA", "TSX", "ASX", "JPX", "nowhere", None]
+
+
+@query(
+    "m19_market_countries",
+    """SELECT 'T' || event_id AS trade_id, CASE event_id % 9 WHEN 0 THEN 'US' WHEN 1 THEN 'US' WHEN 2 THEN 'GB'
+      WHEN 3 THEN 'DE' WHEN 4 THEN 'CA' WHEN 5 THEN 'AU' WHEN 6 THEN 'JP'
+      ELSE CASE WHEN user_id % 2 = 0 THEN 'GB' ELSE 'US' END END AS country_code FROM events""",
+)
+def _(v):
+    """The country follows the exchange; unknown and missing ones give the account's country."""
+    k = F.col("event_id")
+    venue = F.element_at(F.array(*[F.lit(x) for x in _VENUES]), (k % 9 + 1).cast("int"))
+    rows = v.table("events").select(
+        F.concat(F.lit("T"), k.cast("string")).alias("id"), F.lit("S").alias("symbol"),
+        F.lit(1).alias("size"), F.col("value").alias("price"), F.lit("USD").alias("currency"),
+        F.lit("buy").alias("side"), F.lit(None).cast("string").alias("trade_condition"),
+        F.col("ts").alias("timestamp"), venue.alias("exchange"), F.lit("a").alias("tape"),
+        F.when(F.col("user_id") % 2 == 0, "GB").otherwise("US").alias("home"),
+    )
+    context = Context(at(), F.lit("A"), F.lit("C"), F.col("home"), F.lit(40))
+    return apply_mapping(rows, "market", "trades", context).select("trade_id", "country_code")
+
+
+@query(
+    "m19_market_securities",
+    f"""SELECT 'SEC-' || p_partkey AS security_id, 'TK' || p_partkey AS ticker, p_name AS security_name,
+      {_TYPE} AS security_type, 'NYSE' AS exchange_code,
+      CASE WHEN p_partkey % 3 = 0 THEN 'EUR' ELSE 'USD' END AS currency_code FROM part""",
+)
+def _(v):
+    k = F.col("p_partkey")
+    rows = v.table("part").select(
+        F.concat(F.lit("SEC-"), k.cast("string")).alias("id"),
+        F.concat(F.lit("TK"), k.cast("string")).alias("symbol"), F.col("p_name").alias("name"),
+        F.when(k % 4 == 0, "Stock").when(k % 4 == 1, "mutual fund").when(k % 4 == 2, "ETF").alias(
+            "class"),
+        F.lit("NYSE").alias("exchange"), F.when(k % 3 == 0, "EUR").otherwise("").alias("currency"),
+    )
+    return apply_mapping(rows, "market", "securities", Context(loaded_at=at()))
+
+
+@query(
+    "m19_bank_accounts",
+    """SELECT 'ACCT-' || c_custkey AS account_id, 'CUST-' || c_custkey AS customer_id,
+      CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS current_balance,
+      CASE WHEN c_custkey % 4 = 0 THEN 'USD' ELSE 'GBP' END AS currency_code,
+      CASE WHEN c_custkey % 5 = 0 THEN 'OPEN' ELSE 'CLOSED' END AS status FROM customer""",
+)
+def _(v):
+    k = F.col("c_custkey")
+    rows = v.table("customer").select(
+        F.concat(F.lit("ACCT-"), k.cast("string")).alias("account_id"),
+        F.struct(F.concat(F.lit("CUST-"), k.cast("string")).alias("customer_id")).alias("owner"),
+        F.lit("depository").alias("type"),
+        F.struct(
+            F.col("c_acctbal").cast("decimal(18,2)").cast("string").alias("current"),
+            F.when(k % 4 == 0, None).otherwise("GBP").alias("iso_currency_code")).alias("balances"),
+        F.lit(None).cast("string").alias("created_at"),
+        F.when(k % 5 == 0, None).otherwise("CLOSED").alias("status"),
+    )
+    return apply_mapping(rows, "bank", "accounts", Context(loaded_at=at())).select(
+        "account_id", "customer_id", "current_balance", "currency_code", "status")
+
+
 @query(
     "m19_filings_mapping",
     """SELECT 'SEC-CIK-' || s_suppkey AS customer_id, s_name AS full_name,

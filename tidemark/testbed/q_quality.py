@@ -98,8 +98,7 @@ def _(v):
     odd = _typed(v, "transactions_raw").withColumnRenamed("risk_score", "risk")
     results = suites.evaluate_suite(odd, "transactions_bronze").filter(F.col("kind") == suites.COLUMNS)
     some = odd.agg((F.count("*") > 0).alias("has_rows"))
-    return results.withColumn("k", F.lit(1)).join(some.withColumn("k", F.lit(1)), "k").select(
-        "position", "tested", "unexpected", "success", "has_rows")
+    return recon.one_row(results.select("position", "tested", "unexpected", "success"), some)
 
 
 _EVENTS = {"ev_typed": """SELECT * REPLACE (TRY_CAST(transaction_amount AS DECIMAL(18,2)) AS transaction_amount)

@@ -126,7 +126,7 @@ def two_days(v: Views) -> tuple[batch.Layout, list[dict]]:
         stage_json_lists(v, f"{root}/bronze", keys, f"202406{day}T000000Z")
         run_at = F.lit(f"2024-06-{day} 02:00:00").cast("timestamp")
         entries.append(incremental.load_new_files(
-            v.spark, paths, "transactions", batch.Options(run_at=run_at)))
+            v.spark, paths, "transactions", batch.Options(run_at=run_at), buckets=16))
     return paths, entries
 
 
@@ -300,9 +300,8 @@ def _(v):
     f"SELECT currency_code, count(*) AS n FROM txn_raw WHERE currency_code IN ({lit(CURRENCIES)}) GROUP BY 1",
 )
 def _(v):
-    # The seed is a fixed list of six codes, so the broadcast has a constant size.
-    seed = v.spark.createDataFrame([(c,) for c in CURRENCIES], "currency_code string")
-    kept = v.transactions_raw.join(F.broadcast(seed), "currency_code", "left_semi")
+    seed = files.load_seed(v.spark, CURRENCIES, "currency_code")
+    kept = files.keep_seeded(v.transactions_raw, seed, "currency_code")
     return kept.groupBy("currency_code").agg(F.count("*").alias("n"))
 
 
