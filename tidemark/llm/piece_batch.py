@@ -13,7 +13,7 @@ from collections.abc import Callable
 import numpy as np
 
 LONGEST = 64
-BLOCK = 16_384
+BLOCK = 8_192
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.int64(np.iinfo(np.int64).min)
 _CHARS = 21  # bits of a piece number: pieces first, then characters without a piece
@@ -114,8 +114,8 @@ class WordPaths:
         points, sizes = _matrix(words)
         hashed = _hashes(points)
         n, width = points.shape
-        last = np.full((n, width + 1), -1, dtype=np.int64)
-        step = np.ones((n, width + 1), dtype=np.int64)
+        last = np.full((n, width + 1), -1, dtype=np.int32)
+        step = np.ones((n, width + 1), dtype=np.int32)
         for end in range(1, width + 1):
             rows = np.flatnonzero(sizes >= end)
             for size in range(1, min(self.longest, end) + 1):
@@ -128,7 +128,7 @@ class WordPaths:
                     piece = np.where(piece < 0, self.size + points[rows, end - 1].astype(np.int64), piece)
                 able = piece >= 0
                 if size < end:
-                    left = last[rows, end - size]
+                    left = last[rows, end - size].astype(np.int64)
                     able &= left >= 0
                     able[able] = self._fit(left[able], piece[able])
                 taken = rows[able]

@@ -44,7 +44,8 @@ MARK = "▁"
 CHUNK = 16_384  # characters
 SEGMENT = 4  # matrices that are combined in one go
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-_CACHE_SIZE = 400_000
+_CACHE_SIZE = 200_000
+_SLICE = 2 << 20  # bytes of text whose words are held at a time
 
 State = tuple[int, int]  # characters of the piece before and behind a cut; (0, 0) at the start
 
@@ -71,6 +72,7 @@ class Pieces:
         self.prefixes = {p[:i] for p in self.ids for i in range(1, len(p))}
 
         self.paths: WordPaths | None = None
+        self.older: dict[str, bytes] = {}
         self.name = hashlib.sha256(repr((self.ids, self.scores)).encode()).hexdigest()
 
     def __reduce__(self):
@@ -271,9 +273,9 @@ def encode_word(model: Pieces, word: str) -> bytes:
                     model.pairs.clear()
                 parts = _encode_atom(model, word)
             got = _packed(model, parts)
-        if len(model.words) >= _CACHE_SIZE:
-            model.words.clear()
         if len(word) <= 64:
+            if len(model.words) >= 2 * _CACHE_SIZE:
+                model.words.clear()
             model.words[word] = got
     return got
 
@@ -281,11 +283,15 @@ def encode_word(model: Pieces, word: str) -> bytes:
 def learn(model: Pieces, words: set[str]) -> None:
     """Encode the words that are not known yet, side by side."""
     if len(model.words) + len(words) > _CACHE_SIZE:
-        model.words.clear()
+        model.older, model.words = model.words, {}
     if model.paths is None:
         model.paths = WordPaths(model.ids, model.suffixes, model.longest, model.byte_ids,
                                 lambda left, right: _apart(model, left, right))
     new = [w for w in words if w not in model.words]
+    if model.older:  # words that are met again stay
+        kept = {w: model.older[w] for w in new if w in model.older}
+        model.words.update(kept)
+        new = [w for w in new if w not in kept]
     model.words.update(model.paths.encode(new))
     for word in new:
         if word not in model.words:
@@ -484,7 +490,7 @@ def encode(docs: DataFrame, model: Pieces, text: str = "text", chunk: int = CHUN
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, text):
+            for piece in pieces(batch, text, _SLICE):
                 texts = [None if x is None else _WORD.findall(normal(x))
                          for x in piece.column(place).to_pylist()]
                 learn(known, set().union(*filter(None, texts)))
@@ -540,7 +546,7 @@ def _encode_long(keyed: DataFrame, model: Pieces, text: str, chunk: int) -> Data
                  pa.array(out, _STATES)], names=["_doc", "_size", "k", "steps"])
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (p for b in batches for p in pieces(b, "part")):
+        for batch in (p for b in batches for p in pieces(b, "part", _SLICE)):
             ids = []
             learn(model, set().union(*map(_WORD.findall, batch.column(
                 batch.schema.get_field_index("part")).to_pylist())))
