@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.scalars import cents_to_amount, money, risk_band
 from tidemark.operators import recon, reshape
@@ -609,6 +609,32 @@ def _(v):
     return reports.daily_totals(v.transactions)
 
 
+@query(
+    "o01_o02_output_order",
+    f"""SELECT 'daily_status' AS report, row_number() OVER (ORDER BY d DESC, s) AS position,
+      CAST(d AS VARCHAR) || ' ' || s AS label, CAST(NULL AS DOUBLE) AS amount FROM
+      (SELECT DISTINCT CAST(event_timestamp AS DATE) AS d, transaction_status AS s FROM transactions)
+    UNION ALL SELECT 'customer_summary', row_number() OVER (ORDER BY amount DESC NULLS LAST), NULL, amount FROM
+      (SELECT c.customer_id, {total('t.transaction_amount')} AS amount FROM customers c
+       LEFT JOIN transactions t ON c.customer_id = t.customer_id GROUP BY 1)""",
+)
+def _(v):
+    """What stands at each place of two sorted reports: rows are numbered as they come out."""
+    def placed(name, report, label, amount):
+        rows = report.select(label.alias("label"), amount.cast("double").alias("amount")).withColumn(
+            "_at", F.monotonically_increasing_id())
+        return rows.select(F.lit(name).alias("report"), F.row_number().over(
+            Window.orderBy("_at")).cast("bigint").alias("position"), "label", "amount")
+
+    status = reports.daily_status(v.transactions)
+    people = reports.customer_summary(v.customers, v.transactions)
+    return placed(
+        "daily_status", status,
+        F.concat_ws(" ", F.col("transaction_date").cast("string"), "transaction_status"), F.lit(None),
+    ).unionByName(placed(
+        "customer_summary", people, F.lit(None).cast("string"), F.col("total_transaction_amount")))
+
+
 @query("a10_daily_status_breakdown",
        f"SELECT {EVENT_DAY}, transaction_status, {TOTALS} FROM transactions GROUP BY 1, 2")
 def _(v):
