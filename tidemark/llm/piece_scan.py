@@ -44,8 +44,8 @@ MARK = "▁"
 CHUNK = 16_384  # characters
 SEGMENT = 4  # matrices that are combined in one go
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-_CACHE_SIZE = 200_000
-_SLICE = 2 << 20  # bytes of text whose words are held at a time
+_CACHE_SIZE = 100_000
+_SLICE = 1 << 20  # bytes of text whose words are held at a time
 
 State = tuple[int, int]  # characters of the piece before and behind a cut; (0, 0) at the start
 
@@ -268,7 +268,7 @@ def encode_word(model: Pieces, word: str) -> bytes:
             if len(word) > 64:  # not a word to meet again
                 parts = _trace(_ends(model, word, 0, None, len(word)), 0, len(word))
             else:
-                if len(model.heads) > 2 * _CACHE_SIZE:
+                if len(model.heads) > _CACHE_SIZE:
                     model.heads.clear()
                     model.pairs.clear()
                 parts = _encode_atom(model, word)
