@@ -13,7 +13,7 @@ from collections.abc import Callable
 import numpy as np
 
 LONGEST = 64
-BLOCK = 4_096
+BLOCK = 8_192
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.int64(np.iinfo(np.int64).min)
 _CHARS = 21  # bits of a piece number: pieces first, then characters without a piece
