@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.sinks.tables import write_table
@@ -54,6 +55,7 @@ class EventStore:
         self.live = f"{root.rstrip('/')}/events"
         self.ids = VersionedTable(spark, f"{root.rstrip('/')}/event_ids")
         self.packed = VersionedTable(spark, f"{root.rstrip('/')}/events_packed")
+        self.compared: list[DataFrame] = []
 
     # ---- reading -------------------------------------------------------------------------------
     def rows(self, route: str | None = None, batches: list[str] | None = None) -> DataFrame:
@@ -111,17 +113,29 @@ class EventStore:
             F.count_if(is_set).alias("hits")).filter(F.col("hits") == self.hashes).select("identity")
 
     def fresh(self, batch: DataFrame, batch_key: str, months: list) -> DataFrame:
-        """The events of a batch that no other batch has stored."""
+        """The events of a batch that no other batch has stored. What was compared is kept until
+        :meth:`release`, so that the passes over the result do not compare again."""
         maybe = self.maybe_stored(batch.select("event_month", "identity"), months)
-        if maybe is None or maybe.isEmpty():
+        if maybe is None or self._kept(maybe).isEmpty():
             return batch
         first, last = batch.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
         same_time = F.col("event_timestamp").between(F.lit(first), F.lit(last)) | F.col(
             "event_timestamp").isNull()
-        known = self.rows().filter(same_time & (F.col("batch_key") != batch_key)).select(
-            "identity").join(maybe, "identity", "left_semi")
+        known = self._kept(self.rows().filter(same_time & (F.col("batch_key") != batch_key)).select(
+            "identity").join(maybe, "identity", "left_semi"))
+        if known.isEmpty():
+            return batch
         return batch.join(known, "identity", "left_anti").select(*batch.columns)
 
+    def _kept(self, ids: DataFrame) -> DataFrame:
+        self.compared.append(ids.persist(StorageLevel.MEMORY_AND_DISK))
+        return ids
+
+    def release(self) -> None:
+        """Drop what :meth:`fresh` keeps."""
+        while self.compared:
+            self.compared.pop().unpersist()
+
     def remember(self, batch: DataFrame, months: list) -> None:
         """Add the ids of a batch to the filters of their months."""
         new = self._spots(batch).groupBy("event_month", "word").agg(
