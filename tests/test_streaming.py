@@ -6,8 +6,12 @@ from pyspark.sql import functions as F
 
 from tidemark.schemas import STREAM_ENVELOPE
 from tidemark.operators import suites
+from tidemark.sources.files import list_files
 from tidemark.streaming import events as ev, folds, jobs
 from tidemark.streaming.store import EventStore, keyed
+from tidemark.testbed import q_stream
+from tidemark.testbed.catalog import QUERIES
+from tidemark.testbed.views import Views
 
 T0 = dt.datetime(2024, 1, 1, 12)
 RUN = lambda: F.lit("2024-06-01").cast("timestamp")
@@ -229,3 +233,69 @@ def test_marts_take_in_each_batch_once(spark, tmp_path):
     folds.update_mart(spark, paths, folds.MARTS["stream_reconciliation"])
     r = folds.read_mart(spark, paths, "stream_reconciliation").first()
     assert (r.accepted_trade_count, r.rejected_event_count, r.rejection_ratio) == (3, 1, 0.25)
+
+
+def small_events(spark, folder, n=400):
+    spark.range(n).select(
+        F.col("id").alias("event_id"), (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(
+            mins=F.col("id").cast("int"))).alias("ts"), (F.col("id") % 7).alias("user_id"),
+        F.lit("purchase").alias("event_type"), (F.col("id") * 1.5).alias("value"),
+        F.lit('{"k": 3}').alias("props")).write.parquet(f"{folder}/events.parquet")
+    return Views(spark, folder)
+
+
+def test_time_cuts_read_their_own_part_and_batches_hold_several_files(spark, tmp_path, monkeypatch):
+    v = small_events(spark, str(tmp_path))
+    path, paths = q_stream.staged(v)
+    whole = v.spark.read.parquet(path).count()
+    frames = list(q_stream.time_cuts(v, path, 4))
+    assert sum(f.count() for f in frames) == whole
+    assert "PartitionFilters: [isnotnull(place" in frames[1]._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(q_stream, "PIECE_BYTES", 4000)
+    pieces = q_stream.pieces_of(v, path, 3)
+    assert pieces > 1
+    job = jobs.run_stream(q_stream.cut_by_time(v, path, 3), paths, RUN(), validate=False)
+    job.awaitTermination()
+    assert spark.read.parquet(f"{path}_cut_3").count() == whole
+    sent = [p.numInputRows for p in job.recentProgress if p.numInputRows]
+    assert len(sent) == 3 and sum(sent) >= whole
+    ids = jobs.stream_table(spark, paths, "silver", "trades").filter("event_id is not null").select("event_id")
+    assert ids.distinct().count() == ids.count() > 0
+
+
+def test_a_batch_is_stored_with_adaptive_execution(spark, tmp_path, monkeypatch):
+    src, paths = str(tmp_path / "in"), jobs.StreamPaths(str(tmp_path / "out"))
+    send(spark, src, [event("1"), event("2", 1)])
+    name, during, before = "spark.sql.adaptive.enabled", [], []
+    write, process = EventStore.write, jobs.fan_out
+
+    def seen(self, batch):
+        during.append(self.spark.conf.get(name))
+        write(self, batch)
+
+    def outer(*args, **kwargs):
+        inner = process(*args, **kwargs)
+
+        def run(batch, number):
+            before.append(batch.sparkSession.conf.get(name))
+            inner(batch, number)
+            before.append(batch.sparkSession.conf.get(name))
+        return run
+
+    monkeypatch.setattr(EventStore, "write", seen)
+    monkeypatch.setattr(jobs, "fan_out", outer)
+    jobs.run_stream(jobs.envelope_source(spark, src), paths, RUN()).awaitTermination()
+    assert during == ["true"] and before and set(before) == {"false"}
+
+
+def test_the_sliced_copy_bounds_its_files(spark, tmp_path, monkeypatch):
+    small_events(spark, str(tmp_path))
+    asked = []
+    source = q_stream.source
+    monkeypatch.setattr(q_stream, "PIECE_BYTES", 2000)
+    monkeypatch.setattr(q_stream, "source", lambda v, path, **o: asked.append((path, o)) or source(v, path, **o))
+    got = QUERIES["t11_bounded_micro_batches"](spark, str(tmp_path)).collect()
+    (path, options), = asked
+    files = {r.path for r in list_files(spark, path).collect() if r.path.endswith(".parquet")}
+    assert int(options["maxFilesPerTrigger"]) > 1 and len(files) > 4
+    assert [(r.event_type, r.n, r.records) for r in got] == [("trade", 411, 411)]

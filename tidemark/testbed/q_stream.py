@@ -3,11 +3,11 @@ its tables are read back."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.schemas import STREAM_EVENT
+from tidemark.schemas import STREAM_ENVELOPE, STREAM_EVENT
 from tidemark.session import scratch
-from tidemark.sources.files import read_event_lines
+from tidemark.sources.files import list_files, read_event_lines
 from tidemark.streaming import events as ev, folds, jobs
 from tidemark.streaming.store import EventStore
 from tidemark.testbed.ctes import avg_money
@@ -15,6 +15,7 @@ from tidemark.testbed.registry import count_rows, query
 from tidemark.testbed.views import Views
 
 RUN_DAY = "2024-06-01"
+PIECE_BYTES = 64 << 20
 
 
 def run_at():
@@ -202,23 +203,38 @@ def _(v):
 
 
 def time_cuts(v: Views, path: str, n: int):
-    """The envelopes as ``n`` frames, each with the next stretch of event time."""
+    """The envelopes as ``n`` frames, each with the next stretch of event time. One pass puts every row
+    into the folder of its stretch; a frame reads its own folder only."""
     late = F.split("sequenceNumber", "-")[0].cast("bigint") % 41 == 0
     delay = F.when(late, 3 * 86400).otherwise(5)
     happened = F.unix_seconds("approximateArrivalTimestamp") - delay
     rows = v.spark.read.parquet(path).withColumn("happened", happened)
     first, last = rows.agg(F.min("happened"), F.max("happened")).first()
-    place = F.floor((F.col("happened") - first) * n / (last - first + 1))
+    place = F.floor((F.col("happened") - first) * n / (last - first + 1)).cast("int")
+    folder = f"{path}_places_{n}"
+    rows.withColumn("place", place).filter("place is not null").drop("happened").write.partitionBy(
+        "place").parquet(folder)
+    schema = T.StructType([*STREAM_ENVELOPE.fields, T.StructField("place", T.IntegerType())])
+    placed = v.spark.read.schema(schema).parquet(folder)
     for i in range(n):
-        yield rows.filter(place == i).drop("happened").coalesce(1)
+        yield placed.filter(F.col("place") == i).drop("place")
 
 
-def cut_by_time(v: Views, path: str, n: int) -> str:
-    """The envelopes in ``n`` files, one after the other in event time."""
-    out = f"{path}_cut_{n}"
+def pieces_of(v: Views, path: str, batches: int) -> int:
+    """Files for each of ``batches`` equal batches of a folder's rows: one, or as many as keep a file at
+    about ``PIECE_BYTES``."""
+    size = list_files(v.spark, path).agg(F.sum("length")).first()[0] or 0
+    return max(1, -(-size // (batches * PIECE_BYTES)))
+
+
+def cut_by_time(v: Views, path: str, n: int) -> DataFrame:
+    """A stream of the envelopes in ``n`` batches, one after the other in event time. A batch is one
+    file, or equally many files for each if the rows are many."""
+    out, pieces = f"{path}_cut_{n}", pieces_of(v, path, n)
     for part in time_cuts(v, path, n):
+        part = part.coalesce(1) if pieces == 1 else part.repartition(pieces)
         part.write.mode("append").parquet(out)
-    return out
+    return source(v, out, maxFilesPerTrigger=str(pieces))
 
 
 @query(
@@ -276,12 +292,12 @@ def _(v):
 
 @query("t05_replay_in_other_cuts", _COUNTS)
 def _(v):
-    """The job runs over three files, one a batch, then with a new checkpoint over two files that cut
-    the same events otherwise: every event is stored once."""
+    """The job runs over three stretches of time, one a batch, then with a new checkpoint over two that
+    cut the same events otherwise: every event is stored once."""
     path, paths = staged(v)
     for n in (3, 2):
         finish(jobs.run_stream(
-            source(v, cut_by_time(v, path, n), maxFilesPerTrigger="1"), paths, run_at(),
+            cut_by_time(v, path, n), paths, run_at(),
             checkpoint=paths.checkpoint(f"cut_{n}"), validate=False))
     return jobs.union_counts({"/".join(t): jobs.stream_table(v.spark, paths, *t)
                               for t in jobs.STREAM_TABLES})
@@ -296,8 +312,7 @@ def _(v):
     """Twenty batches, whose day is then packed: the rows stay, readers open fewer files, before and
     after the packed files go."""
     path, paths = staged(v)
-    finish(jobs.run_stream(source(v, cut_by_time(v, path, 20), maxFilesPerTrigger="1"), paths, run_at(),
-                           validate=False))
+    finish(jobs.run_stream(cut_by_time(v, path, 20), paths, run_at(), validate=False))
     store = EventStore(v.spark, paths.root)
     before = store.files().count()
     packed = store.pack("2024-06-02")
@@ -334,12 +349,14 @@ def _(v):
     GROUP BY 1""",
 )
 def _(v):
-    """One file per micro-batch; a stateless copy of the records, so nothing depends on order. All that
-    was sent is stored, each record once; what a record is about is looked up in the events table."""
+    """A bounded number of files per micro-batch, one if the records are few; a stateless copy of the
+    records, so nothing depends on order. All that was sent is stored, each record once; what a record
+    is about is looked up in the events table."""
     path, paths = staged(v)
-    rows = v.envelopes.withColumn("slice", F.pmod(F.xxhash64("sequenceNumber"), F.lit(4)))
-    rows.repartition(4, "slice").drop("slice").write.parquet(f"{path}_sliced")
-    parsed = ev.parse_envelope(source(v, f"{path}_sliced", maxFilesPerTrigger="1"))
+    pieces = pieces_of(v, path, 4)
+    v.spark.read.parquet(path).repartition(4 * pieces, F.xxhash64("sequenceNumber")).write.parquet(
+        f"{path}_sliced")
+    parsed = ev.parse_envelope(source(v, f"{path}_sliced", maxFilesPerTrigger=str(pieces)))
     kept = parsed.select("sequence_number", "raw_data")
     finish(jobs.write_stream(
         kept, paths.at("bronze", "raw"), paths.checkpoint("raw"), True, partition_by=None))
