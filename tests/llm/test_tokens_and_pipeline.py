@@ -198,6 +198,16 @@ def test_languages_outside_the_list_go(spark, monkeypatch):
     assert {r["lang"] for r in kept.collect()} == {"de"}
 
 
+def test_the_judged_language_goes_on_where_none_is_stated(spark):
+    langs = ["de", "fr"] * 20
+    rows = [(i, " ".join(WORDS[x] * 6 + [f"w{i}"]), x if i % 5 else None, "s", 9) for i, x in enumerate(langs)]
+    docs = spark.createDataFrame(rows, T.SCHEMA)
+    found = corpus_pipeline.language_id(spark, docs, "")
+    assert sorted((r["doc_id"], r["lang"]) for r in found.collect()) == list(enumerate(langs))
+    later = corpus_pipeline.line_dedup(spark, found, "")
+    assert {r["lang"] for r in later.collect()} == {"de", "fr"}
+
+
 def test_pipeline_takes_odd_and_empty_tables(spark, tmp_path):
     docs = T.documents(spark, [*T.odd_texts(), *T.near_copies(3, 3, 6)], extra=True)
     docs = docs.union(docs.filter("doc_id in (0, 3, 6)")).withColumn(
