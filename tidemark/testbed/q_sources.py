@@ -35,13 +35,13 @@ def by_currency(df: DataFrame) -> DataFrame:
 
 
 def stage_json_lists(v: Views, root: str | None = None, keys=None,
-                     stamp: str = "20240101T000000Z") -> str:
-    """Transactions as bronze files, one JSON list per file. A list holds the rows of a thousand
+                     stamp: str = "20240101T000000Z", per_list: int = 1000) -> str:
+    """Transactions as bronze files, one JSON list per file. A list holds the rows of ``per_list``
     consecutive order keys, so its size does not grow with the table."""
     root = root or scratch(v.spark, "bronze")
     rows = v.transactions_keyed if keys is None else v.transactions_keyed.filter(keys)
     fields = [c for c in rows.columns if c != "o_orderkey"]
-    block = F.floor(F.col("o_orderkey") / 1000).alias("_block")
+    block = F.floor(F.col("o_orderkey") / per_list).alias("_block")
     lists = rows.groupBy(block).agg(F.to_json(F.collect_list(F.struct(*fields))).alias("value"))
     path = f"{root}/transactions/transactions_{stamp}.json"
     lists.select("value").write.option("maxRecordsPerFile", 1).text(path)
@@ -66,7 +66,7 @@ def _(v):
     root = scratch(v.spark, "days")
     paths, even = batch.Layout(root), F.col("o_orderkey") % 2 == 0
     for day, keys in (("01", even), ("02", F.lit(True))):
-        stage_json_lists(v, f"{root}/bronze", keys, f"202406{day}T000000Z")
+        stage_json_lists(v, f"{root}/bronze", keys, f"202406{day}T000000Z", per_list=10_000)
         run_at = F.lit(f"2024-06-{day} 02:00:00").cast("timestamp")
         batch.load_transactional(v.spark, paths, "transactions", batch.Options(run_at=run_at))
     layers = {"silver": paths.at("silver", "transactions"), "gold": paths.at("gold", "fact_transaction")}
