@@ -242,6 +242,55 @@ def test_words_side_by_side_equal_the_library(model, library):
         assert model.paths.encode([w]).get(w, alone) == alone
 
 
+def test_words_are_cut_where_no_piece_joins(model, library):
+    """Words that differ only in what stands behind them are one word, encoded once."""
+    model.words.clear()
+    model.older.clear()
+    texts = [f"thoureen{end}" for end in (".", ",", "***", "!!", ".\n\n", " ", "")]
+    words = [model.word.findall(piece_scan.normal(t)) for t in texts]
+    assert ["".join(w) for w in words] == [piece_scan.normal(t) for t in texts]
+    piece_scan.learn(model, set().union(*words))
+    assert sum("thoureen" in w for w in model.words) == 1
+    for t in texts + ["  a" + " " * 300 + ".  ", "日本。\tx" + " " * 300]:
+        assert plain(model, t) == library.encode(t)
+
+
+def test_a_cut_at_the_beginning_of_a_word_needs_no_scan_of_the_chunk(model, monkeypatch):
+    text = piece_scan.normal("the thin thing " * 400)
+    cut = text.index(piece_scan.MARK, 3000)
+    steps = []
+    ends = piece_scan._ends
+    monkeypatch.setattr(piece_scan, "_ends", lambda m, t, start, before, stop: steps.append(
+        stop - start) or ends(m, t, start, before, stop))
+    matrices = [piece_scan.transfer(model, text, 0, cut), piece_scan.transfer(model, text, cut, len(text))]
+    states = piece_scan.scan(matrices)
+    got = b"".join(piece_scan.trace(model, text, a, b, *s) for (a, b), s in zip(
+        [(0, cut), (cut, len(text))], states, strict=True))
+    assert got == piece_scan.encode_words(model, text)
+    assert max(steps) < 100
+
+
+def test_the_states_of_cuts_are_found_in_many_tasks(spark, model):
+    """Behind the join with the states from above the rows lie where the groups need them, in all tasks."""
+    rows = []
+    for doc in range(40):
+        _, _, steps = matrices(model, "the thin thing " * 8, 11)
+        rows += [(doc, 120, k, [(*a, *b) for a, b in m]) for k, m in enumerate(steps)]
+    df = spark.createDataFrame(rows, f"{piece_scan._AT} steps {piece_scan._STEPS}")
+    states = piece_scan.cut_states(df, 11)
+    assert states.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert states.count() == len(rows)
+
+
+def test_lists_are_decoded_side_by_side(model):
+    import pyarrow as pa
+    lists = [[], None, [model.byte_ids[0xC3], 5], [*range(300, 340)], [-1], None, []]
+    got = piece_scan.decode_lists(model, pa.array([[1], *lists], pa.list_(pa.int32())).slice(1))
+    for ids, text in zip(lists, got, strict=True):
+        raw = None if ids is None else b"".join(model.decoded[i] for i in ids)
+        assert text == (None if raw is None else raw.removeprefix(b" ").decode("utf-8", "replace"))
+
+
 def test_numbers_by_key():
     rng = np.random.default_rng(4)
     keys = np.unique(rng.integers(0, 1 << 63, 30_000, dtype=np.uint64))

@@ -12,7 +12,9 @@ semiring, neighbours in rounds like a tree; then the states of the cuts go down
 is traced back by itself between its two states. Documents of one chunk need no shuffle.
 
 No piece has the space mark after another character, so a stretch of marks and what follows it up to
-the next mark is a word that is encoded by itself, once for all its occurrences.
+the next mark is encoded by itself. It is cut further between characters that no pieces join (letters and
+the full stop behind them, say): these words come again more often, and each is encoded once for all its
+occurrences.
 
 Text is taken as it is (the given model has no character map): a mark is put in front and spaces
 become marks; characters without a piece become byte pieces. Decoding undoes this; a text that holds
@@ -32,18 +34,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import for_python, pieces, staged
-from tidemark.llm.piece_batch import WordPaths
+from tidemark.llm.piece_batch import LONGEST, WordPaths
 
 MARK = "▁"
 CHUNK = 16_384  # characters
 SEGMENT = 4  # matrices that are combined in one go
-_WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+_WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")  # before it is cut between groups of characters
 _CACHE_SIZE = 100_000
 _SLICE = 2 << 20  # bytes of text whose words are held at a time
 
@@ -62,7 +64,6 @@ class Pieces:
     longest: int
     words: dict[str, bytes] = field(default_factory=dict, repr=False)
     pairs: dict[str, dict[str, bool]] = field(default_factory=dict, repr=False)
-
     heads: dict[str, str] = field(default_factory=dict, repr=False)
     spines: dict[tuple[str, int], list | None] = field(default_factory=dict, repr=False)
 
@@ -70,8 +71,10 @@ class Pieces:
         self.suffixes = {p[i:] for p in self.ids for i in range(1, len(p))}
         self.neighbours = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.prefixes = {p[:i] for p in self.ids for i in range(1, len(p))}
+        self.word = _word_pattern(self.neighbours)
 
         self.paths: WordPaths | None = None
+        self.column: pa.Array | None = None
         self.older: dict[str, bytes] = {}
         self.name = hashlib.sha256(repr((self.ids, self.scores)).encode()).hexdigest()
 
@@ -280,26 +283,40 @@ def encode_word(model: Pieces, word: str) -> bytes:
     return got
 
 
+def _word_pattern(neighbours: set[str]) -> re.Pattern:
+    """Matches the parts of a text that are encoded by themselves. Characters that pieces join, directly
+    or through others, form a group; no piece has characters of two groups but for marks in front."""
+    group: dict[str, set[str]] = {}
+    for a, b in neighbours:
+        if MARK not in (a, b) and group.setdefault(a, {a}) is not group.setdefault(b, {b}):
+            less, more = sorted((group[a], group[b]), key=len)
+            more |= less
+            group.update(dict.fromkeys(less, more))
+    runs = ["".join(map(re.escape, sorted(g))) for g in {id(g): g for g in group.values()}.values()]
+    rest = f"[^{MARK}{''.join(runs)}]+"
+    return re.compile("|".join([f"{MARK}*+{run}" for run in (*(f"[{r}]+" for r in runs), rest)] + [f"{MARK}+"]))
+
+
 def learn(model: Pieces, words: set[str]) -> None:
     """Encode the words that are not known yet, side by side."""
-    if len(model.words) + len(words) > _CACHE_SIZE:
-        model.older, model.words = model.words, {}
     if model.paths is None:
         model.paths = WordPaths(model.ids, model.suffixes, model.longest, model.byte_ids,
                                 lambda left, right: _apart(model, left, right))
     new = [w for w in words if w not in model.words]
+    if len(model.words) + len(new) > _CACHE_SIZE:
+        model.older, model.words, new = model.words, {}, list(words)
     if model.older:  # words that are met again stay
         kept = {w: model.older[w] for w in new if w in model.older}
         model.words.update(kept)
         new = [w for w in new if w not in kept]
     model.words.update(model.paths.encode(new))
     for word in new:
-        if word not in model.words:
+        if word not in model.words and len(word) <= LONGEST:  # longer ones are encoded where they stand
             encode_word(model, word)
 
 
 def encode_words(model: Pieces, text: str) -> bytes:
-    return encode_all(model, _WORD.findall(text))
+    return encode_all(model, model.word.findall(text))
 
 
 def encode_all(model: Pieces, words: list[str]) -> bytes:
@@ -349,12 +366,10 @@ def transfer(model: Pieces, text: str, start: int, end: int) -> list[tuple[State
     """The pairs of states of weight 0 between the cuts ``start`` and ``end`` of ``text``. At the end
     of a document only a piece that ends there is a state, as no text lies behind it."""
     stop = min(len(text), end + model.longest - 1)
-    words = _cuts(text, min(start + model.longest, end), end)
+    words = _cuts(text, start, end - 1)  # no piece lies across the beginning of a word
     out = []
     tail = _exits(model, _ends(model, text, words[1], None, stop), end, len(text), words[1]
                   ) if words else []
-    if words and words[1] == end:  # the piece that ends here is the last of the word before
-        words, tail = None, []
     for a, o in states_at(model, text, start):
         before = text[start - a:start + o] if a else None
         if words:
@@ -375,8 +390,8 @@ def trace(model: Pieces, text: str, start: int, end: int, entry: State, leave: S
     if begin >= end and leave[0] > end - start:
         return b""
     before = text[start - entry[0]:begin] if entry[0] else None
-    words = _cuts(text, min(start + model.longest, end), end)
-    if words and words[1] < end and words[0] >= begin:
+    words = _cuts(text, start, end - 1)
+    if words and words[0] >= begin:
         head = _trace(_ends(model, text, begin, before, words[0]), begin, words[0])
         tail = _trace(_ends(model, text, words[1], None, stop), words[1], stop)
         return (_packed(model, head) + encode_words(model, text[words[0]:words[1]])
@@ -422,10 +437,14 @@ _AT = "_doc long, _size int, k int, "
 _STATE_COLUMNS = ["a", "o", "a2", "o2"]
 
 
-def _matrix_of(steps) -> list[tuple[State, State]]:
+def _matrix_of(steps: list[dict]) -> list[tuple[State, State]]:
     return [((x["a"], x["o"]), (x["a2"], x["o2"])) for x in steps]
 
 
+def _steps_of(matrix: list[tuple[State, State]]) -> list[dict]:
+    return [dict(zip(_STATE_COLUMNS, (*a, *b), strict=True)) for a, b in matrix]
+
+
 def cut_states(steps: DataFrame, most: int) -> DataFrame:
     """(_doc, _size, k, a, o, a2, o2): the states before and behind every chunk, from the chunks'
     matrices. ``most`` is the largest number of chunks of a document.
@@ -437,37 +456,37 @@ def cut_states(steps: DataFrame, most: int) -> DataFrame:
     tasks = int(steps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["_doc", "_size", "g"]
 
-    def grouped(df: DataFrame) -> DataFrame:
-        return df.repartition(tasks, *keys).groupBy(*keys)  # few bytes, but much work: many tasks
-
-    def combined(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("k")
-        pairs = product([_matrix_of(m) for m in pdf["steps"]])
-        return pd.DataFrame({
-            "_doc": pdf["_doc"].iloc[:1].to_numpy(), "_size": pdf["_size"].iloc[:1].to_numpy(),
-            "k": pdf["g"].iloc[:1].to_numpy(),
-            "steps": [[dict(zip(_STATE_COLUMNS, (*a, *b), strict=True)) for a, b in pairs]]})
-
-    def scanned(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("k")
-        ends = {}
-        if "from_a" in pdf:
-            ends = {"entry": (int(pdf["from_a"].iloc[0]), int(pdf["from_o"].iloc[0])),
-                    "leave": (int(pdf["to_a"].iloc[0]), int(pdf["to_o"].iloc[0]))}
-        found = scan([_matrix_of(m) for m in pdf["steps"]], **ends)
-        return pdf[["_doc", "_size", "k"]].assign(
-            a=[e[0] for e, _ in found], o=[e[1] for e, _ in found],
-            a2=[x[0] for _, x in found], o2=[x[1] for _, x in found])
+    def spread(df: DataFrame) -> DataFrame:
+        return df.repartition(tasks, *keys)  # few bytes, but much work: many tasks
+
+    def combined(group: pa.Table) -> pa.Table:
+        rows = sorted(group.to_pylist(), key=lambda r: r["k"])
+        pairs = product([_matrix_of(r["steps"]) for r in rows])
+        return pa.Table.from_pylist([
+            {"_doc": rows[0]["_doc"], "_size": rows[0]["_size"], "k": rows[0]["g"],
+             "steps": _steps_of(pairs)}], _MATRICES)
+
+    def scanned(group: pa.Table) -> pa.Table:
+        rows = sorted(group.to_pylist(), key=lambda r: r["k"])
+        ends, first = {}, rows[0]
+        if "from_a" in first:
+            ends = {"entry": (first["from_a"], first["from_o"]), "leave": (first["to_a"], first["to_o"])}
+        found = scan([_matrix_of(r["steps"]) for r in rows], **ends)
+        return pa.Table.from_pylist([
+            {"_doc": r["_doc"], "_size": r["_size"], "k": r["k"], **step}
+            for r, step in zip(rows, _steps_of(found), strict=True)], _CUT_STATES)
 
     states = _AT + "a int, o int, a2 int, o2 int"
-    segments = steps.withColumn("g", F.floor(F.col("k") / SEGMENT).cast("int"))
+    segments = spread(steps.withColumn("g", F.floor(F.col("k") / SEGMENT).cast("int")))
     if most <= SEGMENT:
-        return grouped(segments).applyInPandas(scanned, states)
-    above = cut_states(grouped(segments).applyInPandas(
+        return segments.groupBy(*keys).applyInArrow(scanned, states)
+    above = cut_states(segments.groupBy(*keys).applyInArrow(
         combined, f"{_AT} steps {_STEPS}"), -(-most // SEGMENT)).select(
         "_doc", "_size", F.col("k").alias("g"), F.col("a").alias("from_a"), F.col("o").alias("from_o"),
         F.col("a2").alias("to_a"), F.col("o2").alias("to_o"))
-    return grouped(segments.join(above, keys)).applyInPandas(scanned, states)
+    # both sides are spread before the join: behind it Spark would drop the exchange as one too many,
+    # and pack the few bytes into one task
+    return segments.join(spread(above), keys).groupBy(*keys).applyInArrow(scanned, states)
 
 
 def _lists(parts: list[bytes | None]) -> pa.Array:
@@ -491,7 +510,7 @@ def encode(docs: DataFrame, model: Pieces, text: str = "text", chunk: int = CHUN
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, text, _SLICE):
-                texts = [None if x is None else _WORD.findall(normal(x))
+                texts = [None if x is None else known.word.findall(normal(x))
                          for x in piece.column(place).to_pylist()]
                 learn(known, set().union(*filter(None, texts)))
                 ids = [None if x is None else encode_all(known, x) for x in texts]
@@ -548,7 +567,7 @@ def _encode_long(keyed: DataFrame, model: Pieces, text: str, chunk: int) -> Data
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (p for b in batches for p in pieces(b, "part", _SLICE)):
             ids = []
-            learn(model, set().union(*map(_WORD.findall, batch.column(
+            learn(model, set().union(*map(model.word.findall, batch.column(
                 batch.schema.get_field_index("part")).to_pylist())))
             for r in batch.to_pylist():
                 start, end = bounds(r["k"], r["_size"])
@@ -568,12 +587,33 @@ def _encode_long(keyed: DataFrame, model: Pieces, text: str, chunk: int) -> Data
 
 
 _STEPS = "array<struct<a:int,o:int,a2:int,o2:int>>"
-_STATES = pa.list_(pa.struct([(n, pa.int32()) for n in ("a", "o", "a2", "o2")]))
+_STATES = pa.list_(pa.struct([(n, pa.int32()) for n in _STATE_COLUMNS]))
+_PLACE = [("_doc", pa.int64()), ("_size", pa.int32()), ("k", pa.int32())]
+_MATRICES = pa.schema([*_PLACE, ("steps", _STATES)])
+_CUT_STATES = pa.schema([*_PLACE, *((n, pa.int32()) for n in _STATE_COLUMNS)])
 
 
 def decode_ids(model: Pieces, ids: np.ndarray) -> str:
-    raw = b"".join(map(model.decoded.__getitem__, np.asarray(ids).tolist()))
-    return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
+    return decode_lists(model, pa.array([ids], pa.list_(pa.int64())))[0]
+
+
+def decode_lists(model: Pieces, lists: pa.Array) -> list[str | None]:
+    """The text of each list of ids; their pieces are put in a row for all lists at once."""
+    if model.column is None:
+        model.column = pa.array(model.decoded, pa.large_binary())
+    ids = np.arange(len(model.decoded))[lists.flatten().to_numpy(zero_copy_only=False)]
+    got = model.column.take(pa.array(ids))
+    _, offsets, data = got.buffers()
+    at = np.frombuffer(offsets, np.int64)[:len(got) + 1]
+    sizes = pc.list_value_length(lists).fill_null(0).to_numpy()
+    ends = at[np.cumsum(sizes)].tolist()
+    raw = data.to_pybytes() if data is not None else b""
+    out, start = [], 0
+    for valid, end in zip(lists.is_valid().to_pylist(), ends, strict=True):
+        first = start + (raw[start:start + 1] == b" " and start < end)
+        out.append(raw[first:end].decode("utf-8", "replace") if valid else None)
+        start = end
+    return out
 
 
 def decode(encoded: DataFrame, model: Pieces, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -587,9 +627,7 @@ def decode(encoded: DataFrame, model: Pieces, ids: str = "ids", text: str = "dec
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
-                column = piece.column(names.index(ids))
-                got = [None if x is None or not x.is_valid else decode_ids(
-                    model, x.values.to_numpy()) for x in column]
+                got = decode_lists(model, piece.column(names.index(ids)))
                 yield pa.RecordBatch.from_arrays(
                     [*(piece.column(i) for i in range(len(names))), pa.array(got, pa.string())],
                     names=[*names, text])
