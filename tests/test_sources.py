@@ -129,3 +129,21 @@ def test_null_tokens_only_touch_text(spark, tmp_path):
     path = put(tmp_path / "c.csv", 'a,n\n"say ""hi""",1\nNULL,\n')
     df = files.read_format(spark, "csv", str(path), struct("a string, n int"))
     assert [tuple(r) for r in df.collect()] == [('say "hi"', 1), (None, None)]
+
+
+def test_many_files_are_looked_up_by_few_tasks(spark, tmp_path):
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, n = spark.conf.get(key), 120
+    for i in range(n):
+        (tmp_path / f"part_{i}.json").write_text(f'[{{"a": {i}}}, {{"a": {i}}}]')
+    sc = spark.sparkContext
+    sc.setJobGroup("files-by-name", "")
+    try:
+        df = files.read_files(spark, "json", [str(p) for p in tmp_path.iterdir()], struct("a int"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    jobs = map(sc.statusTracker().getJobInfo, sc.statusTracker().getJobIdsForGroup("files-by-name"))
+    tasks = [sc.statusTracker().getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
+    assert tasks and max(tasks) <= files.LISTING_TASKS * sc.defaultParallelism < n
+    assert sorted(r.a for r in df.collect()) == sorted([*range(n)] * 2)
+    assert spark.conf.get(key) == before

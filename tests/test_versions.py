@@ -99,3 +99,14 @@ def test_empty_frames(spark, tmp_path):
     table.upsert(frame(spark, ("a", 1, "x")), ["at"])
     table.upsert(frame(spark, ("a", 1, "x")).limit(0), ["at"])
     assert table.read().count() == 1
+
+
+def test_keep_newest_reduces_once(spark, tmp_path, rows):
+    """The landing rows are stored as they come; stored and landing rows are reduced by one shuffle."""
+    table = KeyedTable(spark, str(tmp_path / "t"), "k", buckets=2)
+    first = [("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z"), (None, 1, "n"), (None, 1, "n")]
+    table.keep_newest(frame(spark, *first), ["at"])
+    landing = spark.read.parquet(str(tmp_path / "t" / "data" / "landing-*"))
+    assert rows(landing) == rows(frame(spark, *first))
+    table.keep_newest(frame(spark, ("a", 1, "late"), ("b", 2, "w"), ("b", 3, "v"), (None, 1, "n")), ["at"])
+    assert rows(table.read()) == [("a", 2, "y"), ("b", 3, "v"), *[(None, 1, "n")] * 3]

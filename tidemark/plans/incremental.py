@@ -1,8 +1,8 @@
 """Loads that read only new files.
 
-A load lists the bronze files of a dataset and takes those that the ledger does not hold. It reduces
-their rows to the newest per key, tags them, and merges them into the stored table: only the buckets of
-the keys that came are read and rewritten. The ledger is a side part of the same table, so the rows and
+A load lists the bronze files of a dataset and takes those that the ledger does not hold. It tags
+their rows and merges them into the stored table, which keeps the newest row of each key: only the buckets
+of the keys that came are read and rewritten. The ledger is a side part of the same table, so the rows and
 the list of files they came from switch together: a load that fails is simply run again, and a file is
 never loaded twice. The stored table holds valid and rejected rows, cut by validity; silver, rejected
 and gold are read from it.
@@ -20,7 +20,7 @@ from tidemark.plans.batch import Layout, Options, newest_first
 from tidemark.schemas import CANONICAL, KEYS, MONEY_COLUMNS
 from tidemark.sinks.tables import LOAD_HISTORY, append_audit, observed
 from tidemark.sinks.versions import KeyedTable, Version
-from tidemark.sources.files import SOURCE_FORMATS, list_files, read_format
+from tidemark.sources.files import SOURCE_FORMATS, list_files, read_files
 
 BUCKETS = 64
 LEDGER = "path string, length bigint, modified_at timestamp, load_id string, loaded_at timestamp"
@@ -82,7 +82,7 @@ def load_new_files(spark: SparkSession, paths: Layout, dataset: str, options: Op
     seen = Observation(load_id)
     try:
         if listed:
-            raw = with_load_metadata(read_format(
+            raw = with_load_metadata(read_files(
                 spark, SOURCE_FORMATS[dataset], [r["path"] for r in listed], CANONICAL[dataset]),
                 run_at=at)
             amounts = [] if dataset == "accounts" else MONEY_COLUMNS.get(dataset, [])

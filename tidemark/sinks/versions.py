@@ -276,8 +276,8 @@ class KeyedTable(VersionedTable):
         return self.change(source, merge, **extra)
 
     def keep_newest(self, landing: DataFrame, newest: list[str], **extra) -> Version:
-        """The newest row of each key among the stored and the landing ones stays, as if both had been
-        reduced together."""
-        source = self._landing(latest_per_key(landing, self.keys, newest))
+        """The newest row of each key among the stored and the landing ones stays: both are reduced
+        together, by one shuffle; the landing rows are stored as they come."""
+        source = self._landing(landing)
         return self.change(source, lambda stored, new: latest_per_key(
             stored.unionByName(new.select(*stored.columns)), self.keys, newest), **extra)

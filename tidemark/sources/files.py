@@ -15,10 +15,25 @@ FILE_FORMATS = {
     "parquet": {"format": "parquet", "options": {}},
 }
 NULL_TOKENS = ["NULL", "null", ""]
+LISTING_TASKS = 2  # tasks a core that look up files read by name
 # Format of each bronze dataset; all arrive as JSON lists today.
 SOURCE_FORMATS = {dataset: "json" for dataset in CANONICAL}
 
 
+def read_files(
+    spark: SparkSession, name: str, paths: list[str], schema: T.StructType
+) -> DataFrame:
+    """Read many files by their names. Spark looks each up again, by default in a task of its own; here
+    the tasks that do so share the names, however many there are."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(int(before), LISTING_TASKS * spark.sparkContext.defaultParallelism))
+    try:
+        return read_format(spark, name, paths, schema)
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_format(
     spark: SparkSession, name: str, path: str | list[str], schema: T.StructType | None = None
 ) -> DataFrame:
