@@ -299,3 +299,27 @@ def test_the_sliced_copy_bounds_its_files(spark, tmp_path, monkeypatch):
     files = {r.path for r in list_files(spark, path).collect() if r.path.endswith(".parquet")}
     assert int(options["maxFilesPerTrigger"]) > 1 and len(files) > 4
     assert [(r.event_type, r.n, r.records) for r in got] == [("trade", 411, 411)]
+
+
+def test_state_is_kept_on_disk_unless_the_session_says_otherwise(spark, tmp_path):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    heap = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    kinds = {}
+    try:
+        for setting in (None, heap):
+            root = tmp_path / str(setting)
+            paths = jobs.StreamPaths(str(root / "out"))
+            send(spark, str(root / "in"), [event("1"), event("1"), event(None, 1)])
+            spark.conf.unset(name) if setting is None else spark.conf.set(name, setting)
+            query = jobs.run_stream(jobs.envelope_source(spark, str(root / "in")), paths, RUN())
+            assert spark.conf.get(name, None) == setting
+            query.awaitTermination()
+            state = root / "out" / "checkpoints" / "fan_out" / "state" / "0"
+            kinds[setting] = {p.suffix for p in state.rglob("1.*")} - {".crc"}
+            rows = EventStore(spark, paths.root).rows().collect()
+            assert sorted(r.identity for r in rows) == ["1", "sequence:2"]
+            assert all("_identity" not in json.loads(r.raw_payload) for r in rows)
+    finally:
+        spark.conf.set(name, before)
+    assert kinds[None] == {".zip"} and kinds[heap] == {".delta"}

@@ -139,17 +139,19 @@ def prepare(envelopes: DataFrame, run_at: Column | None = None, delay: str = WAT
 
     The state of an id is dropped once the watermark passes it, so state is bounded by the delay; a
     repeat that comes later than the delay is let through again. An event without an id is a copy of
-    nothing: its record's sequence number takes the id's place.
+    nothing: its record's sequence number takes the id's place. The payload text is made of the rows that
+    stay, behind the shuffle: it is not sent, and the tasks of the state share its work.
     """
     parsed = parse_envelope(envelopes).filter("not parse_failed")
     sequence = F.concat(F.lit("sequence:"), F.col("sequence_number"))
     good = parsed.withColumn("_identity", F.coalesce("event_id", sequence))
-    events = with_stream_metadata(good.drop(*ENVELOPE_COLUMNS[3:]), run_at, skip=["_identity"])
-    return (
-        events.withWatermark("event_timestamp", delay)
+    once = (
+        good.drop(*ENVELOPE_COLUMNS[3:])
+        .withWatermark("event_timestamp", delay)
         .dropDuplicatesWithinWatermark(["_identity"])
         .drop("_identity")
     )
+    return with_stream_metadata(once, run_at)
 
 
 def minute_windows(trades: DataFrame) -> DataFrame:

@@ -44,10 +44,31 @@ def envelope_source(
     return df.select(*STREAM_ENVELOPE.fieldNames())
 
 
-def _trigger(writer, available_now: bool, interval: str):
-    if available_now:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=interval)
+# State of a stream is kept on the executors' disks, with one bound for the memory of all stores of an
+# executor. Spark's own default keeps it on the heap, where it grows with the ids within the watermark.
+# Changelog checkpoints stay off: with them a store that is done keeps what it wrote in memory, beyond the
+# bound, as only a store that is writing flushes.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+}
+
+
+def _start(spark: SparkSession, writer, available_now: bool, interval: str, *path: str):
+    """Start a stream; it takes a copy of the session's settings as it begins. The ones of ``STATE`` that
+    the session does not set itself are set for that moment."""
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+        processingTime=interval)
+    ours = [name for name in STATE if spark.conf.get(name, None) is None]
+    for name in ours:
+        spark.conf.set(name, STATE[name])
+    try:
+        return writer.start(*path)
+    finally:
+        for name in ours:
+            spark.conf.unset(name)
 
 
 def write_stream(
@@ -63,7 +84,7 @@ def write_stream(
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    return _trigger(writer, available_now, interval).start(path)
+    return _start(df.sparkSession, writer, available_now, interval, path)
 
 
 def _run_id(spark: SparkSession, checkpoint: str | None) -> str:
@@ -220,7 +241,7 @@ def run_stream(
         .writeStream.foreachBatch(fan_out(paths, checkpoint=checkpoint, **options))
         .option("checkpointLocation", checkpoint)
     )
-    return _trigger(writer, available_now, interval).start()
+    return _start(envelopes.sparkSession, writer, available_now, interval)
 
 
 def run_side_output(
