@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.schemas import STREAM_ENVELOPE
 from tidemark.operators import suites
 from tidemark.sources.files import list_files
-from tidemark.streaming import events as ev, folds, jobs
+from tidemark.streaming import events as ev, folds, jobs, store as store_module
 from tidemark.streaming.store import EventStore, keyed
 from tidemark.testbed import q_stream
 from tidemark.testbed.catalog import QUERIES
@@ -323,3 +324,72 @@ def test_state_is_kept_on_disk_unless_the_session_says_otherwise(spark, tmp_path
     finally:
         spark.conf.set(name, before)
     assert kinds[None] == {".zip"} and kinds[heap] == {".delta"}
+
+
+def meets(monkeypatch, owner, name, barrier, only=lambda *a: True):
+    """Calls of a method wait for each other, at most 60 s."""
+    inner = getattr(owner, name)
+
+    def call(self, *args, **kwargs):
+        if only(*args):
+            barrier.wait(60)
+        return inner(self, *args, **kwargs)
+
+    monkeypatch.setattr(owner, name, call)
+
+
+def test_ids_are_remembered_beside_the_comparison(spark, tmp_path, monkeypatch):
+    barrier = threading.Barrier(2)
+    meets(monkeypatch, EventStore, "remember", barrier)
+    meets(monkeypatch, EventStore, "_unknown", barrier)
+    paths = cuts(spark, tmp_path, "a", [["1", "2"], ["3", "4"]])
+    cuts(spark, tmp_path, "b", [["1", "5"]])
+    store = EventStore(spark, paths.root)
+    assert sorted(r["identity"] for r in store.rows().collect()) == ["1", "2", "3", "4", "5"]
+    assert store.maybe_stored(store.rows(), ["2024-01"]).count() == 5
+
+
+def test_routes_are_packed_side_by_side(spark, tmp_path, monkeypatch, rows):
+    paths, src = jobs.StreamPaths(str(tmp_path / "out")), str(tmp_path / "in")
+    send(spark, src, [event("1"), event("2", currency_code="ZZZ")])
+    jobs.run_stream(jobs.envelope_source(spark, src), paths, RUN()).awaitTermination()
+    store = EventStore(spark, paths.root)
+    want = rows(store.rows(), "identity", "route")
+    meets(monkeypatch, type(store.packed), "put", threading.Barrier(2), lambda df, name: name == "packed")
+    assert store.pack("2024-06-02") == 1
+    store.drop_packed_files()
+    assert rows(store.rows(), "identity", "route") == want and len(want) == 2
+    assert [r.batch_key for r in store.batches().collect()] == [r.batch_key for r in store.rows().select("batch_key").distinct().collect()]
+
+
+def test_filters_are_sent_or_shuffled_alike(spark, tmp_path, monkeypatch, rows):
+    store = EventStore(spark, str(tmp_path), bits=1 << 16)
+    ids = spark.range(50).select(F.col("id").cast("string").alias("identity"), F.concat(F.lit("2024-0"), 1 + F.col("id") % 3).alias("event_month"))
+    months = ["2024-01", "2024-02", "2024-03"]
+    store.remember(ids, months)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    sent = store.maybe_stored(ids, months)
+    monkeypatch.setattr(store_module, "SENT_MONTHS", 2)
+    shuffled = store.maybe_stored(ids, months)
+    assert "strategy=broadcast" in plan(sent) and "strategy=broadcast" not in plan(shuffled)
+    assert rows(sent) == rows(shuffled) == rows(ids, "identity")
+
+
+def test_the_time_of_a_batch_is_any_time(spark):
+    at = [None, "0001-01-01 00:00:00", "+12024-02-03 04:05:06", "2024-01-01 00:00:00.000001"]
+    df = spark.createDataFrame([(x, "m" if x else "none") for x in at], "t string, event_month string").select(
+        F.expr("try_cast(t AS timestamp)").alias("event_timestamp"), "event_month")
+    spans = store_module.months_of(df)
+    assert spans["none"] == (None, None) and spans["m"][0] < 0 < spans["m"][1]
+
+
+def test_a_small_table_is_dealt_to_all_cores(spark, tmp_path, monkeypatch):
+    v = small_events(spark, str(tmp_path))
+    v.table("events").coalesce(1).write.parquet(str(tmp_path / "one" / "events.parquet"))
+    v = Views(spark, str(tmp_path / "one"))
+    path, _ = q_stream.staged(v)
+    files = [r.path for r in list_files(spark, path).collect() if r.path.endswith(".parquet")]
+    assert len(files) == spark.sparkContext.defaultParallelism
+    assert q_stream.pieces_of(v, path, 2) == 1
+    monkeypatch.setattr(q_stream, "LEAST_BYTES", 1000)
+    assert 1 < q_stream.pieces_of(v, path, 2) <= spark.sparkContext.defaultParallelism

@@ -15,6 +15,7 @@ FILE_FORMATS = {
     "parquet": {"format": "parquet", "options": {}},
 }
 NULL_TOKENS = ["NULL", "null", ""]
+DEALT_BYTES = 4 << 20  # a core's share of a table below which its rows are dealt out
 LISTING_TASKS = 2  # tasks a core that look up files read by name
 # Format of each bronze dataset; all arrive as JSON lists today.
 SOURCE_FORMATS = {dataset: "json" for dataset in CANONICAL}
@@ -129,6 +130,23 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def bytes_of(spark: SparkSession, path: str) -> int:
+    """Bytes of the files at or below a path; the file system adds them up."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+
+
+def cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
+def dealt(df: DataFrame, path: str) -> DataFrame:
+    """The rows of a table read from ``path``, dealt to all cores if it is small: a reader cuts a file
+    between row groups only, so one task may get all rows of a small file. Large ones stay as read."""
+    n = cores(df.sparkSession)
+    return df.repartition(n) if bytes_of(df.sparkSession, path) < n * DEALT_BYTES else df
+
+
 def match_batch_files(files: DataFrame, latest_only: bool = False) -> DataFrame:
     """Of a file listing (path, length), those named ``<dataset>_<timestamp>.<csv|json>`` for one of
     the seven datasets.

@@ -16,7 +16,7 @@ from tidemark.plans import marts
 from tidemark.schemas import GOLD_TABLES, STREAM_ENVELOPE
 from tidemark.sinks.tables import observed, write_parquet, write_table
 from tidemark.streaming import events as ev
-from tidemark.streaming.store import REJECTED, EventStore, keyed, route
+from tidemark.streaming.store import REJECTED, EventStore, keyed, months_of, route
 
 
 @dataclass
@@ -145,10 +145,11 @@ def fan_out(
         key = f"{state['run']}-{batch_id}"
         kept = keyed(ev.tag_events(batch), key).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            months = [r[0] for r in kept.select("event_month").distinct().collect()]
+            months = months_of(kept)
             if not months:
                 return
-            new = store.fresh(kept, key, months)
+            looks_first = validate and on_fail == "raise"
+            new = store.fresh(kept, key, months, remember=not looks_first)
             checked = new.select(*suites.suite_columns(SUITE)).withColumn(
                 "transaction_amount", ev.money("transaction_amount"))
 
@@ -157,9 +158,9 @@ def fan_out(
                     suites.evaluate_suite(checked, SUITE, observed=observed), SUITE,
                     "streaming_events", "stream_microbatch")
 
-            if validate and on_fail == "raise":
+            if looks_first:
                 suites.enforce(summary(None), on_fail)
-            store.remember(new, months)
+                store.remember(new, list(months))
             seen = Observation(key)
             rules = suites.row_metrics(SUITE, checked.columns, values={
                 "transaction_amount": ev.money("transaction_amount")}) if validate else []

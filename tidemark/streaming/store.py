@@ -14,8 +14,9 @@ id that is in the filter only (its batch failed) is found missing by the compari
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.sinks.tables import write_table
@@ -29,7 +30,9 @@ PARTITIONS = ["processing_date", "route", "batch_key"]
 # 16 Mi bits (2 MiB) suit some 1,600,000 ids; more ids cost comparisons, not correctness.
 BITS = 1 << 24
 HASHES = 4
+SENT_MONTHS = 16  # filters of so many months, 32 MiB, go to every task
 TARGET_BYTES = 256 << 20
+PACKED_AT_ONCE = 4  # routes
 _WORD = 1 << 15  # bits of one bitmap
 
 
@@ -49,6 +52,13 @@ def keyed(tagged: DataFrame, batch_key: str) -> DataFrame:
         route().alias("route"), F.lit(batch_key).alias("batch_key"))
 
 
+def months_of(batch: DataFrame) -> dict[str, tuple[int | None, int | None]]:
+    """The months of a batch's events, each with its first and last event time in microseconds."""
+    at = F.unix_micros("event_timestamp")
+    return {r[0]: (r[1], r[2])
+            for r in batch.groupBy("event_month").agg(F.min(at), F.max(at)).collect()}
+
+
 class EventStore:
     def __init__(self, spark: SparkSession, root: str, bits: int = BITS, hashes: int = HASHES):
         self.spark, self.bits, self.hashes = spark, bits, hashes
@@ -103,24 +113,43 @@ class EventStore:
         return self.ids.read(parts, version) if parts else None
 
     def maybe_stored(self, ids: DataFrame, months: list) -> DataFrame | None:
-        """Ids that the filters of their months may hold; null if none of these months has a filter."""
+        """Ids that the filters of their months may hold; null if none of these months has a filter.
+        The filters of a few months go to every task; else the ids' places are shuffled to them."""
         filters = self._filters(months)
         if filters is None:
             return None
+        if len(months) <= SENT_MONTHS:
+            filters = F.broadcast(filters)
         byte = F.conv(F.hex(F.substring("bits", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10)
         is_set = F.getbit(byte.cast("int"), (F.col("bit") % 8).cast("int")) == 1
         return self._spots(ids).join(filters, ["event_month", "word"]).groupBy("identity").agg(
             F.count_if(is_set).alias("hits")).filter(F.col("hits") == self.hashes).select("identity")
 
-    def fresh(self, batch: DataFrame, batch_key: str, months: list) -> DataFrame:
-        """The events of a batch that no other batch has stored. What was compared is kept until
-        :meth:`release`, so that the passes over the result do not compare again."""
-        maybe = self.maybe_stored(batch.select("event_month", "identity"), months)
+    def fresh(self, batch: DataFrame, batch_key: str, months: dict[str, tuple],
+              remember: bool = False) -> DataFrame:
+        """The events of a batch that no other batch has stored; ``months`` are those of :func:`months_of`.
+        What was compared is kept until :meth:`release`, so that the passes over the result do not
+        compare again. With ``remember`` the batch's ids go into the filters beside the comparison, which
+        has the filters of before; those of known events are in them already."""
+        maybe = self.maybe_stored(batch.select("event_month", "identity"), list(months))
+        if not remember:
+            return self._unknown(batch, batch_key, months, maybe)
+        with ThreadPoolExecutor(1) as pool:
+            added = pool.submit(
+                inheritable_thread_target(self.spark)(self.remember), batch, list(months))
+            new = self._unknown(batch, batch_key, months, maybe)
+            added.result()
+        return new
+
+    def _unknown(self, batch: DataFrame, batch_key: str, months: dict[str, tuple],
+                 maybe: DataFrame | None) -> DataFrame:
         if maybe is None or self._kept(maybe).isEmpty():
             return batch
-        first, last = batch.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
-        same_time = F.col("event_timestamp").between(F.lit(first), F.lit(last)) | F.col(
-            "event_timestamp").isNull()
+        times = [t for span in months.values() for t in span if t is not None]
+        same_time = F.col("event_timestamp").isNull()
+        if times:
+            same_time |= F.col("event_timestamp").between(
+                F.timestamp_micros(F.lit(min(times))), F.timestamp_micros(F.lit(max(times))))
         known = self._kept(self.rows().filter(same_time & (F.col("batch_key") != batch_key)).select(
             "identity").join(maybe, "identity", "left_semi"))
         if known.isEmpty():
@@ -166,7 +195,8 @@ class EventStore:
         returns the number of batches packed. Rows stay the same for every reader throughout.
 
         No shuffle: a scan packs small files into splits of the target size, and each split becomes
-        one file.
+        one file. Each day's route is a write of its own, some of them at the same time, as one of few
+        rows has one task.
         """
         version = self.packed.latest()
         hidden = version.info["batches"] if version else []
@@ -182,16 +212,22 @@ class EventStore:
         for name, value in (("maxPartitionBytes", target_bytes), ("openCostInBytes", 0),
                             ("minPartitionNum", 1)):
             packer.conf.set(f"spark.sql.files.{name}", str(value))
-        schema, parts = ev.stored_schema(), {}
-        for d, r in sorted({(x["day"], x["route"]) for x in found}):
-            keys = [x["batch_key"] for x in found if (x["day"], x["route"]) == (d, r)]
+        schema, places = ev.stored_schema(), {}
+        for x in found:
+            places.setdefault((x["day"], x["route"]), []).append(x["batch_key"])
+
+        def put(place: tuple[str, str]) -> tuple[str, str]:
+            d, r = place
             small = packer.read.schema(schema).option("basePath", self.live).parquet(
-                f"{self.live}/processing_date={d}/route={r}").filter(F.col("batch_key").isin(keys))
-            name = f"{d}/{r}-{uuid.uuid4().hex[:12]}"
-            parts[name] = self.packed.put(small, "packed")
+                f"{self.live}/processing_date={d}/route={r}").filter(
+                F.col("batch_key").isin(places[place]))
+            return f"{d}/{r}-{uuid.uuid4().hex[:12]}", self.packed.put(small, "packed")
+
+        with ThreadPoolExecutor(PACKED_AT_ONCE) as pool:
+            parts = dict(pool.map(inheritable_thread_target(self.spark)(put), sorted(places)))
         keys = sorted({x["batch_key"] for x in found})
-        side = self.packed.put(self.spark.createDataFrame(
-            [(k,) for k in keys], "batch_key string").coalesce(1), "batches")
+        side = self.packed.put(self.spark.range(0, 1, 1, 1).select(
+            F.explode(F.array(*[F.lit(k) for k in keys])).alias("batch_key")), "batches")
         self.packed.commit(version, parts, schema, {"batches": sorted({*hidden, *keys})},
                            {f"batches-{uuid.uuid4().hex[:12]}": side})
         return len(keys)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.schemas import STREAM_ENVELOPE, STREAM_EVENT
 from tidemark.session import scratch
-from tidemark.sources.files import list_files, read_event_lines
+from tidemark.sources.files import bytes_of, cores, read_event_lines
 from tidemark.streaming import events as ev, folds, jobs
 from tidemark.streaming.store import EventStore
 from tidemark.testbed.ctes import avg_money
@@ -16,6 +16,7 @@ from tidemark.testbed.views import Views
 
 RUN_DAY = "2024-06-01"
 PIECE_BYTES = 64 << 20
+LEAST_BYTES = 1 << 20
 
 
 def run_at():
@@ -222,9 +223,9 @@ def time_cuts(v: Views, path: str, n: int):
 
 def pieces_of(v: Views, path: str, batches: int) -> int:
     """Files for each of ``batches`` equal batches of a folder's rows: one, or as many as keep a file at
-    about ``PIECE_BYTES``."""
-    size = list_files(v.spark, path).agg(F.sum("length")).first()[0] or 0
-    return max(1, -(-size // (batches * PIECE_BYTES)))
+    about ``PIECE_BYTES``, or one for each core if it gets ``LEAST_BYTES``: a task reads a whole file."""
+    share = bytes_of(v.spark, path) // batches
+    return max(1, -(-share // PIECE_BYTES), min(share // LEAST_BYTES, cores(v.spark)))
 
 
 def cut_by_time(v: Views, path: str, n: int) -> DataFrame:

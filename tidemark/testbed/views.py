@@ -19,6 +19,7 @@ from tidemark.schemas import (
     CANONICAL, COUNTRIES, CURRENCIES, MERCHANT_CATEGORIES, MONEY, PAYMENT_STATUSES, SECURITY_TYPES,
     STREAM_EVENT, TRANSACTION_STATUSES, TRANSACTION_TYPES,
 )
+from tidemark.sources.files import dealt
 from tidemark.streaming import events as ev
 
 EXCHANGES = ["NYSE", "NASDAQ", "ARCA"]
@@ -268,7 +269,7 @@ class Views:
             .otherwise("error")
         )
         copies = F.when(k % 37 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        base = self.table("events").withColumns(
+        base = dealt(self.table("events"), f"{self.sf_dir}/events.parquet").withColumns(
             {
                 "at": _ts("ts"),
                 "kind": event_type,
